@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_profile"]
+MODULES = ["q_profile", "q_text", "q_grade"]
 
 
 def load_all():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_profile", "q_text", "q_grade", "q_sampling"]
+MODULES = ["q_profile", "q_text", "q_grade", "q_sampling", "q_curate"]
 
 
 def load_all():

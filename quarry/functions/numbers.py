@@ -41,13 +41,14 @@ def _digit(n: Column, place: int) -> Column:
 
 
 def int_to_roman(n) -> Column:
-    """Roman numeral of 0..3999 (0 -> ''); per decimal place, which equals greedy subtraction."""
+    """Roman numeral of 0..3999 (0 -> '', null above 3999); per decimal place,
+    which equals greedy subtraction."""
     n = F.col(n) if isinstance(n, str) else n
 
     def pick(table, idx):
-        return F.element_at(F.array(*[F.lit(s) for s in table]), idx + 1)
+        return F.try_element_at(F.array(*[F.lit(s) for s in table]), idx + 1)
 
-    thousands = F.floor(n / F.lit(1000)).cast("int")
+    thousands = F.floor(n / F.lit(1000)).try_cast("int")
     return F.concat(
         pick(ROMAN_THOUSANDS, thousands),
         pick(ROMAN_HUNDREDS, _digit(n, 100)),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_profile", "q_text", "q_grade", "q_sampling", "q_curate", "q_synth"]
+MODULES = ["q_profile", "q_text", "q_grade", "q_sampling", "q_curate", "q_synth", "q_validate"]
 
 
 def load_all():

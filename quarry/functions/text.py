@@ -32,6 +32,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Higher-order functions that reference an expensive expression (a word
+    array, a regex result) would otherwise re-evaluate it per element when the
+    optimizer inlines projections, e.g. after pushing a filter down."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(x) -> Column:
     """Python ``str.strip()``: remove leading / trailing Unicode whitespace."""
     return F.regexp_replace(_c(x), "^" + WS + "+|" + WS + "+$", "")

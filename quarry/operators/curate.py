@@ -61,20 +61,35 @@ def _dup_share(grams: Column) -> Column:
     return F.when(F.size(grams) > 0, 1 - F.size(F.array_distinct(grams)) / F.size(grams)).otherwise(F.lit(0.0))
 
 
-def repetition_columns(df: DataFrame, text: str, n: int = 3, window: int = 200, step: int = 100) -> DataFrame:
-    """FLT8 measures: ``n_words``, ``rep_share`` (duplicate n-gram share of the
-    whole text) and ``rep_share_windowed`` (largest share over windows of
-    ``window`` words starting every ``step`` words; texts shorter than one
-    window form a single window). The word and n-gram arrays are projected
-    once and reused by every window."""
-    w = df.withColumn("_w", T.words(text))
-    g = w.withColumn("_g", ngrams(F.col("_w"), n)).withColumn("n_words", F.size("_w").cast("bigint"))
+def repetition_struct(text, n: int = 3, window: int = 200, step: int = 100) -> Column:
+    """FLT8 measures as one struct: ``n_words``, ``rep_share`` (duplicate n-gram
+    share of the whole text) and ``rep_share_windowed`` (largest share over
+    windows of ``window`` words starting every ``step`` words; texts shorter
+    than one window form a single window). The word and n-gram arrays are
+    bound once (``let``) and reused by every window, so the cost stays linear
+    even when a filter on the result is pushed below the projection."""
     per_window = window - (n - 1)
-    starts = F.sequence(F.lit(0), F.greatest(F.col("n_words") - window, F.lit(0)).cast("int"), F.lit(step))
-    win_share = F.array_max(F.transform(starts, lambda s: _dup_share(F.slice(F.col("_g"), s + 1, per_window))))
-    return g.withColumn("rep_share", _dup_share(F.col("_g"))).withColumn(
-        "rep_share_windowed", F.when(F.col("n_words") >= n, win_share).otherwise(F.lit(0.0))
-    ).drop("_w", "_g")
+
+    def measures(w):
+        def with_grams(g):
+            nw = F.size(w)
+            starts = F.sequence(F.lit(0), F.greatest(nw - window, F.lit(0)), F.lit(step))
+            win = F.array_max(F.transform(starts, lambda s: _dup_share(F.slice(g, s + 1, per_window))))
+            return F.struct(
+                nw.cast("bigint").alias("n_words"),
+                _dup_share(g).alias("rep_share"),
+                F.when(nw >= n, win).otherwise(F.lit(0.0)).alias("rep_share_windowed"),
+            )
+
+        return T.let(ngrams(w, n), with_grams)
+
+    return T.let(T.words(text), measures)
+
+
+def repetition_columns(df: DataFrame, text: str, n: int = 3, window: int = 200, step: int = 100) -> DataFrame:
+    """Adds ``n_words``, ``rep_share``, ``rep_share_windowed`` (see ``repetition_struct``)."""
+    r = df.withColumn("_rep", repetition_struct(text, n, window, step))
+    return r.select(*df.columns, "_rep.n_words", "_rep.rep_share", "_rep.rep_share_windowed")
 
 
 def repetition_filter(df: DataFrame, text: str, threshold: float = 0.30, windowed: bool = False, **kw) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_profile", "q_text", "q_grade", "q_sampling", "q_curate", "q_synth", "q_validate", "q_io", "q_langid", "q_tokenizer"]
+MODULES = ["q_profile", "q_text", "q_grade", "q_sampling", "q_curate", "q_synth", "q_validate", "q_io", "q_langid", "q_tokenizer", "q_jobs"]
 
 
 def load_all():

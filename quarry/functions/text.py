@@ -110,8 +110,8 @@ def extract_final_answer(x) -> Column:
 def extract_tag(x, tag: str) -> Column:
     """Content of the first ``<tag>..</tag>`` (dot matches newline); null when absent."""
     pat = "(?s)<" + tag + ">(.*?)</" + tag + ">"
-    c = _c(x)
-    return F.when(c.rlike(pat), F.regexp_extract(c, pat, 1))
+    # one regex pass: the first match of all matches, null when there is none
+    return F.try_element_at(F.regexp_extract_all(_c(x), F.lit(pat), 1), F.lit(1))
 
 
 def parse_prompt(x) -> Column:

@@ -25,6 +25,18 @@ CATEGORY_PHRASES = [
 ]
 
 
+def keep_where(df: DataFrame, flag: str) -> DataFrame:
+    """Keep rows whose boolean column ``flag`` is true, for flags computed by
+    expensive row-local expressions (regexes, n-gram arrays).
+
+    Written as a 0-or-1-row generator rather than a Filter: a Filter would be
+    pushed below the projection that computes ``flag``, duplicating the
+    expression once per reference and moving it ahead of any input spreading.
+    The generator keeps the work where the flag is computed, once per row."""
+    one = F.when(F.col(flag), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return df.select(*df.columns, F.explode(one).alias("_kept")).drop("_kept", flag)
+
+
 def answered_only(df: DataFrame, answer: str = "answer") -> DataFrame:
     """FLT1."""
     return df.where(F.col(answer).isNotNull())
@@ -96,20 +108,34 @@ def repetition_filter(df: DataFrame, text: str, threshold: float = 0.30, windowe
     """FLT8: drop rows whose duplicate n-gram share exceeds ``threshold``."""
     m = repetition_columns(df, text, **kw)
     c = "rep_share_windowed" if windowed else "rep_share"
-    return m.where(F.col(c) <= threshold)
+    return keep_where(m.withColumn("_rep_ok", F.col(c) <= threshold), "_rep_ok")
+
+
+def trace_struct(response, min_words: int = 20, max_words: int = 6000) -> Column:
+    """PRJ7 + FLT10/FLT11 as one struct (trace, answer_value, trace_words, keep);
+    the trace is extracted once and bound (``let``), so a filter on ``keep``
+    pushed below other operators evaluates the extraction once, not per field."""
+
+    def with_trace(r):
+        def fields(t):
+            words = T.word_count(t)
+            keep = r.isNotNull() & t.isNotNull() & T.extract_tag(r, "answer").isNotNull() & words.between(min_words, max_words)
+            return F.struct(t.alias("trace"), T.extract_tag(r, "answer").alias("answer_value"), words.alias("trace_words"), keep.alias("keep"))
+
+        return T.let(T.extract_tag(r, "think"), fields)
+
+    return T.let(F.col(response) if isinstance(response, str) else response, with_trace)
 
 
-def trace_columns(df: DataFrame, response: str) -> DataFrame:
-    """PRJ7 + word count of the trace."""
-    return df.withColumn("trace", T.extract_tag(response, "think")).withColumn(
-        "answer_value", T.extract_tag(response, "answer")
-    ).withColumn("trace_words", T.word_count("trace"))
+def trace_columns(df: DataFrame, response: str, min_words: int = 20, max_words: int = 6000) -> DataFrame:
+    """PRJ7 + word count of the trace (+ ``keep`` for the trace filter)."""
+    t = df.withColumn("_tr", trace_struct(response, min_words, max_words))
+    return t.select(*df.columns, "_tr.trace", "_tr.answer_value", "_tr.trace_words", "_tr.keep")
 
 
 def trace_filter(df: DataFrame, response: str, min_words: int = 20, max_words: int = 6000) -> DataFrame:
     """FLT10 + FLT11: an answer tag is present and the trace length is within bounds."""
-    t = trace_columns(df, response)
-    return t.where(F.col("answer_value").isNotNull() & F.col("trace").isNotNull() & F.col("trace_words").between(min_words, max_words))
+    return keep_where(trace_columns(df, response, min_words, max_words), "keep")
 
 
 def batch_defect_rates(df: DataFrame, batch: str = "batch", defect: str = "defect") -> DataFrame:

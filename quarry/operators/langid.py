@@ -11,7 +11,7 @@ an equi-join against the sparse (tri, lang) count table - no vocabulary x
 language grid, no cross join. The join is broadcast only after the model's
 row count is checked; the per-document partial aggregate collapses each
 document's trigram rows inside its own task, so the shuffle carries one row
-per (document, language).
+per (document, language), and each text is scanned once for scoring.
 """
 
 from __future__ import annotations
@@ -65,12 +65,11 @@ def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "
     if model.count() <= MAX_BROADCAST_MODEL_ROWS:
         weights = F.broadcast(weights)
     padded = docs.select(id_col, padded_text(text).alias("_t"))
-    occ = padded.select(id_col, F.explode(trigrams(F.col("_t"))).alias("tri"))
-    part = occ.join(weights, "tri").groupBy(id_col, "lang").agg(F.sum("w").alias("s"))
-    per_doc = part.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("m"))
-    # documents sharing no trigram with the model still get a prediction
-    base = padded.select(id_col, F.greatest(F.length("_t") - 2, F.lit(0)).alias("n_tri"))
-    per_doc = base.join(per_doc, id_col, "left")
+    occ = padded.select(id_col, F.greatest(F.length("_t") - 2, F.lit(0)).alias("n_tri"), F.explode_outer(trigrams(F.col("_t"))).alias("tri"))
+    # left join: a document whose trigrams are all unseen still keeps one (null-language) row
+    part = occ.join(weights, "tri", "left").groupBy(id_col, "n_tri", "lang").agg(F.sum("w").alias("s"))
+    entries = F.filter(F.collect_list(F.struct("lang", "s")), lambda e: e["lang"].isNotNull())
+    per_doc = part.groupBy(id_col, "n_tri").agg(F.map_from_entries(entries).alias("m"))
     # the language table (one small array) enters as a scalar subquery column
     per_doc = per_doc.withColumn("_langs", language_table(model))
     scores = F.transform(

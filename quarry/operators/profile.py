@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -91,9 +91,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     Every bin is returned, empty ones with count 0.
     """
     x = F.col(col).cast("double")
-    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    # one scalar subquery (one pass) for both bounds
+    stats = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = stats["lo"], stats["hi"]
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.lit(bins - 1), F.floor((x - lo) / width).cast("int")))
     counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
@@ -117,10 +117,10 @@ def density_curve(df: DataFrame, col: str, gridsize: int = 200, decimals: int =
     """
     x = F.col(col).cast("double")
     vc = df.where(F.col(col).isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("cnt"))
-    stats = df.agg(
-        F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(x).alias("n")
-    )
-    lo, hi, sd, n = (stats.select(c).scalar() for c in ("lo", "hi", "sd", "n"))
+    stats = df.select(
+        F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(x).alias("n"))
+    ).scalar()
+    lo, hi, sd, n = (stats[c] for c in ("lo", "hi", "sd", "n"))
     h = sd * F.pow(n.cast("double"), F.lit(-0.2))
     step = (hi - lo) / F.lit(float(gridsize - 1))
     pts = vc.select("x", "cnt", F.posexplode(F.array_repeat(F.lit(0), gridsize)).alias("i", "_z"))
@@ -146,7 +146,8 @@ def top_words(df: DataFrame, cols: Sequence[str] = ("prompt", "answer"), k: int
 def category_counts(df: DataFrame, category: str = "category") -> DataFrame:
     """Count per category, sorted by category, with its share of all rows."""
     c = df.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    # total over the per-category table (one row per category), not a second scan
+    total = F.sum("n").over(Window.partitionBy())
     return c.select(category, F.col("n").cast("bigint").alias("n"), (F.col("n") / total).alias("share")).orderBy(category)
 
 

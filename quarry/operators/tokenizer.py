@@ -196,16 +196,22 @@ def fit_sweep(words: DataFrame, sizes: Sequence[int], seed_factor: int = SEED_FA
     seeds = seed_pieces(words, seed_factor * sizes[0])
     model = _normalise(seeds.select("piece", F.col("freq").cast("double").alias("cnt"))).checkpoint(eager=True)
     out: dict[int, DataFrame] = {}
+
+    def em(m: DataFrame) -> DataFrame:
+        bc = spark.sparkContext.broadcast(_model_dict(m))
+        nxt = _normalise(_e_step(words, bc)).checkpoint(eager=True)
+        bc.unpersist()
+        return nxt
+
     for target in sizes:
-        while True:
-            for _ in range(EM_STEPS):
-                bc = spark.sparkContext.broadcast(_model_dict(model))
-                model = _normalise(_e_step(words, bc)).checkpoint(eager=True)
-                bc.unpersist()
+        # one EM step per pruning round, EM_STEPS once the size is reached
+        model = em(model)
+        size = model.count()
+        while size > target:
+            model = em(_prune(model, max(target, int(size * SHRINK))).checkpoint(eager=True))
             size = model.count()
-            if size <= target:
-                break
-            model = _prune(model, max(target, int(size * SHRINK))).checkpoint(eager=True)
+        for _ in range(EM_STEPS - 1):
+            model = em(model)
         out[target] = model
     return out
 

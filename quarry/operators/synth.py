@@ -10,6 +10,8 @@ float.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,18 +19,40 @@ from quarry.functions import numbers as N
 from quarry.functions import text as T
 from quarry.functions.hashing import uniform_int
 
-# Prompt lines of the three computed puzzle kinds.
+# Prompt lines of the three computed puzzle kinds ({name} is
+# filled per puzzle; lines are joined with a newline: head, examples, tail).
 PHYSICS_HEAD = "In Alice's Wonderland, the gravitational constant has been secretly changed. Here are some example observations:"
-PHYSICS_LINE = ("For t = ", "s, distance = ", " m")
-PHYSICS_TAIL = ("Now, determine the falling distance for t = ", "s given d = 0.5*g*t^2.")
+PHYSICS_LINE = "For t = {t}s, distance = {d} m"
+PHYSICS_TAIL = "Now, determine the falling distance for t = {t}s given d = 0.5*g*t^2."
 UNIT_HEAD = "In Alice's Wonderland, a secret unit conversion is applied to measurements. For example:"
-UNIT_LINE = (" m becomes ",)
-UNIT_TAIL = ("Now, convert the following measurement: ", " m")
-NUMERAL_HEAD = (
-    "In Alice's Wonderland, numbers are secretly converted into a different numeral system. Some examples are given below:"
-)
-NUMERAL_LINE = (" -> ",)
-NUMERAL_TAIL = ("Now, write the number ", " in the Wonderland numeral system.")
+UNIT_LINE = "{x} m becomes {y}"
+UNIT_TAIL = "Now, convert the following measurement: {x} m"
+NUMERAL_HEAD = "In Alice's Wonderland, numbers are secretly converted into a different numeral system. Some examples are given below:"
+NUMERAL_LINE = "{n} -> {r}"
+NUMERAL_TAIL = "Now, write the number {n} in the Wonderland numeral system."
+
+_FIELD = re.compile(r"\{(\w+)\}")
+
+
+def template_parts(template: str) -> list[tuple[str, str | None]]:
+    """Split a template into (literal, field-or-None) pieces in order."""
+    out, pos = [], 0
+    for m in _FIELD.finditer(template):
+        out.append((template[pos : m.start()], m.group(1)))
+        pos = m.end()
+    out.append((template[pos:], None))
+    return out
+
+
+def fill(template: str, **values: Column) -> Column:
+    """The template as a string column, each {name} replaced by ``values[name]``."""
+    cols = []
+    for lit, field in template_parts(template):
+        if lit:
+            cols.append(F.lit(lit))
+        if field:
+            cols.append(values[field])
+    return F.concat(*cols)
 
 # Parameter ranges (hundredths unless noted).
 G_RANGE = (500, 2000)  # g in 5.00..20.00
@@ -73,9 +97,9 @@ def physics(seeds: DataFrame, key: str, seed: int = 42) -> DataFrame:
     df = df.withColumn("xq", uniform_int(_draw("physics", seed, F.col(key), "q"), *T_RANGE)).withColumn("answer_h", dist(F.col("xq")))
     lines = F.transform(
         F.col("examples"),
-        lambda e: F.concat(F.lit(PHYSICS_LINE[0]), N.hundredths_text(e["x"]), F.lit(PHYSICS_LINE[1]), N.hundredths_text(e["y"]), F.lit(PHYSICS_LINE[2])),
+        lambda e: fill(PHYSICS_LINE, t=N.hundredths_text(e["x"]), d=N.hundredths_text(e["y"])),
     )
-    tail = F.concat(F.lit(PHYSICS_TAIL[0]), N.hundredths_text(F.col("xq")), F.lit(PHYSICS_TAIL[1]))
+    tail = fill(PHYSICS_TAIL, t=N.hundredths_text(F.col("xq")))
     return df.select(
         key,
         _prompt(PHYSICS_HEAD, lines, tail).alias("prompt"),
@@ -100,8 +124,8 @@ def unit_conversion(seeds: DataFrame, key: str, seed: int = 42) -> DataFrame:
     )
     df = df.withColumn("examples", F.transform(ex, lambda e: F.struct(e["x"].alias("x"), conv(e["x"]).alias("y"))))
     df = df.withColumn("xq", uniform_int(_draw("unit", seed, F.col(key), "q"), *VALUE_RANGE)).withColumn("answer_h", conv(F.col("xq")))
-    lines = F.transform(F.col("examples"), lambda e: F.concat(N.hundredths_text(e["x"]), F.lit(UNIT_LINE[0]), N.hundredths_text(e["y"])))
-    tail = F.concat(F.lit(UNIT_TAIL[0]), N.hundredths_text(F.col("xq")), F.lit(UNIT_TAIL[1]))
+    lines = F.transform(F.col("examples"), lambda e: fill(UNIT_LINE, x=N.hundredths_text(e["x"]), y=N.hundredths_text(e["y"])))
+    tail = fill(UNIT_TAIL, x=N.hundredths_text(F.col("xq")))
     return df.select(
         key,
         _prompt(UNIT_HEAD, lines, tail).alias("prompt"),
@@ -121,8 +145,8 @@ def numeral_system(seeds: DataFrame, key: str, seed: int = 42) -> DataFrame:
     df = seeds.select(k.alias(key), n_ex.alias("n_ex"), F.slice(ranked, 1, n_ex.cast("int") + 1).alias("picked"))
     df = df.withColumn("nums", F.transform(F.slice(F.col("picked"), 1, F.col("n_ex").cast("int")), lambda s: s["n"]))
     df = df.withColumn("nq", F.element_at(F.col("picked"), (F.col("n_ex") + 1).cast("int"))["n"])
-    lines = F.transform(F.col("nums"), lambda n: F.concat(n.cast("string"), F.lit(NUMERAL_LINE[0]), N.int_to_roman(n)))
-    tail = F.concat(F.lit(NUMERAL_TAIL[0]), F.col("nq").cast("string"), F.lit(NUMERAL_TAIL[1]))
+    lines = F.transform(F.col("nums"), lambda n: fill(NUMERAL_LINE, n=n.cast("string"), r=N.int_to_roman(n)))
+    tail = fill(NUMERAL_TAIL, n=F.col("nq").cast("string"))
     return df.select(
         key,
         _prompt(NUMERAL_HEAD, lines, tail).alias("prompt"),
@@ -161,18 +185,21 @@ def quota_per_category(gens: DataFrame, count: int, category: str = "category",
 
 # Generation requests (SYN4): our own wording of the request, one per seed
 # example and variant; the model call itself is not part of this engine.
-REQUEST_PARTS = (
-    "Write one new puzzle of the category ",
-    " in the same style as the example below. Reply with exactly two parts, 'PROMPT:' followed by the puzzle "
-    "and 'ANSWER:' followed by the answer, and nothing else. Variant ",
-    ".\n\nExample:\n",
-    "\nAnswer: ",
+REQUEST_TEMPLATE = (
+    "Write one new puzzle of the category {category} in the same style as the example below. "
+    "Reply with exactly two parts, 'PROMPT:' followed by the puzzle and 'ANSWER:' followed by the answer, "
+    "and nothing else. Variant {variant}.\n\nExample:\n{prompt}\nAnswer: {answer}"
 )
 
 
 def generation_requests(seeds: DataFrame, variants: int = 5, id_col: str = "id", category: str = "category") -> DataFrame:
     """SYN4: ``variants`` request texts per seed example."""
     v = seeds.select(id_col, category, "prompt", "answer", F.explode(F.sequence(F.lit(1), F.lit(variants))).alias("variant"))
-    a, b, c, d = (F.lit(x) for x in REQUEST_PARTS)
-    req = F.concat(a, F.col(category), b, F.col("variant").cast("string"), c, F.coalesce(F.col("prompt"), F.lit("")), d, F.coalesce(F.col("answer"), F.lit("")))
+    req = fill(
+        REQUEST_TEMPLATE,
+        category=F.col(category),
+        variant=F.col("variant").cast("string"),
+        prompt=F.coalesce(F.col("prompt"), F.lit("")),
+        answer=F.coalesce(F.col("answer"), F.lit("")),
+    )
     return v.select(F.col(id_col).alias("seed_id"), category, F.col("variant").cast("bigint").alias("variant"), req.alias("request"))

@@ -25,15 +25,25 @@ def _u(kind: str, label_sql: str, lo: int, hi: int) -> str:
     return S.uniform_int(_h(kind, label_sql), lo, hi)
 
 
+def _fill(template: str, **exprs: str) -> str:
+    """SQL concatenation of a generator template with SQL expressions for its fields."""
+    parts = []
+    for lit, field in Y.template_parts(template):
+        if lit:
+            parts.append(S.q(lit))
+        if field:
+            parts.append(f"({exprs[field]})")
+    return " || ".join(parts)
+
+
 def _lines(head: str, lines_sql: str, tail_sql: str) -> str:
     return f"{S.q(head)} || chr(10) || array_to_string({lines_sql}, chr(10)) || chr(10) || {tail_sql}"
 
 
 _PHYS_SQL = f"""
 SELECT key, {_lines(Y.PHYSICS_HEAD,
-    "list_transform(xs, lambda x: " + S.q(Y.PHYSICS_LINE[0]) + " || " + S.hundredths_text('x') + " || " + S.q(Y.PHYSICS_LINE[1])
-    + " || " + S.hundredths_text('(g_h * x * x + 10000) // 20000') + " || " + S.q(Y.PHYSICS_LINE[2]) + ")",
-    S.q(Y.PHYSICS_TAIL[0]) + " || " + S.hundredths_text('xq') + " || " + S.q(Y.PHYSICS_TAIL[1]))} AS prompt,
+    "list_transform(xs, lambda x: " + _fill(Y.PHYSICS_LINE, t=S.hundredths_text('x'), d=S.hundredths_text('(g_h * x * x + 10000) // 20000')) + ")",
+    _fill(Y.PHYSICS_TAIL, t=S.hundredths_text('xq')))} AS prompt,
   {S.hundredths_text('(g_h * xq * xq + 10000) // 20000')} AS answer, 'physics' AS category
 FROM (SELECT key, g_h, list_transform(range(1, n_ex + 1), lambda i: {_u('physics', "'t' || CAST(i AS VARCHAR)", *Y.T_RANGE)}) AS xs,
         {_u('physics', "'q'", *Y.T_RANGE)} AS xq
@@ -42,8 +52,8 @@ FROM (SELECT key, g_h, list_transform(range(1, n_ex + 1), lambda i: {_u('physics
 
 _UNIT_SQL = f"""
 SELECT key, {_lines(Y.UNIT_HEAD,
-    "list_transform(xs, lambda x: " + S.hundredths_text('x') + " || " + S.q(Y.UNIT_LINE[0]) + " || " + S.hundredths_text('(x * f4 + 5000) // 10000') + ")",
-    S.q(Y.UNIT_TAIL[0]) + " || " + S.hundredths_text('xq') + " || " + S.q(Y.UNIT_TAIL[1]))} AS prompt,
+    "list_transform(xs, lambda x: " + _fill(Y.UNIT_LINE, x=S.hundredths_text('x'), y=S.hundredths_text('(x * f4 + 5000) // 10000')) + ")",
+    _fill(Y.UNIT_TAIL, x=S.hundredths_text('xq')))} AS prompt,
   {S.hundredths_text('(xq * f4 + 5000) // 10000')} AS answer, 'unit_conversion' AS category
 FROM (SELECT key, f4, list_transform(range(1, n_ex + 1), lambda i: {_u('unit', "'v' || CAST(i AS VARCHAR)", *Y.VALUE_RANGE)}) AS xs,
         {_u('unit', "'q'", *Y.VALUE_RANGE)} AS xq
@@ -52,8 +62,8 @@ FROM (SELECT key, f4, list_transform(range(1, n_ex + 1), lambda i: {_u('unit', "
 
 _NUM_SQL = f"""
 SELECT key, {_lines(Y.NUMERAL_HEAD,
-    "list_transform(picked[1:n_ex], lambda s: CAST(s.n AS VARCHAR) || " + S.q(Y.NUMERAL_LINE[0]) + " || " + S.int_to_roman('s.n') + ")",
-    S.q(Y.NUMERAL_TAIL[0]) + " || CAST(picked[n_ex + 1].n AS VARCHAR) || " + S.q(Y.NUMERAL_TAIL[1]))} AS prompt,
+    "list_transform(picked[1:n_ex], lambda s: " + _fill(Y.NUMERAL_LINE, n='CAST(s.n AS VARCHAR)', r=S.int_to_roman('s.n')) + ")",
+    _fill(Y.NUMERAL_TAIL, n='CAST(picked[n_ex + 1].n AS VARCHAR)'))} AS prompt,
   {S.int_to_roman('picked[n_ex + 1].n')} AS answer, 'numeral_system' AS category
 FROM (SELECT key, n_ex, list_sort(list_transform(range(1, {Y.NUMERAL_MAX + 1}),
         lambda n: {{'h': {_h('numeral', "'n' || CAST(n AS VARCHAR)")}, 'n': n}}))[1:n_ex + 1] AS picked
@@ -162,9 +172,9 @@ def category_tagging(spark, d):
 @query(
     "generation_requests",
     V.with_views(
-        f"SELECT id AS seed_id, category, CAST(v AS BIGINT) AS variant, {S.q(Y.REQUEST_PARTS[0])} || category || "
-        f"{S.q(Y.REQUEST_PARTS[1])} || CAST(v AS VARCHAR) || {S.q(Y.REQUEST_PARTS[2]).replace(chr(10), chr(39) + ' || chr(10) || ' + chr(39))} || "
-        f"coalesce(prompt, '') || {S.q(Y.REQUEST_PARTS[3]).replace(chr(10), chr(39) + ' || chr(10) || ' + chr(39))} || coalesce(answer, '') AS request "
+        "SELECT id AS seed_id, category, CAST(v AS BIGINT) AS variant, "
+        + _fill(Y.REQUEST_TEMPLATE, category="category", variant="CAST(v AS VARCHAR)", prompt="coalesce(prompt, '')", answer="coalesce(answer, '')")
+        + " AS request "
         "FROM puzzles, range(1, 6) t(v)",
         "puzzles",
     ),

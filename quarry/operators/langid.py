@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.session import ensure_checkpoint_dir
 
-MAX_BROADCAST_MODEL_ROWS = 5_000_000
+# ~40 bytes per (trigram, language, weight) row: broadcast the model up to
+# about 40 MB; a larger model (many scripts / languages) is joined by a
+# shuffle on the trigram, where AQE splits hot trigrams.
+MAX_BROADCAST_MODEL_ROWS = 1_000_000
 
 
 def padded_text(text) -> Column:

@@ -26,8 +26,9 @@ from quarry.functions.hashing import seeded_hash
 
 PREFIX_HEX = 4
 # Broadcast only tables whose size is bounded by construction (prefix
-# histograms, per-group quotas); this cap guards the per-group variants.
-MAX_BROADCAST_ROWS = 2_000_000
+# histograms, per-group quotas); this cap (a few MB of keys) guards the
+# per-group variants, beyond it the key table is joined by a shuffle.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def with_hash(df: DataFrame, id_col: str, seed: int, tag: str, out: str = "_h") -> DataFrame:

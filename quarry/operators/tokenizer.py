@@ -41,7 +41,7 @@ MAX_PIECE = 16
 SEED_FACTOR = 10
 SHRINK = 0.75
 EM_STEPS = 2
-MAX_MODEL_PIECES = 2_000_000
+MAX_MODEL_PIECES = 500_000  # seed_factor x the largest size, checked before each broadcast
 
 
 def word_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:

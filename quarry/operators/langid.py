@@ -7,15 +7,19 @@ whole texts.
                         - n_trigrams(doc) * log(T_lang + V)
 
 Only trigrams seen in a language contribute to the first term, so scoring is
-an equi-join against the sparse (tri, lang) count table - no vocabulary x
-language grid, no cross join. The join is broadcast only after the model's
-row count is checked; the per-document partial aggregate collapses each
-document's trigram rows inside its own task, so the shuffle carries one row
-per (document, language), and each text is scanned once for scoring.
+an equi-join against the (trigram -> one weight per language) table - no
+vocabulary x language grid, no cross join. The join is broadcast only after
+the model's row count is checked; the per-document partial aggregate
+collapses each document's trigram rows inside its own task, so the shuffle
+carries one row per document, and each text is scanned once for scoring.
+The class labels and their normalisers (one value per language) are the only
+values read back to the driver.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,31 +59,39 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
     return model.checkpoint(eager=True)
 
 
-def language_table(model: DataFrame) -> Column:
-    """Scalar subquery: ARRAY<STRUCT<lang, logden>> with logden = log(T_lang + V)."""
-    v = model.select(F.countDistinct("tri")).scalar()
-    per = model.groupBy("lang").agg(F.sum("c").alias("t"))
-    return per.select(F.collect_list(F.struct("lang", F.log(F.col("t") + v).alias("logden")))).scalar()
+def language_constants(model: DataFrame) -> list[tuple[str, float]]:
+    """(lang, log(T_lang + V)) per class label, sorted by label. One small
+    aggregate: the number of classes bounds its size."""
+    v = model.select(F.countDistinct("tri")).first()[0]
+    rows = model.groupBy("lang").agg(F.sum("c").alias("t")).collect()
+    return sorted((r["lang"], math.log(r["t"] + v)) for r in rows)
 
 
 def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per document: ``predicted`` language (ties to the smaller language code)."""
-    weights = model.select("tri", "lang", F.log(F.col("c") + 1).alias("w"))
+    """Per document: ``predicted`` language (ties to the smaller language code).
+
+    The model is joined in wide form (one row per trigram, one weight column
+    per language), so each trigram occurrence stays one row and the
+    per-document aggregate is a plain sum per language column."""
+    consts = language_constants(model)
+    wcols = [f"_w{i}" for i in range(len(consts))]
+    lw = F.log(F.col("c") + 1)
+    wide = model.groupBy("tri").agg(
+        *[F.sum(F.when(F.col("lang") == lang, lw)).alias(c) for (lang, _), c in zip(consts, wcols)]
+    )
     if model.count() <= MAX_BROADCAST_MODEL_ROWS:
-        weights = F.broadcast(weights)
+        wide = F.broadcast(wide)
     padded = docs.select(id_col, padded_text(text).alias("_t"))
     occ = padded.select(id_col, F.greatest(F.length("_t") - 2, F.lit(0)).alias("n_tri"), F.explode_outer(trigrams(F.col("_t"))).alias("tri"))
-    # left join: a document whose trigrams are all unseen still keeps one (null-language) row
-    part = occ.join(weights, "tri", "left").groupBy(id_col, "n_tri", "lang").agg(F.sum("w").alias("s"))
-    entries = F.filter(F.collect_list(F.struct("lang", "s")), lambda e: e["lang"].isNotNull())
-    per_doc = part.groupBy(id_col, "n_tri").agg(F.map_from_entries(entries).alias("m"))
-    # the language table (one small array) enters as a scalar subquery column
-    per_doc = per_doc.withColumn("_langs", language_table(model))
-    scores = F.transform(
-        F.col("_langs"),
-        lambda l: F.struct(
-            (F.coalesce(F.try_element_at(F.col("m"), l["lang"]), F.lit(0.0)) - F.col("n_tri") * l["logden"]).alias("score"), l["lang"].alias("lang")
-        ),
+    # left join: a document whose trigrams are all unseen still keeps its row
+    per_doc = occ.join(wide, "tri", "left").groupBy(id_col, "n_tri").agg(
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in wcols]
+    )
+    scores = F.array(
+        *[
+            F.struct((F.col(c) - F.col("n_tri") * F.lit(logden)).alias("score"), F.lit(lang).alias("lang"))
+            for (lang, logden), c in zip(consts, wcols)
+        ]
     )
     best = F.array_max(F.transform(F.col("_s"), lambda x: x["score"]))
     pred = F.array_min(F.transform(F.filter(F.col("_s"), lambda x: x["score"] == best), lambda x: x["lang"]))

@@ -76,46 +76,37 @@ def _logsumexp(a: float, b: float) -> float:
 
 def expected_counts(word: str, logp: dict, max_len: int = MAX_PIECE) -> tuple[dict, float]:
     """Forward-backward over the piece lattice of ``word``: expected number of
-    occurrences of each piece and log Z (-inf when no segmentation exists)."""
+    occurrences of each piece and log Z (-inf when no segmentation exists).
+    The lattice edges are looked up once and reused by all three passes."""
     n = len(word)
     ninf = -math.inf
-    alpha = [ninf] * (n + 1)
-    alpha[0] = 0.0
+    edges = []  # (start, end, piece, log p) in increasing end order
     for j in range(1, n + 1):
-        acc = ninf
         for i in range(max(0, j - max_len), j):
-            if alpha[i] == ninf:
-                continue
-            lp = logp.get(word[i:j])
+            p = word[i:j]
+            lp = logp.get(p)
             if lp is not None:
-                acc = _logsumexp(acc, alpha[i] + lp)
-        alpha[j] = acc
+                edges.append((i, j, p, lp))
+    alpha = [ninf] * (n + 1)
+    alpha[0] = 0.0
+    for i, j, _, lp in edges:
+        if alpha[i] != ninf:
+            alpha[j] = _logsumexp(alpha[j], alpha[i] + lp)
     z = alpha[n]
     if z == ninf:
         return {}, z
     beta = [ninf] * (n + 1)
     beta[n] = 0.0
-    for i in range(n - 1, -1, -1):
-        acc = ninf
-        for j in range(i + 1, min(n, i + max_len) + 1):
-            if beta[j] == ninf:
-                continue
-            lp = logp.get(word[i:j])
-            if lp is not None:
-                acc = _logsumexp(acc, lp + beta[j])
-        beta[i] = acc
+    for i, j, _, lp in reversed(edges):  # decreasing end: beta[j] is final when used
+        if beta[j] != ninf:
+            beta[i] = _logsumexp(beta[i], lp + beta[j])
     out: dict = {}
-    for i in range(n):
-        if alpha[i] == ninf:
+    for i, j, p, lp in edges:
+        if alpha[i] == ninf or beta[j] == ninf:
             continue
-        for j in range(i + 1, min(n, i + max_len) + 1):
-            p = word[i:j]
-            lp = logp.get(p)
-            if lp is None or beta[j] == ninf:
-                continue
-            c = math.exp(alpha[i] + lp + beta[j] - z)
-            if c > 0:
-                out[p] = out.get(p, 0.0) + c
+        c = math.exp(alpha[i] + lp + beta[j] - z)
+        if c > 0:
+            out[p] = out.get(p, 0.0) + c
     return out, z
 
 
@@ -145,10 +136,12 @@ def viterbi_length(word: str, logp: dict, max_len: int = MAX_PIECE) -> int:
 
 
 def _model_dict(pieces: DataFrame) -> dict:
-    n = pieces.count()
-    if n > MAX_MODEL_PIECES:
-        raise ValueError(f"piece table of {n} rows exceeds the broadcast bound {MAX_MODEL_PIECES}")
-    return {r["piece"]: float(r["logp"]) for r in pieces.select("piece", "logp").collect()}
+    """The piece table as a dict for broadcasting; at most MAX_MODEL_PIECES rows
+    are ever pulled to the driver (one more only to detect an overflow)."""
+    rows = pieces.select("piece", "logp").limit(MAX_MODEL_PIECES + 1).collect()
+    if len(rows) > MAX_MODEL_PIECES:
+        raise ValueError(f"piece table exceeds the broadcast bound {MAX_MODEL_PIECES}")
+    return {r["piece"]: float(r["logp"]) for r in rows}
 
 
 def _e_step(words: DataFrame, bc) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, materialize
 
 SPACE = "▁"  # word-start marker
 MAX_PIECE = 16
@@ -192,13 +192,15 @@ def fit_sweep(words: DataFrame, sizes: Sequence[int], seed_factor: int = SEED_FA
 
     def em(m: DataFrame) -> DataFrame:
         bc = spark.sparkContext.broadcast(_model_dict(m))
-        nxt = _normalise(_e_step(words, bc)).checkpoint(eager=True)
+        nxt = materialize(_normalise(materialize(_e_step(words, bc))))
         bc.unpersist()
         return nxt
 
-    for target in sizes:
-        # one EM step per pruning round, EM_STEPS once the size is reached
-        model = em(model)
+    for k, target in enumerate(sizes):
+        # one EM step per pruning round, EM_STEPS once the size is reached; a
+        # smaller size continues from the re-estimated model of the larger one
+        if k == 0:
+            model = em(model)
         size = model.count()
         while size > target:
             model = em(_prune(model, max(target, int(size * SHRINK))).checkpoint(eager=True))

@@ -18,14 +18,13 @@ from quarry.operators import grade as G
 from quarry.operators import langid as L
 from quarry.operators import sampling as SM
 from quarry.operators import validate as VA
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 from quarry.sources import csv as CSV
 
 
 def training_split_text(rows: DataFrame, sample_size: int, valid_size: float, seed: int) -> DataFrame:
     """JOB1 core: SMP1 -> SMP2 -> PRJ9; columns id, prompt, answer, split, text."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    sampled = SM.sample_exact(rows, sample_size, seed, "id").checkpoint(eager=True)
+    sampled = materialize(SM.sample_exact(rows, sample_size, seed, "id"))
     split = SM.train_valid_split(sampled, valid_size, seed, "id")
     return split.withColumn("text", T.render_training_text("prompt", "answer"))
 
@@ -83,8 +82,7 @@ def curate_corpus(
     rows = rows.join(pred.where(F.col("predicted") == language).select(id_col), id_col, "left_semi")
     # the exact-size selection reads its input several times (histogram, boundary,
     # final filter): materialise the curated survivors once in the shared folder
-    ensure_checkpoint_dir(docs.sparkSession)
-    rows = rows.checkpoint(eager=True)
+    rows = materialize(rows)
     return SM.size_adjust(rows, size, seed, stratum, id_col)
 
 

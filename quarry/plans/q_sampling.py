@@ -9,7 +9,7 @@ from quarry.functions import text as T
 from quarry.operators import sampling as SM
 from quarry.plans import sqltext as S
 from quarry.plans.registry import query
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 from quarry.sources.tables import table
 
 SEED = 42
@@ -41,8 +41,7 @@ r AS (SELECT o_orderkey, row_number() OVER (ORDER BY {S.hash_hex('split', SEED,
 def _split(spark, d):
     # the split reads the sample several times (count, histogram, boundary,
     # final pass): materialise the sampled keys once
-    ensure_checkpoint_dir(spark)
-    sampled = SM.sample_exact(_orders(spark, d).select("o_orderkey"), SAMPLE_K, SEED, "o_orderkey").checkpoint(eager=True)
+    sampled = materialize(SM.sample_exact(_orders(spark, d).select("o_orderkey"), SAMPLE_K, SEED, "o_orderkey"))
     return SM.train_valid_split(sampled, VALID, SEED, "o_orderkey")
 
 

@@ -47,3 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def materialize(df):
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder, computed once.
+
+    ``Dataset.checkpoint`` runs one job to compute and a second to write the
+    files; persisting first makes the second job read the cached blocks
+    instead of recomputing the plan. The cache is dropped once the files exist."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

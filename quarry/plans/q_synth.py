@@ -11,6 +11,7 @@ from quarry.operators import synth as Y
 from quarry.plans import sqltext as S
 from quarry.plans import views as V
 from quarry.plans.registry import query
+from quarry.session import materialize
 from quarry.sources.tables import table
 
 SEED = 42
@@ -119,6 +120,8 @@ def eval_set(spark, d):
     """JOB3: computed puzzles + accepted generations (SET2), shuffled with
     ``eval_%05d`` ids (SMP3, PRJ13)."""
     allrows = puzzles(spark, d).unionByName(Y.quota_per_category(V.gens(spark, d), QUOTA))
+    # numbering reads its input twice (prefix histogram, ranked pass): generate once
+    allrows = materialize(allrows)
     pos = SM.dense_positions(allrows, SEED, "id", "pos", tag="eval")
     return pos.select(F.format_string("eval_%05d", F.col("pos").cast("int")).alias("id"), "prompt", "answer", "category", F.col("id").alias("source_id"))
 

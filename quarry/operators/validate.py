@@ -62,7 +62,7 @@ def _pairs_of(prompt: Column, pat: str) -> Column:
 def question(prompt: Column, category: Column) -> Column:
     """The value the puzzle asks about (stripped), null when not found."""
     now = F.filter(_lines(prompt), lambda l: l.rlike(NOW_LINE))
-    generic = T.strip(F.regexp_extract(F.coalesce(F.element_at(now, -1), F.lit("")), NOW_LINE, 1))
+    generic = T.strip(F.regexp_extract(F.coalesce(F.try_element_at(now, F.lit(-1)), F.lit("")), NOW_LINE, 1))
     out = F.when(F.size(now) > 0, generic)
     for cat, pat in QUESTION_PATTERNS.items():
         out = F.when(category == cat, F.when(prompt.rlike(pat), F.regexp_extract(prompt, pat, 1))).otherwise(out)

@@ -123,7 +123,7 @@ def eval_set(spark, d):
     # numbering reads its input twice (prefix histogram, ranked pass): generate once
     allrows = materialize(allrows)
     pos = SM.dense_positions(allrows, SEED, "id", "pos", tag="eval")
-    return pos.select(F.format_string("eval_%05d", F.col("pos").cast("int")).alias("id"), "prompt", "answer", "category", F.col("id").alias("source_id"))
+    return pos.select(F.format_string("eval_%05d", F.col("pos")).alias("id"), "prompt", "answer", "category", F.col("id").alias("source_id"))
 
 
 _EVAL_SQL = (

@@ -91,9 +91,12 @@ def duplicate_groups(docs: DataFrame, salts: int = SALTS, digest=sha256_hex) ->
     variants = winners.groupBy("digest").agg(F.count("*").alias("v"), F.min("first").alias("first"), F.sum("n").alias("n"))
     # one content under a digest: the digest stands for it, shown by the comparison above
     single = local.drop("content").join(variants.where("v = 1").drop("v"), "digest")
+    named = single
     clash = variants.where("v > 1").select("digest")
-    several = local.join(winners.join(clash, "digest", "left_semi"), ["digest", "content"]).drop("content")
-    named = single.unionByName(several)
+    if not clash.isEmpty():  # these alone carry their contents into a join once more
+        few = stored(clash, "clash")
+        several = local.join(few, "digest", "left_semi").join(winners.join(few, "digest", "left_semi"), ["digest", "content"]).drop("content")
+        named = single.unionByName(several)
     mine = (F.col("first.task") == F.col("task")) & (F.col("first.seq") == F.col("seq"))
     each = named.select("sha", F.col("first.first_id").alias("keep_id"), F.col("n").alias("group_size"), mine.alias("mine"), F.posexplode("members").alias("at", "doc_id"))
     # members are sorted by id: the first one of the winning local row is the one that stays

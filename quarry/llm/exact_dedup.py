@@ -87,8 +87,8 @@ def duplicate_groups(docs: DataFrame, salts: int = SALTS, digest=sha256_hex) ->
     best, n = F.min("first").alias("first"), F.sum("n").alias("n")
     parts = local.select("digest", "content", F.struct("no_id", "first_id", "task", "seq").alias("first"), F.size("members").cast("bigint").alias("n"), salt_of("task", "seq", buckets=salts).alias("salt"))
     salted = parts.groupBy("digest", "salt", "content").agg(best, n)
-    winners = stored(salted.groupBy("digest", "content").agg(best, n), "winners")
-    variants = winners.groupBy("digest").agg(F.count("*").alias("v"), F.min("first").alias("first"), F.sum("n").alias("n"))
+    winners = salted.groupBy("digest", "content").agg(best, n)
+    variants = stored(winners.groupBy("digest").agg(F.count("*").alias("v"), F.min("first").alias("first"), F.sum("n").alias("n")), "winners")
     # one content under a digest: the digest stands for it, shown by the comparison above
     single = local.drop("content").join(variants.where("v = 1").drop("v"), "digest")
     named = single

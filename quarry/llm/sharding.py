@@ -115,20 +115,19 @@ def assign(rows: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     held = stored(sized.select("g", "shard", F.col("held").alias("n")).where("n > 0").unionByName(spare).groupBy("g", "shard").agg(F.sum("n").alias("n")), "plan")
     used = {r["shard"]: r["n"] for r in held.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     plan = held.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("parts"))  # n_shards entries at most
-    # a member's rank in its group decides its part; the rank is salted, so that a hot group is many windows
-    j = rows.join(plan, "g", "left").withColumn("_bucket", salt_of("doc_id", F.lit("rank"), buckets=64))
-    alone = j.where(F.col("parts").isNull()).drop("_bucket", "parts").withColumn("shard", F.lit(None).cast("int"))
-    together = j.where(F.col("parts").isNotNull())
-    sums = together.groupBy("g", "_bucket").agg(F.count("*").alias("_n"))
-    off = sums.select("g", "_bucket", F.coalesce(F.sum("_n").over(Window.partitionBy("g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    # a member's rank in its group decides its part; ranks are salted, and the plan
+    # reaches the members per (group, salt), so that a hot group is many windows and join keys
+    salted = rows.withColumn("_bucket", salt_of("doc_id", F.lit("rank"), buckets=64))
+    before = Window.partitionBy("g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = salted.groupBy("g", "_bucket").agg(F.count("*").alias("_n"))
+    info = sums.select("g", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")).join(plan, "g", "left")
     inside = F.row_number().over(Window.partitionBy("g", "_bucket").orderBy("doc_id")) - 1
-    ranked = together.withColumn("_in", inside).join(off, ["g", "_bucket"]).withColumn("_rank", F.col("_off") + F.col("_in"))
+    ranked = salted.withColumn("_in", inside).join(info, ["g", "_bucket"]).withColumn("_rank", F.col("_off") + F.col("_in"))
     start = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit(None).cast("int").alias("shard"))
     pick = F.aggregate(
         "parts", start, lambda acc, p: F.struct((acc["end"] + p["n"]).alias("end"), F.coalesce(acc["shard"], F.when(F.col("_rank") < acc["end"] + p["n"], p["shard"])).alias("shard")), lambda acc: acc["shard"]
     )
-    placed = ranked.withColumn("shard", pick).drop("_bucket", "_in", "_off", "_rank", "parts")
-    both = stored(placed.unionByName(alone), "placed")
+    both = stored(ranked.withColumn("shard", F.when(F.col("parts").isNotNull(), pick)).drop("_bucket", "_in", "_off", "_rank", "parts"), "placed")
     # documents without links fill the room left, in the order of a distributed rank
     pool = both.where(F.col("shard").isNull()).drop("shard").withColumn("_part", F.lit(0)).withColumn("_bucket", salt_of("doc_id", F.lit("pool"), buckets=BUCKETS))
     pool = running_total(pool, ["_part"], ["doc_id", "g"], F.lit(1), "_rank")

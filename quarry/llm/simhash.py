@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import connected_components, read, stored
+from quarry.llm.common import connected_components, read, salt_of, stored
 from quarry.llm.registry import query
 
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
+SALTS = 64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -238,14 +239,16 @@ def links(fps: DataFrame, k: int = MAX_BITS, rows_at_once: int = 1 << 18) -> Dat
 
 def components(docs: DataFrame, shingle: int = SHINGLE, k: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id): one row per document row."""
-    each = stored(fingerprints(docs, shingle), "fp")
-    nodes = stored(each.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fpnodes")
+    each = stored(fingerprints(docs, shingle), "fp").withColumn("_salt", salt_of("doc_id", buckets=SALTS))
+    parts = stored(each.groupBy("fp", "_salt").agg(F.min("doc_id").alias("first_id")), "fpparts")
+    nodes = stored(parts.groupBy("fp").agg(F.min("first_id").alias("first_id")), "fpnodes")
     roots = connected_components(links(nodes, k))
     ids = nodes.join(roots, nodes["fp"] == roots["node"]).groupBy("root").agg(F.min("first_id").alias("component_id"))
     # only fingerprints with a near partner need the join to their component
     linked = roots.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return each.join(named, "fp").select("doc_id", "fp", "component_id")
+    # names reach the rows per (fingerprint, salt): a text that a third of all rows share is many join keys
+    return each.join(parts.select("fp", "_salt").join(named, "fp"), ["fp", "_salt"]).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, k: int = MAX_BITS, broadcast_ids: int = 2_000_000) -> DataFrame:

@@ -92,10 +92,14 @@ def n_hit(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda acc: acc["n"])
 
 
-def remove_documents(docs: DataFrame, bench: DataFrame, n: int = 10) -> DataFrame:
-    """The documents without any verified hit, all their columns as they were."""
-    bad = scan(docs, bench, n).where(F.size("items") > 0).select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_key")), "left_anti")
+def remove_documents(docs: DataFrame, bench: DataFrame, n: int = 10, broadcast_docs: int = 2_000_000) -> DataFrame:
+    """The documents without any verified hit, all their columns as they were.
+
+    The keys of the hit ones are counted first and broadcast up to
+    ``broadcast_docs`` (32 MB); beyond, the texts are shuffled to meet them."""
+    bad = stored(scan(docs, bench, n).where(F.size("items") > 0).select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct(), "hits")
+    few = F.broadcast(bad) if bad.count() <= broadcast_docs else bad
+    return docs.join(few, docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_key")), "left_anti")
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, n: int = 10) -> DataFrame:

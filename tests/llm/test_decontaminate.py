@@ -58,6 +58,7 @@ def test_removal(spark):
     kept = D.remove_documents(docs, bench_table(spark))
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in rows_of(kept)) == [3, 4, 5, 6, 7, 8, 9]
+    assert sorted(r["doc_id"] for r in rows_of(D.remove_documents(docs, bench_table(spark), broadcast_docs=0))) == [3, 4, 5, 6, 7, 8, 9]
     cut = {(r["doc_id"], r["text"]) for r in rows_of(D.remove_spans(docs, bench_table(spark)))}
     assert (1, " today") in cut and (6, LONG) in cut and (3, None) in cut and (4, "") in cut
 

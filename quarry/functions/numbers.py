@@ -33,7 +33,7 @@ def div_round_half_up(num: Column, den: int) -> Column:
 ROMAN_UNITS = ["", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"]
 ROMAN_TENS = ["", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC"]
 ROMAN_HUNDREDS = ["", "C", "CC", "CCC", "CD", "D", "DC", "DCC", "DCCC", "CM"]
-ROMAN_THOUSANDS = ["", "M", "MM", "MMM"]
+ROMAN_THOUSAND = "M"
 
 
 def _digit(n: Column, place: int) -> Column:
@@ -41,16 +41,17 @@ def _digit(n: Column, place: int) -> Column:
 
 
 def int_to_roman(n) -> Column:
-    """Roman numeral of 0..3999 (0 -> '', null above 3999); per decimal place,
-    which equals greedy subtraction."""
+    """Roman numeral; per decimal place, which equals greedy subtraction. ``M``
+    repeats without limit; zero and negative numbers give ''."""
     n = F.col(n) if isinstance(n, str) else n
 
     def pick(table, idx):
         return F.try_element_at(F.array(*[F.lit(s) for s in table]), idx + 1)
 
+    n = F.greatest(n, F.lit(0))
     thousands = F.floor(n / F.lit(1000)).try_cast("int")
     return F.concat(
-        pick(ROMAN_THOUSANDS, thousands),
+        F.repeat(F.lit(ROMAN_THOUSAND), thousands),
         pick(ROMAN_HUNDREDS, _digit(n, 100)),
         pick(ROMAN_TENS, _digit(n, 10)),
         pick(ROMAN_UNITS, _digit(n, 1)),

@@ -144,7 +144,7 @@ def render_training_text(prompt, answer) -> Column:
     text = F.concat(
         F.lit(IM_START + "user\n"), p, F.lit(IM_END + "\n" + IM_START + "assistant\n"), a, F.lit(IM_END)
     )
-    return F.when(a.isNull(), F.raise_error(F.lit("Training examples must include answers."))).otherwise(text)
+    return F.when(a.isNull(), F.raise_error(F.lit("a row for training has no answer"))).otherwise(text)
 
 
 def render_generation_prompt(prompt) -> Column:
@@ -172,8 +172,8 @@ DECIMAL = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 
 
 def canonical_text(x) -> Column:
-    """Normalised answer text (strip + whitespace collapse, no NFKC)."""
-    return collapse_ws(strip(F.coalesce(_c(x), F.lit(""))))
+    """Normalised answer text, the one that exact match compares."""
+    return normalize_answer(x)
 
 
 def canonical_value(x) -> Column:
@@ -182,11 +182,11 @@ def canonical_value(x) -> Column:
     v = canonical_text(x)
 
     def frac(pat):
-        num = F.regexp_extract(v, pat, 1).cast("double")
-        den = F.regexp_extract(v, pat, 2).cast("double")
+        num = F.regexp_extract(v, pat, 1).try_cast("double")
+        den = F.regexp_extract(v, pat, 2).try_cast("double")
         return F.when(v.rlike(pat) & (den != 0), num / den)
 
-    return F.coalesce(frac(FRAC_LATEX), frac(FRAC_PLAIN), F.when(v.rlike(DECIMAL), v.cast("double")))
+    return F.coalesce(frac(FRAC_LATEX), frac(FRAC_PLAIN), F.when(v.rlike(DECIMAL), v.try_cast("double")))
 
 
 def answers_equivalent(a, b, tol: float = 1e-9) -> Column:

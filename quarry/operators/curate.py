@@ -142,11 +142,19 @@ def batch_defect_rates(df: DataFrame, batch: str = "batch", defect: str = "defec
     return df.groupBy(batch).agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg(defect).alias("defect_rate"))
 
 
+def rejected_batches(df: DataFrame, batch: str = "batch", defect: str = "defect", max_rate: float = 0.10) -> DataFrame:
+    """Batches whose rated rows exceed ``max_rate``, as _bad_batch."""
+    return batch_defect_rates(df, batch, defect).where(F.col("defect_rate") > max_rate).select(F.col(batch).alias("_bad_batch"))
+
+
 def batch_rejection(df: DataFrame, batch: str = "batch", defect: str = "defect", max_rate: float = 0.10) -> DataFrame:
     """FLT12: drop whole batches whose defect rate exceeds ``max_rate``.
 
+    The rate is taken over the rated rows; unrated rows go or stay with their
+    batch, and a batch without any rated row stays (nothing speaks against it).
+
     The per-batch table is one row per batch (partial aggregation first, so a
-    huge batch is never collected in one task); the keep side is a left-semi
+    huge batch is never collected in one task); the drop side is a left-anti
     join that Spark broadcasts when the batch table is small."""
-    good = batch_defect_rates(df, batch, defect).where(F.col("defect_rate") <= max_rate).select(batch)
-    return df.join(good, batch, "left_semi")
+    bad = rejected_batches(df, batch, defect, max_rate)
+    return df.join(bad, df[batch].eqNullSafe(bad["_bad_batch"]), "left_anti")

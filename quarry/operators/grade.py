@@ -83,11 +83,14 @@ def majority_vote(votes: DataFrame, problem: str = "problem", sample: str = "sam
 
 
 def best_of_n(votes: DataFrame, problem: str = "problem", sample: str = "sample_idx", answer: str = "answer", score: str = "score") -> DataFrame:
-    """AGG12: answer with the highest score; ties to the smaller sample index, then answer."""
-    order_key = F.struct((-F.col(score)).alias("neg_score"), F.col(sample), F.col(answer))
+    """AGG12: answer with the highest score; ties to the smaller sample index, then
+    answer. Null and NaN scores do not vote; a problem with no other keeps a null answer."""
+    s = F.col(score).cast("double")
+    scored = F.col(score).isNotNull() & ~F.isnan(s)
+    order_key = F.when(scored, F.struct((-F.col(score)).alias("neg_score"), F.col(sample), F.col(answer)))
     return votes.groupBy(problem).agg(
         F.min_by(F.col(answer), order_key).alias("answer"),
-        F.max(score).alias("score"),
+        F.max(F.when(scored, F.col(score))).alias("score"),
     )
 
 

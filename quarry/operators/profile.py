@@ -18,10 +18,15 @@ from quarry.functions import text as T
 QUANTILES = (0.25, 0.5, 0.75)
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
 def _melt(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Long format (by..., measure, value BIGINT) without a shuffle."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("bigint").alias("value")) for c in cols])
-    return df.select(*by, F.inline(pairs))
+    """Long format (by..., measure, value) without a shuffle: BIGINT where every
+    measure is a whole number, else DOUBLE. Nulls are no values."""
+    kind = "bigint" if all(df.schema[c].dataType.simpleString() in _WHOLE for c in cols) else "double"
+    pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast(kind).alias("value")) for c in cols])
+    return df.select(*by, F.inline(pairs)).where(F.col("value").isNotNull())
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -32,10 +37,14 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), decimal
     """pandas ``describe().round(1)`` per measure: count, mean, std (n-1), min,
     25/50/75 % (linear interpolation), max. Rounding is half-even like numpy.
 
-    Moments use exact DECIMAL(38,0) sums of the value counts, so the variance
-    has no cancellation error however many rows there are.
+    Whole numbers: moments use exact DECIMAL(38,0) sums of the value counts, so
+    the variance has no cancellation error however many rows there are. Other
+    measures keep their fractions; their variance is summed around the mean.
+    Nulls are left out, as pandas does.
     """
     vc = value_counts(df, cols, by)
+    if dict(vc.dtypes)["value"] == "double":
+        return _describe_doubles(vc, by, decimals)
     dec = "decimal(38,0)"
     c = F.col("cnt").cast(dec)
     v = F.col("value").cast(dec)
@@ -70,6 +79,36 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), decimal
     )
 
 
+def _describe_doubles(vc: DataFrame, by: Sequence[str], decimals: int) -> DataFrame:
+    keys = [*by, "measure"]
+    first = vc.groupBy(*keys).agg(
+        F.sum("cnt").alias("n"),
+        (F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("mu"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.percentile(F.col("value"), F.array(*[F.lit(x) for x in QUANTILES]), F.col("cnt")).alias("pct"),
+    )
+    around = vc.select(*[F.col(k).alias(f"_{k}") for k in keys], "value", "cnt")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    dev = around.join(first, same).groupBy(*keys, "n", "mu", "min", "max", "pct").agg(F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mu"), 2)).alias("ss"))
+
+    def r(x: Column) -> Column:
+        return F.bround(x, decimals)
+
+    std = F.when(F.col("n") > 1, F.sqrt(F.try_divide(F.col("ss"), (F.col("n") - 1).cast("double"))))
+    return dev.select(
+        *keys, F.col("n").cast("bigint").alias("count"), r(F.col("mu")).alias("mean"), r(std).alias("std"), F.col("min"),
+        r(F.col("pct")[0]).alias("p25"), r(F.col("pct")[1]).alias("p50"), r(F.col("pct")[2]).alias("p75"), F.col("max"),
+    )
+
+
+def token_columns(df: DataFrame, prompt: str = "prompt", answer: str = "answer", chars_per_token: float = 4.0) -> DataFrame:
+    """token_estimate: characters of both texts over ``chars_per_token``, a fraction."""
+    return df.withColumn("token_estimate", (T.char_length(prompt) + T.char_length(answer)) / F.lit(chars_per_token))
+
+
 def length_columns(df: DataFrame, prompt: str = "prompt", answer: str = "answer") -> DataFrame:
     """len_prompt, len_answer, total_len (code points; null counts 0)."""
     return df.withColumn("len_prompt", T.char_length(prompt)).withColumn("len_answer", T.char_length(answer)).withColumn(
@@ -113,7 +152,8 @@ def density_curve(df: DataFrame, col: str, gridsize: int = 200, decimals: int =
     ``sd * n^-0.2`` (the kernel seaborn draws over a histogram).
 
     Work is per distinct value: each value-count row emits its contribution to
-    the grid points and a partial aggregate sums them per point.
+    the grid points and a partial aggregate sums them per point. A single row or
+    equal values have no bandwidth: no curve (no rows).
     """
     x = F.col(col).cast("double")
     vc = df.where(F.col(col).isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("cnt"))
@@ -125,14 +165,14 @@ def density_curve(df: DataFrame, col: str, gridsize: int = 200, decimals: int =
     step = (hi - lo) / F.lit(float(gridsize - 1))
     pts = vc.select("x", "cnt", F.posexplode(F.array_repeat(F.lit(0), gridsize)).alias("i", "_z"))
     gx = lo + F.col("i") * step
-    contrib = F.col("cnt") * F.exp(-0.5 * F.pow((gx - F.col("x")) / h, 2))
+    contrib = F.col("cnt") * F.exp(-0.5 * F.pow(F.try_divide(gx - F.col("x"), h), 2))
     dens = pts.groupBy("i").agg(F.sum(contrib).alias("s"))
     norm = n.cast("double") * h * F.lit((2 * 3.141592653589793) ** 0.5)
     return dens.select(
         F.col("i").cast("bigint").alias("point"),
         F.round(lo + F.col("i") * step, 9).alias("x"),
-        F.round(F.col("s") / norm, decimals).alias("density"),
-    )
+        F.round(F.try_divide(F.col("s"), norm), decimals).alias("density"),
+    ).where(F.col("density").isNotNull())
 
 
 def top_words(df: DataFrame, cols: Sequence[str] = ("prompt", "answer"), k: int = 10) -> DataFrame:

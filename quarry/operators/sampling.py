@@ -11,8 +11,9 @@ sorting the table:
 
 Dense positions (a shuffled ``0..n-1`` numbering) use per-prefix offsets and a
 ``row_number`` partitioned by prefix; md5 prefixes are uniform, so no task
-gets more than ~n/16^P rows. ``id`` must be unique (see the duplicate-id
-check) for the (h, id) order to be total.
+gets more than ~n/16^P rows. Rows that share an id share (h, id); where the
+k-th key is such a tie, only as many of its rows are taken as are still needed,
+so the sample has exactly k rows. A null stratum is a stratum like any other.
 """
 
 from __future__ import annotations
@@ -39,12 +40,23 @@ def _key_le(h: Column, i: Column, kh: Column, ki: Column) -> Column:
     return (h < kh) | ((h == kh) & (i <= ki))
 
 
+def _on_group(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on the stratum columns, null matching null; ``left``'s columns and the rest of ``right``'s."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    cond = None
+    for c in cols:
+        e = left[c].eqNullSafe(r[f"_r_{c}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def kth_keys(
     df: DataFrame, quota: int | DataFrame, h: str = "_h", id_col: str = "id", group: Sequence[str] = (), prefix_hex: int = PREFIX_HEX
 ) -> tuple[DataFrame, bool]:
     """Per stratum (``group``; one stratum when empty) the quota and the k-th
-    smallest (h, id): columns group..., quota, kh, kid. kh/kid are null when
-    the quota covers the whole stratum. Returns (keys, small): ``small`` says
+    smallest (h, id): columns group..., quota, kh, kid, kn. kh/kid are null when
+    the quota covers the whole stratum; kn is how many rows with that very key
+    are among the first k (1 where ids are unique). Returns (keys, small): ``small`` says
     the key table was proven small enough to broadcast (one row per stratum)."""
     group = list(group)
     g_cols = group or ["_g"]
@@ -61,23 +73,24 @@ def kth_keys(
             q = quota if group else quota.withColumn("_g", F.lit(0))
             q = q.select(*g_cols, F.col("quota").cast("bigint"))
         small = q.count() <= MAX_BROADCAST_ROWS
-    qb = F.broadcast(q) if small else q
     w = Window.partitionBy(*g_cols).orderBy("_pre").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("_cum", F.sum("_c").over(w)).join(qb, g_cols)
+    qb = F.broadcast(q) if small else q
+    cum = _on_group(hist.withColumn("_cum", F.sum("_c").over(w)), qb, g_cols)
     boundary = (
         cum.where((F.col("_cum") >= F.col("quota")) & (F.col("quota") > 0))
         .groupBy(*g_cols)
         .agg(F.min_by(F.struct(F.col("_pre"), (F.col("quota") - F.col("_cum") + F.col("_c")).alias("need")), F.col("_pre")).alias("b"))
         .select(*g_cols, F.col("b._pre").alias("_bp"), F.col("b.need").alias("_need"))
     )
-    cand = src.join(F.broadcast(boundary) if small else boundary, g_cols).where(pre == F.col("_bp"))
+    cand = _on_group(src, F.broadcast(boundary) if small else boundary, g_cols).where(pre == F.col("_bp"))
     rw = Window.partitionBy(*g_cols).orderBy(F.col(h), F.col(id_col))
     kth = (
         cand.withColumn("_rn", F.row_number().over(rw))
+        .withColumn("_first", F.min("_rn").over(Window.partitionBy(*g_cols, F.col(h), F.col(id_col))))
         .where(F.col("_rn") == F.col("_need"))
-        .select(*g_cols, F.col(h).alias("kh"), F.col(id_col).alias("kid"))
+        .select(*g_cols, F.col(h).alias("kh"), F.col(id_col).alias("kid"), (F.col("_need") - F.col("_first") + 1).alias("kn"))
     )
-    return q.join(kth, g_cols, "left"), small
+    return _on_group(q, kth, g_cols, "left"), small
 
 
 def select_k_smallest(
@@ -89,16 +102,22 @@ def select_k_smallest(
     g_cols = group or ["_g"]
     src = df if group else df.withColumn("_g", F.lit(0))
     keys, small = kth_keys(df, quota, h, id_col, group)
-    j = src.join(F.broadcast(keys) if small else keys, g_cols, "left")
+    j = _on_group(src, F.broadcast(keys) if small else keys, g_cols, "left")
+    at_key = F.coalesce((F.col(h) == F.col("kh")) & F.col(id_col).eqNullSafe(F.col("kid")), F.lit(False))
     sel = (
         F.when(F.col("quota").isNull() | (F.col("quota") <= 0), F.lit(False))
         .when(F.col("kh").isNull(), F.lit(True))
         .otherwise(_key_le(F.col(h), F.col(id_col), F.col("kh"), F.col("kid")))
     )
     out_cols = list(df.columns)
+    # the k-th key's own rows (one per stratum where ids are unique) are counted off
+    tie = Window.partitionBy(*g_cols).orderBy(F.col(h))
+    ends = j.where(at_key).withColumn("_take", F.row_number().over(tie) <= F.col("kn"))
+    rest = j.where(~at_key).withColumn("_take", F.coalesce(sel, F.lit(False)))
+    both = rest.unionByName(ends)
     if flag:
-        return j.select(*out_cols, sel.alias(flag))
-    return j.where(sel).select(*out_cols)
+        return both.select(*out_cols, F.col("_take").alias(flag))
+    return both.where("_take").select(*out_cols)
 
 
 def sample_exact(df: DataFrame, k: int, seed: int, id_col: str = "id") -> DataFrame:
@@ -145,11 +164,10 @@ def dense_positions(df: DataFrame, seed: int, id_col: str = "id", out: str = "po
 
 
 def stratified_sample(df: DataFrame, category: str, k: int, seed: int, id_col: str = "id") -> DataFrame:
-    """SMP5: k seeded rows per category (``row_number <= k`` becomes a
-    per-partition group limit before the shuffle)."""
+    """SMP5: k seeded rows per category, by each category's k-th key: no task
+    gets a whole category, whatever k."""
     hd = with_hash(df, id_col, seed, "stratified")
-    w = Window.partitionBy(category).orderBy(F.col("_h"), F.col(id_col))
-    return hd.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn", "_h")
+    return select_k_smallest(hd, k, "_h", id_col, group=[category]).drop("_h")
 
 
 def review_sample(df: DataFrame, k: int, seed: int, id_col: str = "id") -> DataFrame:

@@ -98,10 +98,14 @@ def _tolerance(xq: Column, sx: Column, sxx: Column) -> Column:
 
 
 def _bits_consistent(allp: Column) -> Column:
-    def mask(p):
-        return F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.when(F.substring(p["lhs"], i, 1) == F.substring(p["rhs"], i, 1), "0").otherwise("1")))
+    def per_position(i):
+        """Copy, inversion or a constant: equal input bits have equal output bits.
+        These four cover XOR, AND, OR and NOT with a mask."""
+        seen = F.transform(allp, lambda p: F.substring(p["lhs"], i, 1))
+        both = F.transform(allp, lambda p: F.concat(F.substring(p["lhs"], i, 1), F.substring(p["rhs"], i, 1)))
+        return F.size(F.array_distinct(both)) == F.size(F.array_distinct(seen))
 
-    xor_ok = F.size(F.array_distinct(F.transform(allp, mask))) == 1
+    mask_ok = F.forall(F.sequence(F.lit(1), F.lit(8)), per_position)
 
     def rule(fn):
         return F.exists(F.sequence(F.lit(1), F.lit(7)), lambda r: F.forall(allp, lambda p: fn(p["lhs"], r) == p["rhs"]))
@@ -110,7 +114,7 @@ def _bits_consistent(allp: Column) -> Column:
     shl = rule(lambda s, r: F.concat(F.substring(s, r + 1, 8), F.repeat(F.lit("0"), r)))
     shr = rule(lambda s, r: F.concat(F.repeat(F.lit("0"), r), F.substring(s, 1, 8 - r)))
     well = F.forall(allp, lambda p: p["lhs"].rlike(BITS8) & p["rhs"].rlike(BITS8))
-    return well & (xor_ok | rot | shl | shr)
+    return well & (mask_ok | rot | shl | shr)
 
 
 def _char_map_consistent(allp: Column) -> Column:

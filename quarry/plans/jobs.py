@@ -16,6 +16,7 @@ from quarry.functions import text as T
 from quarry.operators import curate as C
 from quarry.operators import grade as G
 from quarry.operators import langid as L
+from quarry.operators import profile as P
 from quarry.operators import sampling as SM
 from quarry.operators import validate as VA
 from quarry.session import materialize
@@ -23,39 +24,46 @@ from quarry.sources import csv as CSV
 
 
 def training_split_text(rows: DataFrame, sample_size: int, valid_size: float, seed: int) -> DataFrame:
-    """JOB1 core: SMP1 -> SMP2 -> PRJ9; columns id, prompt, answer, split, text."""
+    """JOB1 core: SMP1 -> SMP2 -> PRJ9; columns id, prompt, answer, split, text.
+    Only training rows are rendered, so only they need an answer."""
     sampled = materialize(SM.sample_exact(rows, sample_size, seed, "id"))
     split = SM.train_valid_split(sampled, valid_size, seed, "id")
-    return split.withColumn("text", T.render_training_text("prompt", "answer"))
+    return split.withColumn("text", F.when(F.col("split") == "train", T.render_training_text("prompt", "answer")))
 
 
 def prepare_training_data(spark: SparkSession, csv_path: str, out_dir: str, sample_size: int = 0, valid_size: float = 0.0, seed: int = 42) -> dict:
-    """JOB1: scan the puzzle CSV once into Parquet, sample, split, write the split
-    CSVs (partitioned by split), the training-text JSON lines and the run metadata."""
+    """JOB1: scan the puzzle CSV once into Parquet, sample, split, write one CSV
+    folder per split, the training-text JSON lines and the run metadata."""
     staged = f"{out_dir}/staged.parquet"
     CSV.read_puzzles(spark, csv_path).write.mode("overwrite").parquet(staged)
     rows = spark.read.parquet(staged)
     total = rows.count()
-    out = training_split_text(rows, sample_size, valid_size, seed)
-    out.write.mode("overwrite").partitionBy("split").option("header", "true").options(**CSV.WRITE_OPTS).csv(f"{out_dir}/splits")
-    CSV.write_training_text(out.where(F.col("split") == "train"), f"{out_dir}/train_text")
+    split_path = f"{out_dir}/split.parquet"
+    training_split_text(rows, sample_size, valid_size, seed).write.mode("overwrite").parquet(split_path)
+    out = spark.read.parquet(split_path)
     counts = out.agg(
         F.count(F.lit(1)).alias("num_sampled_rows"),
         F.count_if(F.col("split") == "train").alias("num_train_rows"),
         F.count_if(F.col("split") == "valid").alias("num_valid_rows"),
     ).first()
+    for part in ("train", "valid"):  # id, prompt and, where any row has one, answer; no folder for an empty split
+        if counts[f"num_{part}_rows"]:
+            CSV.write_puzzles(out.where(F.col("split") == part), f"{out_dir}/splits/{part}")
+    CSV.write_training_text(out.where(F.col("split") == "train"), f"{out_dir}/train_text")
     meta = {"csv_path": csv_path, "sample_size": sample_size, "valid_size": valid_size, "seed": seed, "num_total_rows": total, **counts.asDict()}
     CSV.write_json_artifact(spark.createDataFrame([meta]), f"{out_dir}/run_metadata")
     return meta
 
 
 def grade_generations(generations: DataFrame, out_dir: str) -> DataFrame:
-    """JOB2: predictions CSV and the metrics row (absent when nothing is answered)."""
-    pred = G.predictions(generations)
+    """JOB2: predictions CSV, the metrics row (absent when nothing is answered) and
+    the error classes of the answered rows; extraction runs once."""
+    pred = materialize(G.predictions(generations))
     CSV.write_predictions(G.prediction_table(pred), f"{out_dir}/predictions")
     metrics = G.exact_match_accuracy(pred)
     if metrics.take(1):
         CSV.write_json_artifact(metrics, f"{out_dir}/eval_metrics")
+        G.error_classes(pred).write.mode("overwrite").json(f"{out_dir}/error_classes")
     return metrics
 
 
@@ -86,21 +94,47 @@ def curate_corpus(
     return SM.size_adjust(rows, size, seed, stratum, id_col)
 
 
-def filter_traces(traces: DataFrame, batches: DataFrame | None = None, min_words: int = 20, max_words: int = 6000, max_repetition: float = 0.30, max_defect: float = 0.10, id_col: str = "doc_id") -> DataFrame:
+def filter_traces(traces: DataFrame, batches: DataFrame | None = None, min_words: int = 20, max_words: int = 6000, max_repetition: float = 0.30, max_defect: float = 0.10, id_col: str = "doc_id", votes: DataFrame | None = None, min_agreement: float = 0.5) -> DataFrame:
     """JOB7: PRJ7 -> FLT11 answer tag -> FLT10 trace length -> FLT8 repetition
-    of the trace -> FLT12 batch rejection (when a batch table is given)."""
+    of the trace -> FLT12 batch rejection (when a batch table is given) -> AGG13
+    (when votes are given: traces of problems whose samples agree)."""
     t = C.trace_filter(traces, "response", min_words, max_words)
     t = C.repetition_filter(t, "trace", max_repetition)
     if batches is not None:
-        good = C.batch_defect_rates(batches).where(F.col("defect_rate") <= max_defect).select("batch")
-        t = t.join(batches.select(id_col, "batch"), id_col).join(good, "batch", "left_semi")
+        bad = C.rejected_batches(batches, max_rate=max_defect)
+        t = t.join(batches.select(id_col, "batch"), id_col, "left")
+        t = t.join(bad, t["batch"].eqNullSafe(bad["_bad_batch"]), "left_anti")
+    if votes is not None:
+        agreed = G.self_consistency(votes, min_agreement).select(F.col("problem").alias("_agreed"))
+        t = t.join(agreed, t[id_col] == agreed["_agreed"], "left_semi")
     return t
 
 
+def profile_dataset(df: DataFrame, prompt: str = "prompt", answer: str = "answer", bins: int = 50, max_short: int = 10) -> dict[str, DataFrame]:
+    """JOB4: lengths, words and token estimates described, the histogram and density
+    of the total length and of the token estimate, the most frequent words, and the
+    degenerate rows, all from one written copy of the narrow measures."""
+    cols = P.token_columns(P.word_columns(P.length_columns(df, prompt, answer), prompt, answer), prompt, answer)
+    lengths, words = ["len_prompt", "len_answer", "total_len"], ["words_prompt", "words_answer", "total_words"]
+    keep = [c for c in df.columns if c not in (prompt, answer)]
+    m = materialize(cols.select(*keep, *lengths, *words, "token_estimate"))
+    return {
+        "lengths": P.describe(m, lengths),
+        "words": P.describe(m, words),
+        "tokens": P.describe(m, ["token_estimate"]),
+        "length_histogram": P.histogram(m, "total_len", bins),
+        "length_density": P.density_curve(m, "total_len"),
+        "token_histogram": P.histogram(m, "token_estimate", bins),
+        "token_density": P.density_curve(m, "token_estimate"),
+        "top_words": P.top_words(df, (prompt, answer)),
+        "short_rows": P.short_rows(m, max_len=max_short),
+    }
+
+
 def check_and_augment(spark: SparkSession, original: DataFrame, synthetic_glob: str, out_path: str) -> dict:
     """JOB6: read every synthetic CSV, report nulls / blank answers / rule
     failures / duplicate ids, and write the union of original and synthetic rows."""
-    syn = CSV.read_puzzle_glob(spark, synthetic_glob)
+    syn = materialize(CSV.read_puzzle_glob(spark, synthetic_glob))
     combined = original.unionByName(syn, allowMissingColumns=True)
     report = syn.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -110,7 +144,10 @@ def check_and_augment(spark: SparkSession, original: DataFrame, synthetic_glob:
     ).first().asDict()
     if "category" in syn.columns:
         v = VA.validation_columns(syn)
-        report["rule_failures"] = v.where(~F.coalesce(F.col("v8_consistent"), F.lit(True))).count()
+        rules = [c for c in v.columns if c.startswith("v") and c[1:2].isdigit()]
+        fails = v.agg(*[F.count_if(~F.col(c)).alias(f"{c}_failures") for c in rules]).first().asDict()
+        report |= fails  # one count per rule, null results are no failures
+        report["rule_failures"] = fails["v8_consistent_failures"]
     report["duplicate_ids"] = VA.duplicate_ids(combined.select("id")).count()
     extra = ["category"] if "category" in combined.columns else []
     CSV.write_puzzles(combined, out_path, extra=extra)

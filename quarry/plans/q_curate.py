@@ -82,7 +82,7 @@ def trace_filter(spark, d):
 @query(
     "batch_rejection",
     V.with_views(
-        "SELECT doc_id, batch FROM batches WHERE batch IN (SELECT batch FROM batches GROUP BY batch HAVING avg(defect) <= 0.1)",
+        "SELECT doc_id, batch FROM batches WHERE batch NOT IN (SELECT batch FROM batches GROUP BY batch HAVING avg(defect) > 0.1)",
         "batches",
     ),
 )

@@ -46,7 +46,7 @@ def curate_corpus(spark, d):
 
 
 _TRAIN_SQL = V.with_views(
-    f"""SELECT id, CASE WHEN rn <= v THEN 'valid' ELSE 'train' END AS split, {_CHAT_T} || answer || '<|im_end|>' AS text FROM (
+    f"""SELECT id, CASE WHEN rn <= v THEN 'valid' ELSE 'train' END AS split, CASE WHEN rn > v THEN {_CHAT_T} || answer || '<|im_end|>' END AS text FROM (
   SELECT *, row_number() OVER (ORDER BY {S.hash_hex('split', SEED, 'id')}, id) AS rn,
          greatest(1, least(CAST(round_even(count(*) OVER () * 0.1, 0) AS BIGINT), count(*) OVER () - 1)) AS v
   FROM (SELECT * FROM pairs ORDER BY {S.hash_hex('sample', SEED, 'id')}, id LIMIT 200))""",
@@ -56,7 +56,7 @@ _TRAIN_SQL = V.with_views(
 
 @query("training_split_text", _TRAIN_SQL)
 def training_split_text(spark, d):
-    """JOB1: 200 sampled answered examples, 90/10 split, rendered training text."""
+    """JOB1: 200 sampled answered examples, 90/10 split, text rendered for the training rows."""
     rows = V.pairs(spark, d).select("id", "prompt", "answer")
     return J.training_split_text(rows, 200, 0.1, SEED).select("id", "split", "text")
 
@@ -68,7 +68,7 @@ _TRACE_SQL = V.with_views(
        {S.words(S.extract_tag('response', 'think'))} AS w FROM traces)
   WHERE answer_value IS NOT NULL AND trace IS NOT NULL AND trace_words BETWEEN 20 AND 6000) t
 JOIN batches b ON b.doc_id = t.doc_id
-WHERE b.batch IN (SELECT batch FROM batches GROUP BY batch HAVING avg(defect) <= 0.1)
+WHERE b.batch NOT IN (SELECT batch FROM batches GROUP BY batch HAVING avg(defect) > 0.1)
   AND (CASE WHEN len(t.w) >= 3 THEN 1 - len(list_distinct(list_transform(range(1, len(t.w) - 1), lambda i: array_to_string(t.w[i:i + 2], ' '))))
         / (len(t.w) - 2) ELSE 0.0 END) <= 0.3""",
     "traces",

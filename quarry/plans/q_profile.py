@@ -51,6 +51,15 @@ def length_profile_pairs(spark, d):
     return P.describe(ex, ["len_prompt", "len_answer", "total_len"])
 
 
+_EX_TOKENS = f"(SELECT ({S.char_length('prompt')} + {S.char_length('answer')}) / 4.0 AS token_estimate FROM examples)"
+
+
+@query("describe_token_estimate", V.with_views(_describe_sql(_EX_TOKENS, ["token_estimate"], []).replace("AS BIGINT) AS value", "AS DOUBLE) AS value"), "examples"))
+def describe_token_estimate(spark, d):
+    """AGG2 over a fraction: characters over four."""
+    return P.describe(P.token_columns(V.examples(spark, d)), ["token_estimate"])
+
+
 _EX_WORDS = (
     f"(SELECT {S.word_count('prompt')} AS words_prompt, {S.word_count('answer')} AS words_answer, "
     f"{S.word_count('prompt')} + {S.word_count('answer')} AS total_words FROM examples)"

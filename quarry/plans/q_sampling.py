@@ -9,11 +9,9 @@ from quarry.functions import text as T
 from quarry.operators import sampling as SM
 from quarry.plans import sqltext as S
 from quarry.plans.registry import query
-from quarry.session import materialize
 from quarry.sources.tables import table
 
 SEED = 42
-SAMPLE_K = 12000
 VALID = 0.1
 
 
@@ -31,7 +29,7 @@ def sample_exact(spark, d):
 
 
 _SPLIT_SQL = f"""
-WITH s AS (SELECT o_orderkey FROM orders ORDER BY {S.hash_hex('sample', SEED, 'o_orderkey')}, o_orderkey LIMIT {SAMPLE_K}),
+WITH s AS (SELECT o_orderkey FROM orders),
 n AS (SELECT count(*) AS n FROM s),
 v AS (SELECT greatest(1, least(CAST(round_even(n * {VALID}, 0) AS BIGINT), n - 1)) AS v FROM n),
 r AS (SELECT o_orderkey, row_number() OVER (ORDER BY {S.hash_hex('split', SEED, 'o_orderkey')}, o_orderkey) AS rn FROM s)
@@ -39,10 +37,7 @@ r AS (SELECT o_orderkey, row_number() OVER (ORDER BY {S.hash_hex('split', SEED,
 
 
 def _split(spark, d):
-    # the split reads the sample several times (count, histogram, boundary,
-    # final pass): materialise the sampled keys once
-    sampled = materialize(SM.sample_exact(_orders(spark, d).select("o_orderkey"), SAMPLE_K, SEED, "o_orderkey"))
-    return SM.train_valid_split(sampled, VALID, SEED, "o_orderkey")
+    return SM.train_valid_split(_orders(spark, d).select("o_orderkey"), VALID, SEED, "o_orderkey")
 
 
 @query(
@@ -50,7 +45,7 @@ def _split(spark, d):
     _SPLIT_SQL + "SELECT o_orderkey, CASE WHEN rn <= v THEN 'valid' ELSE 'train' END AS split FROM r, v",
 )
 def train_valid_split(spark, d):
-    """SMP1 then SMP2: 12,000 sampled orders split 90/10."""
+    """SMP2: all orders split 90/10."""
     return _split(spark, d)
 
 
@@ -116,6 +111,16 @@ SELECT d.doc_id, d.source FROM d JOIN q USING (source) WHERE rn <= quota
 """
 
 
+_NULL_SRC = "(SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN source END AS source FROM documents)"
+
+
+@query("size_adjust_null_stratum", _SIZE_SQL.replace("FROM documents", f"FROM {_NULL_SRC}").replace("JOIN q USING (source)", "JOIN q ON d.source IS NOT DISTINCT FROM q.source"))
+def size_adjust_null_stratum(spark, d):
+    """SMP7 where a quarter of the rows has no source: the null stratum gets its share."""
+    doc = table(spark, d, "documents").select("doc_id", F.when(F.pmod("doc_id", F.lit(4)) != 0, F.col("source")).alias("source"))
+    return SM.size_adjust(doc, 300, SEED, "source", "doc_id")
+
+
 @query("size_adjust", _SIZE_SQL)
 def size_adjust(spark, d):
     """SMP7: 300 documents allocated to sources by largest remainder."""

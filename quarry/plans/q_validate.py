@@ -125,8 +125,9 @@ def _rules(with_v8: bool = True) -> dict[str, str]:
         xp, xu = _x("x", True), _x("x", False)
         ex_p = _forall("pairs", f"lambda x: abs(TRY_CAST(x.rhs AS DOUBLE) - {c_p} * {xp}) <= {_tol(xp, 'p')}")
         ex_u = _forall("pairs", f"lambda x: abs(TRY_CAST(x.rhs AS DOUBLE) - {c_u} * {xu}) <= {_tol(xu, 'u')}")
-        mask = "lambda p: array_to_string(list_transform(range(1, 9), lambda i: CASE WHEN substr(p.lhs, i, 1) = substr(p.rhs, i, 1) THEN '0' ELSE '1' END), '')"
-        xor_ok = f"len(list_distinct(list_transform(allp, {mask}))) = 1"
+        pairs_at = "list_distinct(list_transform(allp, lambda p: substr(p.lhs, i, 1) || substr(p.rhs, i, 1)))"
+        bad_at = f"(list_contains({pairs_at}, '00') AND list_contains({pairs_at}, '01')) OR (list_contains({pairs_at}, '10') AND list_contains({pairs_at}, '11'))"
+        xor_ok = f"len(list_filter(range(1, 9), lambda i: {bad_at})) = 0"
 
         def rule(expr):
             return _exists("range(1, 8)", f"lambda r: {_forall('allp', f'lambda p: {expr} = p.rhs')}")

@@ -97,13 +97,14 @@ def hundredths_text(h: str) -> str:
 
 
 def int_to_roman(n: str) -> str:
-    from quarry.functions.numbers import ROMAN_HUNDREDS, ROMAN_TENS, ROMAN_THOUSANDS, ROMAN_UNITS
+    from quarry.functions.numbers import ROMAN_HUNDREDS, ROMAN_TENS, ROMAN_UNITS
 
     def arr(t):
         return "[" + ", ".join(q(s) for s in t) + "]"
 
+    n = f"greatest({n}, 0)"
     return (
-        f"({arr(ROMAN_THOUSANDS)}[({n}) // 1000 + 1] || {arr(ROMAN_HUNDREDS)}[(({n}) // 100) % 10 + 1] || "
+        f"(repeat('M', (({n}) // 1000)::INTEGER) || {arr(ROMAN_HUNDREDS)}[(({n}) // 100) % 10 + 1] || "
         f"{arr(ROMAN_TENS)}[(({n}) // 10) % 10 + 1] || {arr(ROMAN_UNITS)}[({n}) % 10 + 1])"
     )
 
@@ -114,15 +115,15 @@ DECIMAL = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 
 
 def canonical_text(x: str) -> str:
-    return collapse_ws(strip(f"coalesce({x}, '')"))
+    return normalize_answer(x)
 
 
 def canonical_value(x: str) -> str:
     v = canonical_text(x)
 
     def frac(pat):
-        num = f"CAST(regexp_extract({v}, {q(pat)}, 1) AS DOUBLE)"
-        den = f"CAST(regexp_extract({v}, {q(pat)}, 2) AS DOUBLE)"
+        num = f"TRY_CAST(regexp_extract({v}, {q(pat)}, 1) AS DOUBLE)"
+        den = f"TRY_CAST(regexp_extract({v}, {q(pat)}, 2) AS DOUBLE)"
         return f"(CASE WHEN regexp_matches({v}, {q(pat)}) AND {den} <> 0 THEN {num} / {den} END)"
 
     return f"coalesce({frac(FRAC_LATEX)}, {frac(FRAC_PLAIN)}, CASE WHEN regexp_matches({v}, {q(DECIMAL)}) THEN TRY_CAST({v} AS DOUBLE) END)"

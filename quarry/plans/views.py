@@ -90,7 +90,8 @@ def votes(spark: SparkSession, d: str) -> DataFrame:
 def batches(spark: SparkSession, d: str) -> DataFrame:
     doc = table(spark, d, "documents").select("doc_id", "source")
     lab = table(spark, d, "labels").select("doc_id", "quality")
-    return doc.join(lab, "doc_id").select("doc_id", F.col("source").alias("batch"), (1 - F.col("quality")).alias("defect"))
+    # a document without a label has no defect value; its batch is known all the same
+    return doc.join(lab, "doc_id", "left").select("doc_id", F.col("source").alias("batch"), (1 - F.col("quality")).alias("defect"))
 
 
 # ---------------------------------------------------------------- SQL side
@@ -135,7 +136,7 @@ VIEW_SQL = {
     ),
     "batches": (
         [],
-        "SELECT d.doc_id, d.source AS batch, 1 - l.quality AS defect FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
+        "SELECT d.doc_id, d.source AS batch, 1 - l.quality AS defect FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     ),
 }
 

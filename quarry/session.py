@@ -42,7 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
+    if not d and sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

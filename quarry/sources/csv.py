@@ -106,8 +106,12 @@ def write_predictions(pred_table: DataFrame, path: str, mode: str = "overwrite")
 
 
 def write_json_artifact(one_row: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK3: a one-row metrics / metadata frame as JSON (non-ASCII kept as is)."""
-    one_row.limit(1).coalesce(1).write.mode(mode).json(path)
+    """SNK3: a one-row metrics / metadata frame as JSON (non-ASCII and null keys kept).
+    Any other number of rows is an error."""
+    n = one_row.limit(2).count()
+    if n != 1:
+        raise ValueError("a JSON artifact holds one row; the frame has " + ("none" if not n else "more"))
+    one_row.coalesce(1).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def write_training_text(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:

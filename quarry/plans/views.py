@@ -38,10 +38,26 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
     return examples(spark, d).where(F.col("answer").isNotNull())
 
 
+# Gold answers and generations of the numeric shapes: equal value in another form
+# (three kinds), a wrong value, and one buried in a sentence.
+NUMERIC_SHAPES = {5: ("3/4", "The answer is \\boxed{0.75}."), 6: ("\\frac{1}{2}", "1/2"), 7: ("-2.5", "-2.50"), 8: ("12", "13"), 9: ("40", "it must be 40 here")}
+
+# Well-formed puzzles of the generated kinds: prompt, right answer, broken answer.
+PUZZLES = [
+    ("x\n00000001 -> 00000001\n11111111 -> 00001111\n10101010 -> 00001010\nNow, determine the output for: 01010101", "00000101", "11110101"),
+    ("x\nabc de -> xyz vw\nba c -> yx z\nNow, decrypt the following text: ab ed", "xy wv", "qq wv"),
+    ("x\n!@#$ = ##\n%^&* = @@\nNow, determine the result for: !!##", "$$", "abc"),
+]
+
+
 def generations(spark: SparkSession, d: str) -> DataFrame:
-    """Model outputs in five shapes; the gold answer is the first word of the reply."""
-    p = pairs(spark, d).select("id", "conv_id", T.first_word("answer").alias("answer"))
-    k = F.pmod(F.col("conv_id"), F.lit(5))
+    """Model outputs in ten shapes; the gold answer is the first word of the reply,
+    or a number in the last five."""
+    k = F.pmod(F.col("conv_id"), F.lit(10))
+    gold = T.first_word("answer")
+    for shape, (a, _) in NUMERIC_SHAPES.items():
+        gold = F.when(k == shape, F.lit(a)).otherwise(gold)
+    p = pairs(spark, d).select("id", "conv_id", gold.alias("answer"))
     lab = F.col("answer")
     raw = (
         F.when(k == 0, lab)
@@ -50,13 +66,18 @@ def generations(spark: SparkSession, d: str) -> DataFrame:
         .when(k == 3, F.concat(lab, F.lit("<|im_end|>")))
         .otherwise(F.concat(F.lit("unclear\n"), lab))
     )
+    for shape, (_, g) in NUMERIC_SHAPES.items():
+        raw = F.when(k == shape, F.lit(g)).otherwise(raw)
     return p.select("id", "conv_id", "answer", raw.alias("raw_generation"))
 
 
 def gens(spark: SparkSession, d: str) -> DataFrame:
-    """Raw puzzle generations in six shapes, one category per conversation."""
+    """Raw puzzle generations in eight shapes, one category per conversation; the
+    last two shapes are well-formed puzzles, right and broken."""
     p = pairs(spark, d)
-    k = F.pmod(F.col("conv_id"), F.lit(6))
+    k = F.pmod(F.col("conv_id"), F.lit(8))
+    ci = F.pmod(F.floor(F.col("conv_id") / 8), F.lit(3)).cast("int")
+    puzzle, right, broken = (F.element_at(F.array(*[F.lit(x[i]) for x in PUZZLES]), ci + 1) for i in range(3))
     pr, an = F.col("prompt"), F.col("answer")
     txt = (
         F.when(k == 0, F.concat(F.lit("PROMPT: "), pr, F.lit("\nANSWER: "), an))
@@ -64,9 +85,10 @@ def gens(spark: SparkSession, d: str) -> DataFrame:
         .when(k == 2, F.concat(F.lit("prompt: "), pr, F.lit("\nanswer: "), an))
         .when(k == 3, F.concat(F.lit("Here is one.\nPROMPT: "), pr, F.lit("\nANSWER: "), an, F.lit("\nDone.")))
         .when(k == 4, F.concat(F.lit("PROMPT: \nANSWER: "), an))
-        .otherwise(F.concat(F.lit("PROMPT: "), pr, F.lit("\nANSWER:\n"), an))
+        .when(k == 5, F.concat(F.lit("PROMPT: "), pr, F.lit("\nANSWER:\n"), an))
+        .otherwise(F.concat(F.lit("PROMPT: "), puzzle, F.lit("\nANSWER: "), F.when(k == 6, right).otherwise(broken)))
     )
-    cat = F.element_at(F.array(*[F.lit(c) for c in LLM_CATEGORIES]), (F.pmod(F.col("conv_id"), F.lit(3)) + 1).cast("int"))
+    cat = F.element_at(F.array(*[F.lit(c) for c in LLM_CATEGORIES]), ci + 1)
     return p.select("id", "conv_id", "turn", cat.alias("category"), txt.alias("text"))
 
 
@@ -98,6 +120,10 @@ def batches(spark: SparkSession, d: str) -> DataFrame:
 
 _LLM_ARR = "[" + ", ".join(S.q(c) for c in LLM_CATEGORIES) + "]"
 
+def _puzzle_sql(part: int) -> str:
+    return "[" + ", ".join(S.q(p[part]) for p in PUZZLES) + "][(conv_id // 8) % 3 + 1]"
+
+
 VIEW_SQL = {
     "examples": (
         [],
@@ -108,21 +134,25 @@ VIEW_SQL = {
     "pairs": (["examples"], "SELECT * FROM examples WHERE answer IS NOT NULL"),
     "generations": (
         ["pairs"],
-        "SELECT id, conv_id, answer, CASE conv_id % 5 WHEN 0 THEN answer "
+        "SELECT id, conv_id, answer, CASE conv_id % 10 WHEN 0 THEN answer "
         "WHEN 1 THEN 'The answer is \\boxed{' || answer || '}.' "
         "WHEN 2 THEN chr(10) || chr(10) || '  ' || answer || chr(10) "
-        "WHEN 3 THEN answer || '<|im_end|>' ELSE 'unclear' || chr(10) || answer END AS raw_generation "
-        f"FROM (SELECT id, conv_id, {S.first_word('answer')} AS answer FROM pairs)",
+        "WHEN 3 THEN answer || '<|im_end|>' WHEN 4 THEN 'unclear' || chr(10) || answer "
+        + " ".join(f"WHEN {k} THEN {S.q(g)}" for k, (_, g) in NUMERIC_SHAPES.items())
+        + " END AS raw_generation FROM (SELECT id, conv_id, CASE conv_id % 10 "
+        + " ".join(f"WHEN {k} THEN {S.q(a)}" for k, (a, _) in NUMERIC_SHAPES.items())
+        + f" ELSE {S.first_word('answer')} END AS answer FROM pairs)",
     ),
     "gens": (
         ["pairs"],
-        "SELECT id, conv_id, turn, " + _LLM_ARR + "[conv_id % 3 + 1] AS category, CASE conv_id % 6 "
+        "SELECT id, conv_id, turn, " + _LLM_ARR + "[(conv_id // 8) % 3 + 1] AS category, CASE conv_id % 8 "
         "WHEN 0 THEN 'PROMPT: ' || prompt || chr(10) || 'ANSWER: ' || answer "
         "WHEN 1 THEN prompt || chr(10) || 'ANSWER: ' || answer "
         "WHEN 2 THEN 'prompt: ' || prompt || chr(10) || 'answer: ' || answer "
         "WHEN 3 THEN 'Here is one.' || chr(10) || 'PROMPT: ' || prompt || chr(10) || 'ANSWER: ' || answer || chr(10) || 'Done.' "
         "WHEN 4 THEN 'PROMPT: ' || chr(10) || 'ANSWER: ' || answer "
-        "ELSE 'PROMPT: ' || prompt || chr(10) || 'ANSWER:' || chr(10) || answer END AS text FROM pairs",
+        "WHEN 5 THEN 'PROMPT: ' || prompt || chr(10) || 'ANSWER:' || chr(10) || answer "
+        "ELSE 'PROMPT: ' || " + _puzzle_sql(0) + " || chr(10) || 'ANSWER: ' || CASE conv_id % 8 WHEN 6 THEN " + _puzzle_sql(1) + " ELSE " + _puzzle_sql(2) + " END END AS text FROM pairs",
     ),
     "traces": (
         [],

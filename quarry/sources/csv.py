@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-READ_OPTS = {"header": "true", "inferSchema": "false", "multiLine": "true", "escape": '"', "encoding": "UTF-8"}
+# Records end at a line feed, so that line ends inside quoted fields stay as written.
+READ_OPTS = {"header": "true", "inferSchema": "false", "multiLine": "true", "escape": '"', "encoding": "UTF-8", "lineSep": "\n"}
 WRITE_OPTS = {
     "header": "true",
     "escape": '"',
@@ -25,8 +26,17 @@ WRITE_OPTS = {
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """All-STRING CSV scan (SRC2)."""
-    return spark.read.options(**READ_OPTS).csv(paths if isinstance(paths, str) else list(paths))
+    """All-STRING CSV scan (SRC2).
+
+    Where records end in CR LF, the CR is left on the last header name and on
+    unquoted values of the last column; one is taken off each."""
+    df = spark.read.options(**READ_OPTS).csv(paths if isinstance(paths, str) else list(paths))
+    last = df.columns[-1] if df.columns else ""
+    if not last.endswith("\r"):
+        return df
+    c = df[last]
+    clean = F.nullif(F.when(c.endswith("\r"), F.left(c, F.length(c) - 1)).otherwise(c), F.lit(""))
+    return df.select(*[df[x] for x in df.columns[:-1]], clean.alias(last[:-1]))
 
 
 def read_puzzles(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

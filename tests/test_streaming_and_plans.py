@@ -3,6 +3,8 @@
 import json
 
 import __spark_entry__ as E
+from quarry.operators import sampling
+from quarry.plans.catalog import load_all
 from quarry.sources.tables import table
 from quarry.streaming import curate_stream
 
@@ -23,8 +25,8 @@ def _plan(df):
 
 
 def test_plans_have_no_cartesian_product_and_python_only_where_expected(spark, sf):
-    qs = E.queries()
-    python_ok = {"normalize_answer", "prediction_table", "exact_match_accuracy", "reward_table", "error_classes", "prediction_csv"}
+    qs = load_all()[0]
+    python_ok = {"canonical_answer", "normalize_answer", "prediction_table", "exact_match_accuracy", "reward_table", "error_classes", "prediction_csv"}
     skip = {"token_count_by_vocab", "csv_roundtrip", "corpus_lines", "prediction_csv"}
     for name, fn in qs.items():
         if name in skip:
@@ -35,9 +37,11 @@ def test_plans_have_no_cartesian_product_and_python_only_where_expected(spark, s
             assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan, name
 
 
-def test_stratified_window_uses_group_limit(spark, sf):
-    plan = _plan(E.queries()["stratified_sample"](spark, sf))
-    assert "WindowGroupLimit" in plan
+def test_stratified_sample_ranks_boundary_rows_only(spark, sf):
+    """No window over whole categories, whatever k: rows are ranked behind a join with each category's boundary prefix."""
+    for k in (10, 5000):
+        plan = _plan(sampling.stratified_sample(table(spark, sf, "documents").select("doc_id", "lang"), "lang", k, 1, "doc_id"))
+        assert "WindowGroupLimit" not in plan and "_bp#" in plan
 
 
 def test_scan_prunes_columns(spark, sf):

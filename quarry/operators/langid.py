@@ -11,25 +11,33 @@ an equi-join against the (trigram -> one weight per language) table - no
 vocabulary x language grid, no cross join. The join is broadcast only after
 the model's row count is checked; the per-document partial aggregate
 collapses each document's trigram rows inside its own task, so the shuffle
-carries one row per document, and each text is scanned once for scoring.
-The class labels and their normalisers (one value per language) are the only
+carries one row per document, and each text is scanned once for scoring. A
+larger model meets (document, trigram) counts in a salted shuffle join.
+Fitting reads at most about ``fit_rows`` labelled rows, chosen by hash of id;
+every row is scored, rows that repeat an id each on their own. The row count,
+the class labels and their normalisers (one value per language) are the only
 values read back to the driver.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.functions.hashing import hex8_to_long, seeded_hash
 from quarry.session import ensure_checkpoint_dir
 
 # ~40 bytes per (trigram, language, weight) row: broadcast the model up to
 # about 40 MB; a larger model (many scripts / languages) is joined by a
-# shuffle on the trigram, where AQE splits hot trigrams.
+# shuffle on trigram and salt.
 MAX_BROADCAST_MODEL_ROWS = 1_000_000
+FIT_ROWS = 50_000  # about so many labelled rows are fitted, however many there are
+FIT_SEED = 42
+SALTS = 16
 
 
 def padded_text(text) -> Column:
@@ -47,11 +55,18 @@ def trigrams(padded: Column) -> Column:
     return F.regexp_extract_all(padded, F.lit(TRIGRAM), 1)
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
-    """Sparse model (lang, tri, c) over every labelled document, checkpointed
-    (it is read three times: vocabulary size, language totals, scoring join)."""
+def fit_draw(id_col: str = "doc_id") -> Column:
+    """A row's draw in [0, 1) for the fitting sample."""
+    return hex8_to_long(seeded_hash("langfit", FIT_SEED, id_col)) / F.lit(float(1 << 32))
+
+
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """Sparse model (lang, tri, c) over about ``fit_rows`` labelled documents (all
+    of them where there are fewer), checkpointed (it is read three times:
+    vocabulary size, language totals, scoring join)."""
     ensure_checkpoint_dir(docs.sparkSession)
     lab = docs.where(F.col(label).isNotNull())
+    lab = lab.where(fit_draw(id_col) * F.lit(lab.count()) < F.lit(fit_rows))
     padded = lab.select(F.col(label).alias("lang"), padded_text(text).alias("_t"))
     # the padded text is its own projection so the per-character lambda reads it, not recomputes it
     occ = padded.select("lang", F.explode(trigrams(F.col("_t"))).alias("tri"))
@@ -67,8 +82,9 @@ def language_constants(model: DataFrame) -> list[tuple[str, float]]:
     return sorted((r["lang"], math.log(r["t"] + v)) for r in rows)
 
 
-def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per document: ``predicted`` language (ties to the smaller language code).
+def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
+    """Per document row: id, the ``carry`` columns and the ``predicted`` language
+    (ties to the smaller language code).
 
     The model is joined in wide form (one row per trigram, one weight column
     per language), so each trigram occurrence stays one row and the
@@ -79,14 +95,16 @@ def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "
     wide = model.groupBy("tri").agg(
         *[F.sum(F.when(F.col("lang") == lang, lw)).alias(c) for (lang, _), c in zip(consts, wcols)]
     )
+    keys = ["_row", id_col, *carry, "n_tri"]
+    padded = docs.select(id_col, *carry, F.monotonically_increasing_id().alias("_row"), padded_text(text).alias("_t"))
+    occ = padded.select("_row", id_col, *carry, F.greatest(F.length("_t") - 2, F.lit(0)).alias("n_tri"), F.explode_outer(trigrams(F.col("_t"))).alias("tri"))
+    # left joins: a document whose trigrams are all unseen still keeps its row
     if model.count() <= MAX_BROADCAST_MODEL_ROWS:
-        wide = F.broadcast(wide)
-    padded = docs.select(id_col, padded_text(text).alias("_t"))
-    occ = padded.select(id_col, F.greatest(F.length("_t") - 2, F.lit(0)).alias("n_tri"), F.explode_outer(trigrams(F.col("_t"))).alias("tri"))
-    # left join: a document whose trigrams are all unseen still keeps its row
-    per_doc = occ.join(wide, "tri", "left").groupBy(id_col, "n_tri").agg(
-        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in wcols]
-    )
+        found = occ.withColumn("_k", F.lit(1)).join(F.broadcast(wide), "tri", "left")
+    else:
+        counted = occ.groupBy(*keys, "tri").agg(F.count(F.lit(1)).alias("_k")).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
+        found = counted.join(wide.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["tri", "_salt"], "left")
+    per_doc = found.groupBy(*keys).agg(*[F.coalesce(F.sum(F.col(c) * F.col("_k")), F.lit(0.0)).alias(c) for c in wcols])
     scores = F.array(
         *[
             F.struct((F.col(c) - F.col("n_tri") * F.lit(logden)).alias("score"), F.lit(lang).alias("lang"))
@@ -95,13 +113,13 @@ def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "
     )
     best = F.array_max(F.transform(F.col("_s"), lambda x: x["score"]))
     pred = F.array_min(F.transform(F.filter(F.col("_s"), lambda x: x["score"] == best), lambda x: x["lang"]))
-    return per_doc.withColumn("_s", scores).select(id_col, pred.alias("predicted"))
+    return per_doc.withColumn("_s", scores).select(id_col, *carry, pred.alias("predicted"))
 
 
-def identify(docs: DataFrame, train: DataFrame | None = None, text: str = "text", label: str = "lang", id_col: str = "doc_id") -> DataFrame:
+def identify(docs: DataFrame, train: DataFrame | None = None, text: str = "text", label: str = "lang", id_col: str = "doc_id", carry: Sequence[str] = (), fit_rows: int = FIT_ROWS) -> DataFrame:
     """Fit on ``train`` (default: the labelled rows of ``docs``) and label every row of ``docs``."""
-    model = fit(train if train is not None else docs, text, label)
-    return score(docs, model, text, id_col)
+    model = fit(train if train is not None else docs, text, label, id_col, fit_rows)
+    return score(docs, model, text, id_col, carry)
 
 
 def language_filter(docs: DataFrame, keep: str = "en", **kw) -> DataFrame:

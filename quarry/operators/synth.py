@@ -165,15 +165,20 @@ def computed_puzzles(seeds: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return out
 
 
-def quota_per_category(gens: DataFrame, count: int, category: str = "category", order=("conv_id", "turn"), text: str = "text") -> DataFrame:
-    """SMP4: per category, look at the first ``3 * count`` attempts (in
+def quota_per_category(gens: DataFrame, count: int, category: str = "category", order=("conv_id", "turn"), text: str = "text", attempts: int = 3, salts: int = 256) -> DataFrame:
+    """SMP4: per category, look at the first ``attempts * count`` attempts (in
     ``order``), parse them, keep the first ``count`` that parse. Ids are
     ``syn_<first 3 letters>_<n:05d>`` in acceptance order.
 
-    Both ``row_number <= k`` filters become per-partition group limits, so a
-    category holding most of the attempts ships at most k rows per task."""
-    w = Window.partitionBy(category).orderBy(*[F.col(c) for c in order])
-    first = gens.withColumn("_attempt", F.row_number().over(w)).where(F.col("_attempt") <= 3 * count)
+    A category that holds most of the attempts is ranked in ``salts`` parts first;
+    the first rows of each part (``salts * attempts * count`` at most, whatever
+    the table's size) are then ranked together."""
+    limit, by = attempts * count, [F.col(c) for c in order]
+    salted = gens.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)))
+    parts = Window.partitionBy(category, "_salt").orderBy(*by)
+    some = salted.withColumn("_in", F.row_number().over(parts)).where(F.col("_in") <= limit).drop("_in", "_salt")
+    w = Window.partitionBy(category).orderBy(*by)
+    first = some.withColumn("_attempt", F.row_number().over(w)).where(F.col("_attempt") <= limit)
     parsed = first.select(
         category, "_attempt", T.parse_prompt(text).alias("prompt"), T.parse_answer(text).alias("answer")
     ).where(F.col("prompt").isNotNull())
@@ -183,6 +188,12 @@ def quota_per_category(gens: DataFrame, count: int, category: str = "category",
     return acc.select(rid.alias("id"), "prompt", "answer", category)
 
 
+def accepted(gens: DataFrame, id_col: str = "id", category: str = "category", text: str = "text") -> DataFrame:
+    """Every generation that parses, without a quota; ids ``syn_<first 3 letters>_<id>``. Row by row."""
+    parsed = gens.select(F.concat_ws("_", F.lit("syn"), F.substring(F.col(category), 1, 3), F.col(id_col).cast("string")).alias("id"), T.parse_prompt(text).alias("prompt"), T.parse_answer(text).alias("answer"), category)
+    return parsed.where(F.col("prompt").isNotNull())
+
+
 # Generation requests (SYN4): our own wording of the request, one per seed
 # example and variant; the model call itself is not part of this engine.
 REQUEST_TEMPLATE = (
@@ -203,3 +214,24 @@ def generation_requests(seeds: DataFrame, variants: int = 5, id_col: str = "id",
         answer=F.coalesce(F.col("answer"), F.lit("")),
     )
     return v.select(F.col(id_col).alias("seed_id"), category, F.col("variant").cast("bigint").alias("variant"), req.alias("request"))
+
+
+CATEGORY_TEMPLATE = (
+    "Invent a puzzle of the category {category} that nobody has seen before, number {variant}. State its rule by examples only. "
+    "Reply with exactly two parts, 'PROMPT:' followed by the puzzle and 'ANSWER:' followed by the answer, and nothing else."
+)
+TRACE_TEMPLATE = (
+    "Work out the problem below step by step. Put the steps between <think> and </think> and the final answer "
+    "between <answer> and </answer>.\n\nProblem:\n{prompt}"
+)
+
+
+def category_requests(counts: DataFrame, category: str = "category", n: str = "n") -> DataFrame:
+    """SYN4: as many requests per category as its count says, numbered from 1; none for a null or zero count."""
+    v = counts.where(F.col(n) > 0).select(category, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n).cast("bigint"))).alias("variant"))
+    return v.select(category, "variant", fill(CATEGORY_TEMPLATE, category=F.col(category), variant=F.col("variant").cast("string")).alias("request"))
+
+
+def trace_requests(problems: DataFrame, id_col: str = "id", prompt: str = "prompt", carry=()) -> DataFrame:
+    """SYN4: one request for a worked answer per problem, with the ``carry`` columns."""
+    return problems.select(F.col(id_col).alias("seed_id"), *carry, fill(TRACE_TEMPLATE, prompt=F.coalesce(F.col(prompt), F.lit(""))).alias("request"))

@@ -82,16 +82,30 @@ def curate_corpus(
 ) -> DataFrame:
     """JOB5: FLT7 category -> FLT3 length budget -> FLT8 repetition -> FLT9
     language -> SMP7 size adjustment (proportional per ``stratum``). The
-    language model is fitted on ``train`` (default: every labelled row of ``docs``)."""
+    language model is fitted on ``train`` (default: the labelled rows of ``docs``).
+
+    One pass over the texts filters and scores; what it hands on is (id, stratum).
+    The sizes are adjusted on that, and the chosen ids alone go back to the
+    corpus. Ids must be unique (``validate.duplicate_ids`` tells): rows that
+    share a chosen id are all returned."""
     rows = docs if categories is None else C.category_filter(docs, category_col, categories)
     rows = C.token_length_filter(rows, "text", budget_tokens)
     rows = C.repetition_filter(rows, "text", max_repetition)
-    pred = L.identify(rows, train=train if train is not None else docs, id_col=id_col)
-    rows = rows.join(pred.where(F.col("predicted") == language).select(id_col), id_col, "left_semi")
+    pred = L.identify(rows, train=train if train is not None else docs, id_col=id_col, carry=[stratum])
     # the exact-size selection reads its input several times (histogram, boundary,
-    # final filter): materialise the curated survivors once in the shared folder
-    rows = materialize(rows)
-    return SM.size_adjust(rows, size, seed, stratum, id_col)
+    # final filter): the survivors' ids are written once in the shared folder
+    narrow = materialize(pred.where(F.col("predicted") == language).select(id_col, stratum))
+    chosen = SM.size_adjust(narrow, size, seed, stratum, id_col).select(F.col(id_col).alias("_chosen"))
+    few = F.broadcast(chosen) if size <= SM.MAX_BROADCAST_ROWS else chosen
+    return docs.join(few, docs[id_col].eqNullSafe(F.col("_chosen")), "left_semi")
+
+
+def write_eval_set(rows: DataFrame, out_path: str) -> dict[str, int]:
+    """JOB3 sink: the evaluation set as puzzle CSV (SNK5, with its category) and
+    the rows per category (AGG9, one row per category on the driver)."""
+    CSV.write_puzzles(rows, out_path, extra=["category"])
+    counts = rows.groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r["category"]: r["n"] for r in counts}
 
 
 def filter_traces(traces: DataFrame, batches: DataFrame | None = None, min_words: int = 20, max_words: int = 6000, max_repetition: float = 0.30, max_defect: float = 0.10, id_col: str = "doc_id", votes: DataFrame | None = None, min_agreement: float = 0.5) -> DataFrame:

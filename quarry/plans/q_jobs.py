@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from quarry.plans import jobs as J
 from quarry.plans import q_curate as QC
 from quarry.plans import q_langid as QL
+from quarry.plans import q_synth as QS
 from quarry.plans import sqltext as S
 from quarry.plans import views as V
 from quarry.plans.q_text import _CHAT_T
 from quarry.plans.registry import query
+from quarry.sources import csv as CSV
+from quarry.sources.scratch import scratch_path
 from quarry.sources.tables import table
 
 SEED = 42
@@ -80,3 +83,12 @@ WHERE b.batch NOT IN (SELECT batch FROM batches GROUP BY batch HAVING avg(defect
 def filter_traces(spark, d):
     """JOB7: answer tag, trace length, trace repetition, batch rejection."""
     return J.filter_traces(V.traces(spark, d), V.batches(spark, d)).select("doc_id", "trace_words")
+
+
+@query("eval_set_csv", V.with_views("SELECT id, prompt, answer, category FROM eval_set", "eval_set"))
+def eval_set_csv(spark, d):
+    """JOB3 with its sink (SNK5): the evaluation set written as CSV and read back."""
+    path = scratch_path(spark, "eval-set")
+    J.write_eval_set(QS.eval_set(spark, d), path)
+    return CSV.read_puzzles(spark, path).select("id", "prompt", "answer", "category")
+

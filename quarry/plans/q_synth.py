@@ -116,10 +116,22 @@ def quota_per_category(spark, d):
     return Y.quota_per_category(V.gens(spark, d), QUOTA)
 
 
+V.register_sql_view(
+    "accepted",
+    ["gens"],
+    f"SELECT 'syn_' || substr(category, 1, 3) || '_' || id AS id, prompt, answer, category FROM (SELECT id, category, {S.parse_prompt('text')} AS prompt, {S.parse_answer('text')} AS answer FROM gens) WHERE prompt IS NOT NULL",
+)
+
+
+def eval_rows(spark, d):
+    """The evaluation set before it is numbered: computed puzzles and every accepted
+    generation (SET2), so that it grows with both tables."""
+    return puzzles(spark, d).unionByName(Y.accepted(V.gens(spark, d)))
+
+
 def eval_set(spark, d):
-    """JOB3: computed puzzles + accepted generations (SET2), shuffled with
-    ``eval_%05d`` ids (SMP3, PRJ13)."""
-    allrows = puzzles(spark, d).unionByName(Y.quota_per_category(V.gens(spark, d), QUOTA))
+    """JOB3: the evaluation set shuffled with ``eval_%05d`` ids (SMP3, PRJ13)."""
+    allrows = eval_rows(spark, d)
     # numbering reads its input twice (prefix histogram, ranked pass): generate once
     allrows = materialize(allrows)
     pos = SM.dense_positions(allrows, SEED, "id", "pos", tag="eval")
@@ -128,9 +140,9 @@ def eval_set(spark, d):
 
 _EVAL_SQL = (
     "SELECT printf('eval_%05d', CAST(row_number() OVER (ORDER BY " + S.hash_hex("eval", SEED, "id") + ", id) - 1 AS INTEGER)) AS id, "
-    "prompt, answer, category, id AS source_id FROM (SELECT * FROM puzzles UNION ALL SELECT * FROM quota)"
+    "prompt, answer, category, id AS source_id FROM (SELECT * FROM puzzles UNION ALL SELECT * FROM accepted)"
 )
-V.register_sql_view("eval_set", ["puzzles", "quota"], _EVAL_SQL)
+V.register_sql_view("eval_set", ["puzzles", "accepted"], _EVAL_SQL)
 
 
 @query("eval_set", V.with_views("SELECT * FROM eval_set", "eval_set"))
@@ -150,7 +162,7 @@ def category_counts(spark, d):
     """AGG9 + SMP10: rows per category of the evaluation set, sorted, with shares."""
     from quarry.operators.profile import category_counts as cc
 
-    return cc(eval_set(spark, d), "category")
+    return cc(eval_rows(spark, d), "category")
 
 
 _TAG_SQL = " ".join(f"WHEN contains(prompt, {S.q(ph)}) THEN {S.q(cat)}" for cat, ph in C.CATEGORY_PHRASES)
@@ -175,13 +187,23 @@ def category_tagging(spark, d):
 @query(
     "generation_requests",
     V.with_views(
-        "SELECT id AS seed_id, category, CAST(v AS BIGINT) AS variant, "
+        "SELECT 'seed' AS kind, id AS seed_id, category, CAST(v AS BIGINT) AS variant, "
         + _fill(Y.REQUEST_TEMPLATE, category="category", variant="CAST(v AS VARCHAR)", prompt="coalesce(prompt, '')", answer="coalesce(answer, '')")
         + " AS request "
-        "FROM puzzles, range(1, 6) t(v)",
+        "FROM puzzles, range(1, 6) t(v) UNION ALL SELECT 'category', NULL, category, CAST(v AS BIGINT), "
+        + _fill(Y.CATEGORY_TEMPLATE, category="category", variant="CAST(v AS VARCHAR)")
+        + " FROM (SELECT category, unnest(range(1, n + 1)) AS v FROM (SELECT category, count(*) AS n FROM gens GROUP BY category)) "
+        "UNION ALL SELECT 'trace', id, category, NULL, " + _fill(Y.TRACE_TEMPLATE, prompt="coalesce(prompt, '')") + " FROM puzzles",
         "puzzles",
+        "gens",
     ),
 )
 def generation_requests(spark, d):
-    """SYN4: five generation requests per seed puzzle."""
-    return Y.generation_requests(puzzles(spark, d), 5)
+    """SYN4: five requests per seed puzzle, one per category and stored generation, one worked answer per puzzle."""
+    cols = ["kind", "seed_id", "category", "variant", "request"]
+    seeds = puzzles(spark, d)
+    by_seed = Y.generation_requests(seeds, 5).withColumn("kind", F.lit("seed")).select(*cols)
+    counts = V.gens(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    by_category = Y.category_requests(counts).select(F.lit("category").alias("kind"), F.lit(None).cast("string").alias("seed_id"), "category", "variant", "request")
+    traces = Y.trace_requests(seeds, carry=["category"]).select(F.lit("trace").alias("kind"), "seed_id", "category", F.lit(None).cast("bigint").alias("variant"), "request")
+    return by_seed.unionByName(by_category).unionByName(traces)

@@ -256,12 +256,12 @@ def duplicate_ids(spark, d):
 
 @query(
     "augment_union",
-    V.with_views("SELECT id, prompt, answer, NULL AS category FROM examples UNION ALL SELECT id, prompt, answer, category FROM quota", "examples", "quota"),
+    V.with_views("SELECT id, prompt, answer, NULL AS category FROM examples UNION ALL SELECT id, prompt, answer, category FROM accepted", "examples", "accepted"),
 )
 def augment_union(spark, d):
     """SET1: original examples + accepted synthetic rows, union by name (missing columns null)."""
     from quarry.operators import synth as Y
 
     orig = V.examples(spark, d).select("id", "prompt", "answer")
-    syn = Y.quota_per_category(V.gens(spark, d), QS.QUOTA)
+    syn = Y.accepted(V.gens(spark, d))
     return orig.unionByName(syn, allowMissingColumns=True)

@@ -113,16 +113,21 @@ def repetition_filter(df: DataFrame, text: str, threshold: float = 0.30, windowe
 
 def trace_struct(response, min_words: int = 20, max_words: int = 6000) -> Column:
     """PRJ7 + FLT10/FLT11 as one struct (trace, answer_value, trace_words, keep);
-    the trace is extracted once and bound (``let``), so a filter on ``keep``
-    pushed below other operators evaluates the extraction once, not per field."""
+    trace, answer and word count are each computed once and bound (``let``), so a
+    filter on ``keep`` pushed below other operators evaluates each once, not per use."""
 
     def with_trace(r):
-        def fields(t):
-            words = T.word_count(t)
-            keep = r.isNotNull() & t.isNotNull() & T.extract_tag(r, "answer").isNotNull() & words.between(min_words, max_words)
-            return F.struct(t.alias("trace"), T.extract_tag(r, "answer").alias("answer_value"), words.alias("trace_words"), keep.alias("keep"))
+        def with_words(t):
+            def with_answer(words):
+                def fields(a):
+                    keep = r.isNotNull() & t.isNotNull() & a.isNotNull() & words.between(min_words, max_words)
+                    return F.struct(t.alias("trace"), a.alias("answer_value"), words.alias("trace_words"), keep.alias("keep"))
 
-        return T.let(T.extract_tag(r, "think"), fields)
+                return T.let(T.extract_tag(r, "answer"), fields)
+
+            return T.let(T.word_count(t), with_answer)
+
+        return T.let(T.extract_tag(r, "think"), with_words)
 
     return T.let(F.col(response) if isinstance(response, str) else response, with_trace)
 

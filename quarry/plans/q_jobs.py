@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from quarry.plans import jobs as J
 from quarry.plans import q_curate as QC
+from quarry.plans import q_grade as QG  # noqa: F401  (its oracles are part of the jobs')
 from quarry.plans import q_langid as QL
+from quarry.plans import q_profile as QP  # noqa: F401
 from quarry.plans import q_synth as QS
+from quarry.plans import q_validate as QV  # noqa: F401
 from quarry.plans import sqltext as S
 from quarry.plans import views as V
 from quarry.plans.q_text import _CHAT_T
-from quarry.plans.registry import query
+from quarry.plans.registry import ORACLES, query
 from quarry.sources import csv as CSV
 from quarry.sources.scratch import scratch_path
 from quarry.sources.tables import table
@@ -92,3 +95,57 @@ def eval_set_csv(spark, d):
     J.write_eval_set(QS.eval_set(spark, d), path)
     return CSV.read_puzzles(spark, path).select("id", "prompt", "answer", "category")
 
+
+
+@query("grading_report", ORACLES["error_classes"])
+def grading_report(spark, d):
+    """JOB2: the error classes that the grading job writes beside its predictions, read back."""
+    path = scratch_path(spark, "grading")
+    J.grade_generations(V.generations(spark, d), path)
+    classes = spark.read.json(f"{path}/error_classes")
+    return classes.select("error_class", "n")
+
+
+@query("dataset_profile", " UNION ALL ".join(f"SELECT * FROM ({ORACLES[q]})" for q in ("length_profile_pairs", "word_profile", "describe_token_estimate")))
+def dataset_profile(spark, d):
+    """JOB4: lengths, words and token estimates described by one job."""
+    p = J.profile_dataset(V.examples(spark, d))
+    whole = p["lengths"].unionByName(p["words"])
+    return whole.select(*[F.col(c).cast(t) for c, t in p["tokens"].dtypes]).unionByName(p["tokens"])
+
+
+_RULES = ["v1_bits", "v2_text", "v3_numeric", "v4_numeral", "v5_symbol", "v7_answer", "v8_consistent"]
+
+
+@query(
+    "checking_report",
+    "SELECT CAST(count(*) AS BIGINT) AS \"rows\", "
+    + ", ".join(f"CAST(count(*) FILTER (WHERE NOT coalesce({c}, true)) AS BIGINT) AS {c}_failures" for c in _RULES)
+    + f" FROM ({ORACLES['validate_format']}) f JOIN (SELECT id, v7_answer, v8_consistent FROM ({ORACLES['verify_consistency']})) c USING (id)",
+)
+def checking_report(spark, d):
+    """JOB6: rule failures of the synthetic rows (the evaluation set read back from its CSV)."""
+    path = scratch_path(spark, "synthetic")
+    CSV.write_puzzles(QS.eval_rows(spark, d), path, extra=["category"])
+    original = V.examples(spark, d).select("id", "prompt", "answer")
+    report = J.check_and_augment(spark, original, f"{path}/*.csv", f"{path}-union")
+    cols = ["rows", *[f"{c}_failures" for c in _RULES]]
+    return spark.createDataFrame([tuple(report[c] for c in cols)], ", ".join(f"`{c}` bigint" for c in cols))
+
+
+_SPLITS = V.with_views(
+    f"""SELECT id, CASE WHEN rn <= v THEN 'valid' ELSE 'train' END AS split FROM (
+  SELECT id, row_number() OVER (ORDER BY {S.hash_hex('split', SEED, 'id')}, id) AS rn,
+         greatest(1, least(CAST(round_even(count(*) OVER () * 0.1, 0) AS BIGINT), count(*) OVER () - 1)) AS v FROM pairs)""",
+    "pairs",
+)
+
+
+@query("prepared_splits", _SPLITS)
+def prepared_splits(spark, d):
+    """JOB1 without sampling: every answered example from its CSV, and the split CSVs read back."""
+    path = scratch_path(spark, "prepare")
+    CSV.write_puzzles(V.pairs(spark, d), f"{path}/in")
+    J.prepare_training_data(spark, f"{path}/in", path, 0, 0.1, SEED)
+    train, valid = (CSV.read_puzzles(spark, f"{path}/splits/{p}").select("id", F.lit(p).alias("split")) for p in ("train", "valid"))
+    return train.unionByName(valid)

@@ -125,8 +125,12 @@ V.register_sql_view(
 
 def eval_rows(spark, d):
     """The evaluation set before it is numbered: computed puzzles and every accepted
-    generation (SET2), so that it grows with both tables."""
-    return puzzles(spark, d).unionByName(Y.accepted(V.gens(spark, d)))
+    generation (SET2), so that it grows with both tables.
+
+    The generator at the end keeps the puzzle expressions from being copied into
+    every expression that reads a prompt."""
+    rows = puzzles(spark, d).unionByName(Y.accepted(V.gens(spark, d)))
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
 def eval_set(spark, d):
@@ -140,9 +144,10 @@ def eval_set(spark, d):
 
 _EVAL_SQL = (
     "SELECT printf('eval_%05d', CAST(row_number() OVER (ORDER BY " + S.hash_hex("eval", SEED, "id") + ", id) - 1 AS INTEGER)) AS id, "
-    "prompt, answer, category, id AS source_id FROM (SELECT * FROM puzzles UNION ALL SELECT * FROM accepted)"
+    "prompt, answer, category, id AS source_id FROM eval_rows"
 )
-V.register_sql_view("eval_set", ["puzzles", "accepted"], _EVAL_SQL)
+V.register_sql_view("eval_rows", ["puzzles", "accepted"], "SELECT id, prompt, answer, category FROM puzzles UNION ALL SELECT id, prompt, answer, category FROM accepted")
+V.register_sql_view("eval_set", ["eval_rows"], _EVAL_SQL)
 
 
 @query("eval_set", V.with_views("SELECT * FROM eval_set", "eval_set"))

@@ -153,11 +153,11 @@ def _rules(with_v8: bool = True) -> dict[str, str]:
     return out
 
 
-_EVAL = "(SELECT id, prompt, answer, category FROM eval_set)"
+_EVAL = "(SELECT id, prompt, answer, category FROM eval_rows)"
 
 
 def _eval(spark, d):
-    return QS.eval_set(spark, d).select("id", "prompt", "answer", "category")
+    return QS.eval_rows(spark, d)
 
 
 # --------------------------------------------------------------- queries
@@ -168,7 +168,7 @@ def _eval(spark, d):
     V.with_views(
         "SELECT id, CAST(pos AS BIGINT) AS pos, pairs[pos].lhs AS lhs, pairs[pos].rhs AS rhs FROM "
         f"(SELECT id, {_pairs_sql('prompt', 'category')} AS pairs FROM {_EVAL}), LATERAL (SELECT unnest(range(1, len(pairs) + 1)) AS pos)",
-        "eval_set",
+        "eval_rows",
     ),
 )
 def example_pairs(spark, d):
@@ -181,7 +181,7 @@ def example_pairs(spark, d):
 def _rules_sql(cols: list[str]) -> str:
     r = _rules(with_v8="v8_consistent" in cols)
     sel = ", ".join(f"{r[c]} AS {c}" for c in cols)
-    return V.with_views(f"SELECT id, category, CAST(len(pairs) AS BIGINT) AS n_pairs, {sel} FROM ({_stage1(_EVAL)})", "eval_set")
+    return V.with_views(f"SELECT id, category, CAST(len(pairs) AS BIGINT) AS n_pairs, {sel} FROM ({_stage1(_EVAL)})", "eval_rows")
 
 
 _FORMAT_COLS = ["v1_bits", "v2_text", "v3_numeric", "v4_numeral", "v5_symbol"]
@@ -214,7 +214,7 @@ _NUMERIC_SRC = f"(SELECT * FROM {_EVAL} WHERE category IN ('physics', 'unit_conv
         f"ELSE {_div('sxy_u', 'sxx_u')} * TRY_CAST(q AS DOUBLE) END AS pred, "
         f"CASE WHEN category = 'physics' THEN {_tol('(TRY_CAST(q AS DOUBLE) * TRY_CAST(q AS DOUBLE))', 'p')} ELSE {_tol('TRY_CAST(q AS DOUBLE)', 'u')} END AS tol "
         f"FROM ({_stage1(_NUMERIC_SRC)}))",
-        "eval_set",
+        "eval_rows",
     ),
 )
 def verify_numeric(spark, d):

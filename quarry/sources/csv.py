@@ -9,7 +9,9 @@ Sinks write a directory of part files in parallel (no funnel into one task).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,30 +62,34 @@ def _hadoop_fs(spark: SparkSession, pattern: str):
     return jvm, path.getFileSystem(conf), path
 
 
-def _header_of(spark: SparkSession, file_path: str) -> str:
-    """First line of one file through the Hadoop FS API (one small read on the driver)."""
-    jvm, fs, path = _hadoop_fs(spark, file_path)
-    stream = fs.open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return (line or "").lstrip("\ufeff")
+def _plain(path: str) -> str:
+    """A path in one spelling: no escapes, one slash after the scheme of a local file."""
+    return re.sub(r"^file:/+", "file:/", unquote(path))
+
+
+def _headers(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """First line of every matching file, read by the tasks through Spark's text
+    reader, which also opens compressed files. One row per file reaches the driver,
+    beside the file list it holds anyway."""
+    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    first = lines.where("b = 0").groupBy("f").agg(F.min_by("value", "i").alias("h")).collect()
+    return {_plain(r["f"]): r["h"].lstrip("\ufeff") for r in first}
 
 
 def read_puzzle_glob(spark: SparkSession, pattern: str) -> DataFrame:
     """SRC3: every file matching ``pattern``, concatenated by column name
     (missing columns null). No match is an error. Files are grouped by their
-    header line so files with different columns are each read by name."""
+    header line so files with different columns are each read by name. A header
+    with a line break inside a column name is grouped by its first line only."""
     jvm, fs, path = _hadoop_fs(spark, pattern)
     statuses = fs.globStatus(path)
     files = sorted(str(s.getPath().toString()) for s in (statuses or []) if s.isFile())
     if not files:
         raise FileNotFoundError(f"no file matches {pattern}")
     groups: dict[str, list[str]] = {}
+    headers = _headers(spark, pattern)
     for f in files:
-        groups.setdefault(_header_of(spark, f), []).append(f)
+        groups.setdefault(headers.get(_plain(f), ""), []).append(f)
     out = None
     for _, fs_ in sorted(groups.items()):
         part = read_puzzles(spark, fs_)

@@ -21,17 +21,18 @@ ROW_HEAVY = {"documents", "conversations", "pages", "part"}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    A text-heavy scan that yields fewer splits than the cluster has cores (a
-    small table stored as one row group) is spread round-robin so row-local
-    work (regexes, higher-order functions, generators) uses every core. Large
-    inputs already arrive in many splits and are left untouched, so this never
-    adds a shuffle at scale."""
+    In a local session (tests, bench) a text-heavy scan that yields fewer splits
+    than there are cores (a small table stored as one row group) is spread
+    round-robin so row-local work (regexes, higher-order functions, generators)
+    uses every core. On a cluster scans are left as they are."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return spread(df) if name in ROW_HEAVY else df
 
 
 def spread(df: DataFrame) -> DataFrame:
     try:
+        if not df.sparkSession.sparkContext.master.startswith("local["):
+            return df
         cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is

@@ -86,3 +86,26 @@ def test_curated_ids_alone_are_written(spark, sf):
     got = J.curate_corpus(docs, 20)
     assert got.columns == docs.columns and got.count() == 20
     assert sum("text" in x for x in got._jdf.queryExecution().optimizedPlan().collectLeaves().toString().split("LogicalRDD")[1:]) == 0
+
+
+def test_compressed_files_are_grouped_by_header(spark, tmp_path):
+    import gzip
+
+    for i in range(3):
+        with gzip.open(tmp_path / f"a {i}.csv.gz", "wt", newline="") as f:
+            f.write(f'id,prompt,answer\r\nx{i},"two\r\nlines",1\r\n')
+    (tmp_path / "b.csv").write_text("﻿prompt,id,note\np,y,n\n")
+    got = CSV.read_puzzle_glob(spark, str(tmp_path / "*.csv*"))
+    rows = {r["id"]: (r["prompt"], r["answer"], r["note"]) for r in got.collect()}
+    assert rows == {"x0": ("two\r\nlines", "1", None), "x1": ("two\r\nlines", "1", None), "x2": ("two\r\nlines", "1", None), "y": ("p", None, "n")}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2
+
+
+def test_spread_stays_off_a_cluster(spark, sf, monkeypatch):
+    from quarry.sources import tables
+
+    assert "Repartition" not in spark.read.parquet(f"{sf}/documents.parquet")._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    df = tables.spread(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert "Repartition" not in df._jdf.queryExecution().optimizedPlan().toString()

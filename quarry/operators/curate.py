@@ -73,11 +73,11 @@ def _dup_share(grams: Column) -> Column:
     return F.when(F.size(grams) > 0, 1 - F.size(F.array_distinct(grams)) / F.size(grams)).otherwise(F.lit(0.0))
 
 
-def repetition_struct(text, n: int = 3, window: int = 200, step: int = 100) -> Column:
+def repetition_struct(text, n: int = 3, window: int = 200, step: int = 100, windowed: bool = True) -> Column:
     """FLT8 measures as one struct: ``n_words``, ``rep_share`` (duplicate n-gram
     share of the whole text) and ``rep_share_windowed`` (largest share over
     windows of ``window`` words starting every ``step`` words; texts shorter
-    than one window form a single window). The word and n-gram arrays are
+    than one window form a single window; left out unless ``windowed``). The word and n-gram arrays are
     bound once (``let``) and reused by every window, so the cost stays linear
     even when a filter on the result is pushed below the projection."""
     per_window = window - (n - 1)
@@ -85,6 +85,8 @@ def repetition_struct(text, n: int = 3, window: int = 200, step: int = 100) -> C
     def measures(w):
         def with_grams(g):
             nw = F.size(w)
+            if not windowed:
+                return F.struct(nw.cast("bigint").alias("n_words"), _dup_share(g).alias("rep_share"))
             starts = F.sequence(F.lit(0), F.greatest(nw - window, F.lit(0)), F.lit(step))
             win = F.array_max(F.transform(starts, lambda s: _dup_share(F.slice(g, s + 1, per_window))))
             return F.struct(
@@ -106,9 +108,11 @@ def repetition_columns(df: DataFrame, text: str, n: int = 3, window: int = 200,
 
 def repetition_filter(df: DataFrame, text: str, threshold: float = 0.30, windowed: bool = False, **kw) -> DataFrame:
     """FLT8: drop rows whose duplicate n-gram share exceeds ``threshold``."""
-    m = repetition_columns(df, text, **kw)
-    c = "rep_share_windowed" if windowed else "rep_share"
-    return keep_where(m.withColumn("_rep_ok", F.col(c) <= threshold), "_rep_ok")
+    if windowed:
+        m = repetition_columns(df, text, **kw)
+        return keep_where(m.withColumn("_rep_ok", F.col("rep_share_windowed") <= threshold), "_rep_ok")
+    m = df.withColumn("_rep", repetition_struct(text, windowed=False, **kw)).select(*df.columns, "_rep.n_words", "_rep.rep_share")
+    return keep_where(m.withColumn("_rep_ok", F.col("rep_share") <= threshold), "_rep_ok")
 
 
 def trace_struct(response, min_words: int = 20, max_words: int = 6000) -> Column:

@@ -115,21 +115,28 @@ def sentence_ids(text: Column) -> Column:
     return F.when(ascii_lower(text).rlike(TRIGGER), ids).otherwise(F.array().cast("array<string>"))
 
 
-def _rule_pattern(ids: list[str]) -> str:
-    """A rule over a string of ' id id id ': its identifiers in order, no opening of another rule between them."""
-    openings = sorted({r[0] for _, r in RULES} - set(ids))
-    gap = "(?:(?!(?:" + "|".join(openings) + ") )[a-z0-9_]+ )*?"
-    return " " + (" " + gap).join(ids) + " "
+def _matches(ids: Column, rule: list[str]) -> Column:
+    """True where a rule's identifiers appear in order with no opening of another rule between them.
+
+    One walk over the identifiers, however many: the state is how far the rule has got."""
+    if len(rule) == 1:
+        return F.array_contains(ids, rule[0])
+    done, steps = len(rule), F.array(*[F.lit(r) for r in rule])
+    openings = sorted({r[0] for _, r in RULES} - set(rule))
+
+    def step(at, x):
+        return F.when(at == done, at).when(x == F.get(steps, at), at + 1).when(x.isin(openings), F.lit(0)).otherwise(at)
+
+    return F.aggregate(ids, F.lit(0), step, lambda at: at == done)
 
 
 def licences(ids: Column) -> Column:
     """Sorted distinct licences whose rules match an identifier sequence."""
-    seq = F.concat(F.lit(" "), F.array_join(ids, " "), F.lit(" "))
 
     def found(s):
         hits, longer = [], {}
         for name, rule in RULES:
-            hit = s.rlike(_rule_pattern(rule))
+            hit = _matches(s, rule)
             above = [h for first, h in longer.get(rule[0], []) if first[: len(rule)] == rule]
             # a shorter rule stands only where no longer rule begins with it
             own = hit & ~F.greatest(*above, F.lit(False)) if above else hit
@@ -137,7 +144,7 @@ def licences(ids: Column) -> Column:
             hits.append(F.when(own, F.lit(name)))
         return F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))
 
-    return F.when(F.size(ids) > 0, let(seq, found)).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(ids) > 0, let(ids, found)).otherwise(F.array().cast("array<string>"))
 
 
 def scan_licences(docs, text: str = "text"):

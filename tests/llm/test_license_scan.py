@@ -1,5 +1,8 @@
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from quarry.llm import license_scan as L
 from quarry.llm.common import read
 
@@ -27,6 +30,10 @@ def brute(text):
         key = re.sub(r"[^a-z0-9\u0080-\U0010ffff]+", " ", low).strip(" ")
         if key in back:
             ids.append(back[key])
+    return ids, brute_licences(ids)
+
+
+def brute_licences(ids):
     found = set()
     opens = {r[0] for _, r in L.RULES}
 
@@ -47,7 +54,7 @@ def brute(text):
         longer = [r for _, r in L.RULES if len(r) > len(rule) and r[: len(rule)] == rule]
         if match(rule) and not any(match(r) for r in longer):
             found.add(name)
-    return ids, sorted(found)
+    return sorted(found)
 
 
 TEXTS = [
@@ -68,6 +75,24 @@ def test_against_brute_force(spark):
     assert got[0] == ["MIT"] and got[1] == [] and got[2] == ["MIT"] and got[4] == ["Apache-2.0"] and got[5] == ["CC-BY-NC-4.0", "GPL-3.0"] and got[8] == ["BSD-2-Clause"]
 
 
+def test_rules_on_random_sequences(spark):
+    r = random.Random(3)
+    pool = [i for _, rule in L.RULES if len(rule) > 1 for i in rule] + ["all_rights", "mit_liability", "gpl_details", "mit_released"]
+    rows = [(n, [r.choice(pool) for _ in range(r.randint(0, 14))]) for n in range(300)]
+    for n, (_, rule) in enumerate(L.RULES):  # each rule whole, with strangers between, and cut by a foreign opening
+        rows += [(1000 + n, rule), (2000 + n, [x for i in rule for x in (i, "all_rights")]), (3000 + n, rule[:1] + ["isc_grant"] + rule[1:])]
+    got = {x["n"]: x["l"] for x in rows_of(spark.createDataFrame(rows, "n int, ids array<string>").select("n", L.licences(F.col("ids")).alias("l")))}
+    assert got == {n: brute_licences(ids) for n, ids in rows}
+
+
+def test_very_long_text(spark):
+    """Tens of thousands of known sentences between the parts of one rule."""
+    s = L.SENTENCES
+    text = s["mit_grant"] + ". " + "All rights reserved. " * 50_000 + s["mit_notice"] + ". " + s["mit_warranty"] + "."
+    row = rows_of(L.scan_licences(spark.createDataFrame([(1, text)], "doc_id bigint, text string")))[0]
+    assert row["licences"] == ["MIT"] and len(row["sentence_ids"]) == 50_003  # all of them, and the three of the rule
+
+
 def test_whole_table(spark, sf):
     n = 0
     for r in rows_of(L.scan_licences(read(spark, sf, "documents").select("doc_id", "text"))):

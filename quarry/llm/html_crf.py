@@ -18,6 +18,7 @@ import html as html_lib
 import math
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -43,10 +44,29 @@ SPLIT_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Block:
-    __slots__ = ("tags", "names", "text", "linked")
+    """``tags`` and ``names``: all tags above the block and the words of their
+    attributes; ``last`` the innermost tag, ``own`` the innermost block tag."""
 
-    def __init__(self, tags, names, text, linked):
-        self.tags, self.names, self.text, self.linked = tags, names, text, linked
+    __slots__ = ("tags", "names", "last", "own", "text", "linked")
+
+    def __init__(self, tags, names, last, own, text, linked):
+        self.tags, self.names, self.last, self.own, self.text, self.linked = tags, names, last, own, text, linked
+
+
+class Open:
+    """An open element: its own tag and words, and what holds for it and all elements above it.
+
+    Sets are shared with the element above wherever nothing new joins them, so
+    a page of any depth costs what its tags cost."""
+
+    __slots__ = ("tag", "own_names", "tags", "names", "block")
+
+    def __init__(self, tag, own_names, above):
+        tags, names = (above.tags, above.names) if above else (frozenset(), frozenset())
+        self.tag, self.own_names = tag, own_names
+        self.tags = tags if tag in tags else tags | {tag}
+        self.names = names if own_names <= names else names | own_names
+        self.block = tag if tag in BLOCKS else above.block if above else None
 
 
 def _names(attrs: str) -> frozenset:
@@ -63,14 +83,16 @@ def blocks_of(page: str | None) -> list[Block]:
         return []
     out, stack, text, linked = [], [], [], 0
     at, n, hidden = 0, len(page), 0
+    is_open: Counter = Counter()
 
     def end_block():
         nonlocal linked
         if text:
             s = " ".join("".join(text).split())
             if s:
-                tags = [t for t, _ in stack]
-                out.append(Block(tags, frozenset().union(*(w for _, w in stack)), s, min(1.0, linked / max(1, len(s)))))
+                share = min(1.0, linked / max(1, len(s)))
+                top = stack[-1] if stack else None
+                out.append(Block(top.tags, top.names, top.tag, top.block or "none", s, share) if top else Block(frozenset(), frozenset(), None, "none", s, share))
             text.clear()
         linked = 0
 
@@ -79,13 +101,14 @@ def blocks_of(page: str | None) -> list[Block]:
         if s and not hidden:
             s = html_lib.unescape(s)
             text.append(s)
-            if any(t == "a" for t, _ in stack):
+            if is_open["a"]:
                 linked += len(s.strip())
 
     def pop_to(i):
         nonlocal hidden
-        for t, _ in stack[i:]:
-            hidden -= t in HIDDEN
+        for e in stack[i:]:
+            hidden -= e.tag in HIDDEN
+            is_open[e.tag] -= 1
         del stack[i:]
 
     while at < n:
@@ -99,31 +122,36 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         tag, attrs = m[2].lower(), m[3]
         if m[1]:
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag) if is_open[tag] else None
             if tag in BLOCKS:
                 end_block()
             if i is not None:
                 # an inline end tag never closes a block that is open inside it
-                if tag in BLOCKS or tag in HIDDEN or not any(t in BLOCKS for t, _ in stack[i + 1 :]):
+                if tag in BLOCKS or tag in HIDDEN or not any(e.tag in BLOCKS for e in stack[i + 1 :]):
                     pop_to(i)
                 else:
-                    del stack[i]
+                    inner = stack[i + 1 :]
+                    is_open[tag] -= 1
+                    del stack[i:]
+                    for e in inner:
+                        stack.append(Open(e.tag, e.own_names, stack[-1] if stack else None))
             continue
         if tag == "br":
             add(" ")
             continue
         if tag in BLOCKS:
             end_block()
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCKS), None)
-            if i is not None and ((stack[i][0] == "p" and tag in CLOSES_P) or (stack[i][0] == tag and tag in ("li", "td", "th", "tr", "dd", "dt"))):
-                pop_to(i)
+            near = stack[-1].block if stack else None
+            if (near == "p" and tag in CLOSES_P) or (near == tag and tag in ("li", "td", "th", "tr", "dd", "dt")):
+                pop_to(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == near))
         if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
             continue
         if tag in RAW:  # its content is not markup
             e = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = e.end() if e else n
             continue
-        stack.append((tag, _names(attrs)))
+        stack.append(Open(tag, _names(attrs), stack[-1] if stack else None))
+        is_open[tag] += 1
         hidden += tag in HIDDEN
     end_block()
     return out
@@ -131,15 +159,14 @@ def blocks_of(page: str | None) -> list[Block]:
 
 def features(blocks: list[Block]) -> list[list[str]]:
     out, n = [], len(blocks)
-    headings = [i for i, b in enumerate(blocks) if b.tags and b.tags[-1] in ("h1", "h2")]
+    headings = [i for i, b in enumerate(blocks) if b.last in ("h1", "h2")]
     for i, b in enumerate(blocks):
         f = ["bias"]
-        f += [f"in:{t}" for t in set(b.tags)]
+        f += [f"in:{t}" for t in b.tags]
         f += [f"name:{w}" for w in b.names]
         words = b.text.split()
         size = min(6, int(math.log2(len(words) + 1)))
-        own = next((t for t in reversed(b.tags) if t in BLOCKS), "none")
-        f += [f"own:{own}", f"size:{size}", f"link:{int(b.linked * 4)}", f"own:{own}:{size}"]
+        f += [f"own:{b.own}", f"size:{size}", f"link:{int(b.linked * 4)}", f"own:{b.own}:{size}"]
         last = b.text.rstrip("\"')”»*%#$& ")[-1:]
         f.append(f"end:{'stop' if last in '.!?' and last else 'none'}:{min(size, 4)}")
         f.append(f"commas:{min(3, b.text.count(','))}")

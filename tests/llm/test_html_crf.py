@@ -27,6 +27,23 @@ def test_blocks():
     assert [b.text for b in X.blocks_of("<p>a < b and <p>c")] == ["a < b and", "c"]
 
 
+def test_ancestors_of_a_block():
+    """Tags and names of all open elements, after misnested and unopened end tags as well."""
+    got = [(b.text, set(b.tags), set(b.names), b.last, b.own) for b in X.blocks_of('<div class="x"><b><i id=y>one</b> two<p class=z>three</i></p><p>four</u></div>five<u class=k><p>six</u> seven')]
+    assert got == [
+        ("one two", {"div"}, {"x"}, "div", "div"), ("three", {"div", "p"}, {"x", "z"}, "p", "p"), ("four", {"div", "p"}, {"x"}, "p", "p"),
+        ("five", {"u"}, {"k"}, "u", "none"), ("six seven", {"p"}, set(), "p", "p"),
+    ]
+
+
+def test_deep_and_broken_markup_is_linear():
+    n = 60_000
+    for page in ("<div>x" * n, "<b>x" * n + "</b>" * n, "<span>x" * n + "</i>" * n, "<ul><li>x" * n):
+        blocks = X.blocks_of(page)
+        assert sum(b.text.count("x") for b in blocks) == n
+        X.main_text(page, X.default_chain())
+
+
 def test_main_text_of_a_page():
     assert X.main_text(PAGE, X.default_chain()).split("\n") == ["A long walk & a short rest", "The first paragraph goes on, with a comma, and ends here.", "Second one is bold.", "The third follows an open one é."]
 

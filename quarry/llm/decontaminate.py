@@ -71,7 +71,9 @@ def scan(docs: DataFrame, bench: DataFrame, n: int = 10, broadcast_bytes: int =
         return F.transform(F.filter(at, passes), lambda i: F.struct(i.alias("pos"), F.lit(k).alias("len"), F.array_join(F.slice(w, i, F.lit(k)), " ").alias("gram")))
 
     found = base.select("doc_id", "text_key", "_row", F.size("w").cast("bigint").alias("n_words"), F.concat(*[candidates(F.col("w"), k) for k in lens]).alias("c"))
-    rows = found.select("doc_id", "text_key", "_row", "n_words", F.explode_outer("c").alias("c")).select("doc_id", "text_key", "_row", "n_words", F.col("c.pos").alias("pos"), F.col("c.len").alias("len"), F.col("c.gram").alias("gram"))
+    # a row without candidates gets a key of its own that no window has, or a shuffle join would deal all of them to one task
+    alone = F.concat(F.lit(" "), F.col("_row").cast("string"))
+    rows = found.select("doc_id", "text_key", "_row", "n_words", F.explode_outer("c").alias("c")).select("doc_id", "text_key", "_row", "n_words", F.col("c.pos").alias("pos"), F.col("c.len").alias("len"), F.coalesce(F.col("c.gram"), alone).alias("gram"))
     exact = grams.select("gram", "item")
     hit = rows.join(F.broadcast(exact) if size < broadcast_bytes else exact, "gram", "left")
     out = hit.groupBy("_row", "doc_id", "text_key", "n_words").agg(
@@ -109,12 +111,13 @@ def remove_spans(docs: DataFrame, bench: DataFrame, n: int = 10) -> DataFrame:
     raw_word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     raw_sep = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
     text = docs["text"]
-    parts = F.regexp_extract_all(text, F.lit(raw_sep + raw_word), F.lit(0))
+    # one part a word, with what is before it; separators after the last word are a part of their own, never hit.
+    # Possessive, so that a long run of separators is read once
+    parts = F.regexp_extract_all(text, F.lit(f"{raw_sep}+{raw_word}|{raw_sep[:-1]}++"), F.lit(0))
     hit_at = F.array_distinct(F.flatten(F.transform("_h_spans", lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))
-    tail = F.regexp_extract(text, raw_sep + r"\z", 0)
     # positions kept: a hash-based difference, then one pass over the words
     cut = let(parts, lambda ps: F.array_join(F.transform(F.array_except(F.when(F.size(ps) > 0, F.sequence(F.lit(1), F.size(ps))).otherwise(F.array().cast("array<int>")), hit_at), lambda i: F.get(ps, i - 1)), ""))
-    new = F.when(F.col("_h_key").isNull(), text).otherwise(F.concat(cut, tail))
+    new = F.when(F.col("_h_key").isNull(), text).otherwise(cut)
     return j.select(*[new.alias(c) if c == "text" else docs[c] for c in docs.columns])
 
 

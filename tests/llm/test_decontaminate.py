@@ -63,6 +63,14 @@ def test_removal(spark):
     assert (1, " today") in cut and (6, LONG) in cut and (3, None) in cut and (4, "") in cut
 
 
+def test_spans_keep_what_surrounds_them(spark):
+    gap = " \n" * 200_000
+    rows = [(1, "Start, " + BENCH[0][1].upper() + "!" + gap, None, None), (2, gap + "a b " + BENCH[1][1] + gap + "end.", None, None), (3, gap, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    cut = {r["doc_id"]: r["text"] for r in rows_of(D.remove_spans(docs, bench_table(spark)))}
+    assert cut == {1: "Start!" + gap, 2: gap + "a b!" + gap + "end.", 3: gap}
+
+
 def test_empty_tables(spark):
     docs, bench = documents(spark), bench_table(spark)
     assert D.scan(docs.limit(0), bench).count() == 0

@@ -42,7 +42,7 @@ def salt_of(*cols, buckets: int) -> Column:
 def running_total(df: DataFrame, part: list[str], order: list, value: Column, out: str) -> DataFrame:
     """Exclusive running total of ``value`` in each ``part``, without one task per part.
 
-    ``df`` must carry an int column ``_bucket`` (a few hundred values),
+    ``df`` must carry an int column ``_bucket`` (hundreds to thousands of values),
     a function of the row: rows are ordered by bucket, then by ``order`` inside the bucket.
     Each (part, bucket) is one window group; the bucket totals
     (parts x buckets rows at most) give the offsets. ``part`` columns must not be null."""

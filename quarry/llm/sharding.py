@@ -11,7 +11,8 @@ all documents without links fill the free room.
 
 Law ``rows``: shard counts are at most one apart, whatever the links.
 Slots number each shard's rows without gaps. Ranks are exact and distributed:
-hash buckets first, then windows inside a bucket.
+hash buckets first, then windows inside a bucket; the buckets grow in number
+with the rows, so that a bucket stays at about a million.
 
 Null text: size 1 (0 bytes plus 1), and linked like the empty text. Repeated
 rows are rows like any other, linked by their text; null ids sort first. Empty
@@ -29,7 +30,6 @@ from quarry.llm.registry import query
 SHARDS = 8
 ROUNDS = 6
 SLACK = 0.2
-BUCKETS = 256
 
 
 def quotas(asked: dict[tuple[int, int], int], sizes: list[int], caps: list[int]) -> dict[tuple[int, int], int]:
@@ -45,16 +45,21 @@ def quotas(asked: dict[tuple[int, int], int], sizes: list[int], caps: list[int])
     return give
 
 
-def _by_size(n, key):
-    """Buckets that put larger parts first: by power of two, each in 8 by hash."""
-    return (F.greatest(F.lit(0), F.lit(40) - F.floor(F.log2(n)).cast("int")) * 8 + salt_of(key, buckets=8)).cast("int")
+def buckets_for(rows: int, least: int, each: int = 1 << 20) -> int:
+    """Hash buckets for exact ranks: ``least`` of them, or one per ``each`` rows."""
+    return max(least, rows // each)
 
 
-def _capped(state: DataFrame, n_shards: int, quota: dict, key) -> DataFrame:
+def _by_size(n, key, parts: int):
+    """Buckets that put larger parts first: by power of two, each in ``parts`` by hash."""
+    return (F.greatest(F.lit(0), F.lit(40) - F.floor(F.log2(n)).cast("int")) * parts + salt_of(key, buckets=parts)).cast("int")
+
+
+def _capped(state: DataFrame, n_shards: int, quota: dict, key, parts: int) -> DataFrame:
     """``state`` rows (group, shard, n, to): moved is how many of n go from shard to ``to``."""
     q = F.array(*[F.lit(quota.get((i, j), 0)).cast("bigint") for i in range(n_shards) for j in range(n_shards)])
     ask = state.where(F.col("to") != F.col("shard"))
-    ranked = running_total(ask.withColumn("_bucket", _by_size(F.col("n"), key)), ["shard", "to"], [F.desc("n"), key], F.col("n"), "before")
+    ranked = running_total(ask.withColumn("_bucket", _by_size(F.col("n"), key, parts)), ["shard", "to"], [F.desc("n"), key], F.col("n"), "before")
     left = F.get(q, F.col("shard") * n_shards + F.col("to")) - F.col("before")
     return ranked.select("g", "shard", "to", F.greatest(F.least(left, F.col("n")), F.lit(0)).alias("moved")).where("moved > 0")
 
@@ -66,6 +71,7 @@ def propagate(members: DataFrame, caps: list[int], rounds: int = ROUNDS) -> Data
     reach the driver."""
     k = len(caps)
     cur = stored(members, "lp")
+    parts = buckets_for(sum(caps), 8, 1 << 26)
     for _ in range(rounds):
         sizes = {r["shard"]: r["n"] for r in cur.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         # the fullest shard of a group; a group already filling a full shard sends the rest to its next one
@@ -80,7 +86,7 @@ def propagate(members: DataFrame, caps: list[int], rounds: int = ROUNDS) -> Data
         quota = quotas(asked, [sizes.get(s, 0) for s in range(k)], caps)
         if not any(quota.values()):
             break
-        moves = _capped(wish, k, quota, F.col("g"))
+        moves = _capped(wish, k, quota, F.col("g"), parts)
         delta = moves.select("g", "shard", (-F.col("moved")).alias("n")).unionByName(moves.select("g", F.col("to").alias("shard"), F.col("moved").alias("n")))
         cur = stored(cur.unionByName(delta).groupBy("g", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "lp")
     return cur
@@ -92,6 +98,7 @@ def assign(rows: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     ``g`` names the group of linked documents (never null)."""
     rows = stored(rows, "shardrows")
     total = rows.count()
+    parts, buckets, salts = buckets_for(total, 8, 1 << 26), buckets_for(total, 256), buckets_for(total, 64)
     caps = [total // n_shards + (1 if s < total % n_shards else 0) for s in range(n_shards)]
     first = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(n_shards)).cast("int")
     counts = rows.groupBy("g", first.alias("shard")).agg(F.count("*").alias("n"))
@@ -100,12 +107,12 @@ def assign(rows: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     # while labels spread, shards may run over by SLACK; then each gives up what is
     # beyond its capacity, its smallest parts, which fill the free room part by part
     state = propagate(counts, [c + int(c * SLACK) + 1 for c in caps], rounds)
-    sized = running_total(state.withColumn("_bucket", _by_size(F.col("n"), F.col("g"))), ["shard"], [F.desc("n"), "g"], F.col("n"), "before")
+    sized = running_total(state.withColumn("_bucket", _by_size(F.col("n"), F.col("g"), parts)), ["shard"], [F.desc("n"), "g"], F.col("n"), "before")
     cap = F.get(F.array(*[F.lit(c).cast("bigint") for c in caps]), F.col("shard"))
     sized = stored(sized.select("g", "shard", "n", F.greatest(F.least(F.col("n"), cap - F.col("before")), F.lit(0)).alias("held")), "held")
     used = {r["shard"]: r["n"] for r in sized.groupBy("shard").agg(F.sum("held").alias("n")).collect()}
     spare = sized.where("n > held").select("g", (F.col("n") - F.col("held")).alias("n"), F.lit(0).alias("_part")).groupBy("g", "_part").agg(F.sum("n").alias("n"))
-    spare = running_total(spare.withColumn("_bucket", _by_size(F.col("n"), F.col("g"))), ["_part"], [F.desc("n"), "g"], F.col("n"), "at")
+    spare = running_total(spare.withColumn("_bucket", _by_size(F.col("n"), F.col("g"), parts)), ["_part"], [F.desc("n"), "g"], F.col("n"), "at")
     room, start = [], 0
     for s in range(n_shards):
         room.append((start, start + caps[s] - used.get(s, 0)))
@@ -117,7 +124,7 @@ def assign(rows: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     plan = held.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("parts"))  # n_shards entries at most
     # a member's rank in its group decides its part; ranks are salted, and the plan
     # reaches the members per (group, salt), so that a hot group is many windows and join keys
-    salted = rows.withColumn("_bucket", salt_of("doc_id", F.lit("rank"), buckets=64))
+    salted = rows.withColumn("_bucket", salt_of("doc_id", F.lit("rank"), buckets=salts))
     before = Window.partitionBy("g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = salted.groupBy("g", "_bucket").agg(F.count("*").alias("_n"))
     info = sums.select("g", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")).join(plan, "g", "left")
@@ -129,7 +136,7 @@ def assign(rows: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     )
     both = stored(ranked.withColumn("shard", F.when(F.col("parts").isNotNull(), pick)).drop("_bucket", "_in", "_off", "_rank", "parts"), "placed")
     # documents without links fill the room left, in the order of a distributed rank
-    pool = both.where(F.col("shard").isNull()).drop("shard").withColumn("_part", F.lit(0)).withColumn("_bucket", salt_of("doc_id", F.lit("pool"), buckets=BUCKETS))
+    pool = both.where(F.col("shard").isNull()).drop("shard").withColumn("_part", F.lit(0)).withColumn("_bucket", salt_of("doc_id", F.lit("pool"), buckets=buckets))
     pool = running_total(pool, ["_part"], ["doc_id", "g"], F.lit(1), "_rank")
     ends, at = [], 0
     for s in range(n_shards):
@@ -138,7 +145,7 @@ def assign(rows: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     fill = F.coalesce(*[F.when(F.col("_rank") < e, F.lit(s)) for s, e in enumerate(ends)])
     pool = pool.withColumn("shard", fill.cast("int")).drop("_part", "_bucket", "_rank")
     done = both.where(F.col("shard").isNotNull()).unionByName(pool)
-    slots = running_total(done.withColumn("_bucket", salt_of("doc_id", F.lit("slot"), buckets=BUCKETS)), ["shard"], ["doc_id", "g"], F.lit(1), "slot")
+    slots = running_total(done.withColumn("_bucket", salt_of("doc_id", F.lit("slot"), buckets=buckets)), ["shard"], ["doc_id", "g"], F.lit(1), "slot")
     return slots.drop("_bucket")
 
 

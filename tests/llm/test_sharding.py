@@ -77,3 +77,15 @@ def test_quotas_keep_capacities():
         size[j] += n
     assert all(s <= c for s, c in zip(size, [100, 110, 100]))
     assert give[0, 1] >= 20 and give[1, 0] == 20
+
+
+def test_any_number_of_rank_buckets(spark, monkeypatch):
+    """Tables of billions of rows rank in more buckets: the law, the slots and the links hold with any number."""
+    rows = [(i, "hot", "en", "a") for i in range(300)] + [(1000 + i, f"t{i // 3}", "en", "a") for i in range(300)] + [(2000 + i, f"u{i}", "en", "a") for i in range(203)]
+    assert S.buckets_for(10**10, 256) == 9536 and S.buckets_for(1000, 256) == 256
+    for n in (1, 500):
+        monkeypatch.setattr(S, "buckets_for", lambda total, least, each=0, n=n: n)
+        out = rows_of(S.shard_documents(documents(spark, rows)))
+        check(out, len(rows))
+        where = Counter(r["shard"] for r in out if r["doc_id"] < 1000)
+        assert len(where) <= 4  # 300 of 803 rows: three shards of 100 at least

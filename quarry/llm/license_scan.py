@@ -1,9 +1,12 @@
 """Licence scan: known sentences become identifiers, identifier sequences meet ordered rules.
 
-DataFrame functions only, row by row, without a shuffle. A text is cut into
-sentences (an end mark before white space, an empty line, or a line break
-unless the next line goes on in lower case), each sentence is normalised, and
-the known ones give their identifiers in order of appearance. A rule is an
+DataFrame functions only, row by row, without a shuffle. A text becomes its
+words (ASCII lower case) with one mark between each two: an empty line, an
+end mark before white space or after a list mark, a line break unless the next line goes
+on in lower case, or a blank. Comment signs and indents are part of the mark. A
+known sentence stands between two marks; line breaks may lie inside it, and
+end marks where the published notice has them (``STOPS``). The known sentences
+give their identifiers in order of appearance. A rule is an
 ordered list of identifiers that must appear in that order, unknown sentences
 between them allowed but no other rule's opening sentence. Where one rule's
 list begins another's at the same sentence, the longest that matches is reported.
@@ -99,19 +102,57 @@ RULES = [
     ("CC0-1.0", ["cc0_work"]),
 ]
 TRIGGER = r"licen[sc]e|copyright|permission|warrant|redistribut|public domain|rights reserved|mozilla"
-BREAK = r"[.!?;:](?=\s)|\n(?=[^a-z])|\r"
+# End marks inside a known sentence: the words of the published notice that they follow.
+STOPS = {
+    "gpl3_free": ("program is free software", "free software foundation"),
+    "gpl2_free": ("program is free software", "free software foundation"),
+    "gpl_hope": ("without any warranty",),
+    "mpl2_form": ("public license v",),
+}
+# Marks are capitals, which lower-cased text does not hold: H empty line, S end mark, L line break.
+WORD = r"a-z0-9\x{80}-\x{10ffff}"
+COMMENT_WORD = rf"(?i)(^|[\n\r])[^{WORD}\n\r]*(?:dnl|rem)(?=\s)"
+COMMENT_SIGN = rf"(^|[\n\r])[^{WORD}\n\r]+"
+LIST_MARK = rf"((?:^|[\n\r])[^{WORD}\n\r]*(?:[0-9]{{1,2}}|[a-z]|[ivx]{{1,4}}))\)(?=\s)"
+LINE_END = r"(?:\r\n?+|\n)"
+MARKS = [
+    (LIST_MARK, "$1."),
+    (COMMENT_SIGN, "$1"),
+    (r"[.!?;:](?=\s)", "S"),
+    (rf"(?<![^{WORD}])[^{WORD}\n\r]*+{LINE_END}[^{WORD}\n\r]*+{LINE_END}[^{WORD}]*+", "H"),
+    (rf"(?<![^{WORD}])[^{WORD}HS]*+S[^{WORD}]*+", "S"),
+    (rf"(?<![^{WORD}])[^{WORD}HS\n\r]*+[\n\r][^{WORD}]*+", "L"),
+    (rf"[^{WORD}HSL]++", " "),
+]
+
+
+def marked(text: Column) -> Column:
+    """The words of a text in lower case, with one mark or blank between each two."""
+    lines = F.regexp_replace(text, COMMENT_WORD, "$1#")
+    out = ascii_lower(F.regexp_replace(lines, r"\n(?=[a-z])", " "))
+    for pattern, mark in MARKS:
+        out = F.regexp_replace(out, pattern, mark)
+    return F.trim(out)
+
+
+def known_pattern() -> str:
+    """Any known sentence in marked text, the longest first."""
 
+    def one(ident, sentence):
+        for stop in STOPS.get(ident, ()):
+            sentence = sentence.replace(f"{stop} ", f"{stop}_")
+        return sentence.replace(" ", "[ L]").replace("_", "[ LS]")
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(ascii_lower(sentence), r"[^a-z0-9\x{80}-\x{10ffff}]+", " "))
+    ordered = sorted(SENTENCES.items(), key=lambda kv: -len(kv[1]))
+    return "(?<![^HSL])(?:" + "|".join(one(k, s) for k, s in ordered) + ")(?![^HSL])"
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     known = F.array(*[F.lit(s) for s in SENTENCES.values()])
     ident = F.array(*[F.lit(k) for k in SENTENCES])
-    at = F.transform(F.split(text, BREAK), lambda s: F.array_position(known, normalised(s)).cast("int"))
-    ids = F.transform(F.filter(at, lambda p: p > 0), lambda p: F.element_at(ident, p))
+    found = F.regexp_extract_all(marked(text), F.lit(known_pattern()), F.lit(0))
+    ids = F.transform(found, lambda s: F.element_at(ident, F.array_position(known, F.translate(s, "LS", "  ")).cast("int")))
     return F.when(ascii_lower(text).rlike(TRIGGER), ids).otherwise(F.array().cast("array<string>"))
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -112,3 +113,113 @@ def test_edges(spark):
     got = rows_of(L.scan_licences(docs))
     assert len(got) == docs.count() and all(r["licences"] == [] and r["size"] == "kept" for r in got)
     assert L.scan_licences(docs.limit(0)).count() == 0
+
+
+# The notices as their licences publish them.
+PUBLISHED = {
+    "MIT": """Copyright (c) 2020 A. Writer
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+}
+WHOLE = {
+    "MIT": ["mit_grant", "mit_notice", "mit_warranty", "mit_liability"], "BSD-3-Clause": ["bsd_redistribution", "bsd_source", "bsd_binary", "bsd_endorse"],
+    "Apache-2.0": ["apache_the_license", "apache_comply", "apache_obtain", "apache_as_is", "apache_see"], "GPL-3.0-or-later": ["gpl3_free", "gpl_hope", "gpl_details", "gpl_received"],
+    "GPL-2.0-or-later": ["gpl2_free", "gpl_hope", "gpl_details"], "MPL-2.0": ["mpl2_form", "mpl2_copy"], "ISC": ["isc_grant"], "Unlicense": ["unlicense_domain"],
+}
+
+
+def rewrapped(text, width):
+    """Each paragraph filled anew: lines begin at other words, capitals as well."""
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in text.split("\n\n"))
+
+
+def test_published_notices(spark):
+    """Unmodified, indented, in comments, with other line ends and rewrapped: every sentence and the licence are found."""
+    lines = lambda before, text, end="\n": end.join((before + line).rstrip(" ") for line in text.split("\n"))
+    ways = [
+        lambda x: x, lambda x: lines("    ", x), lambda x: lines("# ", x), lambda x: "/*\n" + lines(" * ", x) + "\n */", lambda x: lines("// ", x), lambda x: lines(";; ", x), lambda x: lines("dnl ", x),
+        lambda x: lines("REM ", x), lambda x: lines("", x, "\r\n"), lambda x: lines("# ", x, "\r\n"), lambda x: x.replace("1.", "*").replace("\n2. ", "\n* ").replace("\n3. ", "\n* "),
+        lambda x: x.replace("\n1. ", "\n(a) ").replace("\n2. ", "\nb) ").replace("\n3. ", "\n3) "), *[lambda x, w=w: rewrapped(x, w) for w in (40, 50, 60, 90, 10_000)], lambda x: lines(" * ", rewrapped(x, 30)),
+    ]
+    rows = [(name, n, f"def f():\n    pass\n\n{way(text)}\n\nThe end") for name, text in PUBLISHED.items() for n, way in enumerate(ways)]
+    for r in rows_of(L.scan_licences(spark.createDataFrame(rows, "name string, way int, text string"))):
+        assert (r["licences"], r["sentence_ids"]) == ([r["name"]], WHOLE[r["name"]]), (r["name"], r["way"], r["text"])
+
+
+def test_sentences_do_not_join_over_empty_lines_or_foreign_stops(spark):
+    texts = ["Released under the\n\nMIT License", "Released under. The MIT License", "not released under the MIT License", "released under the MIT License of old"]
+    for r in rows_of(L.scan_licences(spark.createDataFrame([(t,) for t in texts], "text string"))):
+        assert r["licences"] == [], r["text"]
+
+
+def test_long_runs_without_words(spark):
+    text = "-" * 200_000 + "\n" * 200_000 + ". " * 100_000 + "Released under the MIT License" + " \n" * 100_000
+    assert rows_of(L.scan_licences(spark.createDataFrame([(text,)], "text string")))[0]["licences"] == ["MIT"]

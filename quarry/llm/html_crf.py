@@ -9,7 +9,8 @@ blocks carry their label, over many layouts, in a bounded number.
 
 Scripts, styles, comments and other parts that are never shown hold no block.
 Null or empty html gives the empty text; broken markup is read as far as it
-goes; text outside any tag is a block. Repeated rows get equal results.
+goes; text outside any tag is a block. A head ends at </head>, or at the first tag or
+text that cannot stand in one. Repeated rows get equal results.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 HIDDEN = frozenset("script style noscript template svg canvas iframe object head title select option textarea button math audio video map".split())
 RAW = frozenset("script style textarea title noscript iframe template svg".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template html".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -98,6 +100,8 @@ def blocks_of(page: str | None) -> list[Block]:
 
     def add(s):
         nonlocal linked
+        if hidden and stack[-1].tag == "head" and s.strip():
+            end_head()
         if s and not hidden:
             s = html_lib.unescape(s)
             text.append(s)
@@ -111,6 +115,11 @@ def blocks_of(page: str | None) -> list[Block]:
             is_open[e.tag] -= 1
         del stack[i:]
 
+    def end_head():
+        """Markup may leave </head> out: what cannot stand in a head ends it."""
+        if is_open["head"]:
+            pop_to(next(i for i, e in enumerate(stack) if e.tag == "head"))
+
     while at < n:
         m = TOKEN.search(page, at)
         if not m:
@@ -121,6 +130,8 @@ def blocks_of(page: str | None) -> list[Block]:
         if m[2] is None:  # comment, doctype
             continue
         tag, attrs = m[2].lower(), m[3]
+        if tag not in IN_HEAD and tag != "head" and (not m[1] or tag in ("body", "br")):
+            end_head()
         if m[1]:
             i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag) if is_open[tag] else None
             if tag in BLOCKS:

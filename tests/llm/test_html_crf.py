@@ -87,3 +87,17 @@ def test_edges(spark):
     assert [r["text"] for r in got if r["page_id"] in (1, 2)] == ["", ""]
     assert len({r["text"] for r in got if r["page_id"] == 3}) == 1
     assert X.extract(df.limit(0)).count() == 0
+
+
+def test_head_that_is_not_closed():
+    """HTML lets </head> be left out: the same blocks as with it."""
+    head, body = "<html><head><meta charset=utf-8><title>t</title><style>x{}</style><link rel=x>", "<p>one</p><div class=a>two<br>three</div>"
+    want = ["one", "two three"]
+    for page in (head + "<body>" + body, head + body, head + "\n\n  <body>" + body + "</body></html>", head + "<noframes>no</noframes><body>" + body, "<head><head><title>t</title>" + body, head + "</head><head>" + body):
+        assert [b.text for b in X.blocks_of(page)] == want, page
+    assert [(b.text, set(b.tags)) for b in X.blocks_of("<html><head><title>t</title><body><p>text")] == [("text", {"html", "body", "p"})]
+    for page in (head + "text", head + "<b>text", head + "<img src=x>text", head + "<br>text", head + "</body>text", head + "<my-box>text"):
+        assert [b.text for b in X.blocks_of(page)] == ["text"], page
+    assert X.blocks_of(head) == X.blocks_of(head + "</head><body>") == []
+    open_head = PAGE.replace("</head>", "")
+    assert X.main_text(open_head, X.default_chain()) == X.main_text(open_head.replace("<body>", ""), X.default_chain()) == X.main_text(PAGE, X.default_chain()) != ""

@@ -101,7 +101,7 @@ RULES = [
     ("CC-BY-NC-4.0", ["cc_by_nc_work"]),
     ("CC0-1.0", ["cc0_work"]),
 ]
-TRIGGER = r"licen[sc]e|copyright|permission|warrant|redistribut|public domain|rights reserved|mozilla"
+TRIGGER = r"licen[sc]e|copyright|permission|warrant|redistribut|public[^a-z]+(?:(?:dnl|rem)[^a-z]+)?domain|rights[^a-z]+(?:(?:dnl|rem)[^a-z]+)?reserved|mozilla"
 # End marks inside a known sentence: the words of the published notice that they follow.
 STOPS = {
     "gpl3_free": ("program is free software", "free software foundation"),
@@ -171,17 +171,40 @@ def _matches(ids: Column, rule: list[str]) -> Column:
     return F.aggregate(ids, F.lit(0), step, lambda at: at == done)
 
 
+def _starts(ids: Column, rule: list[str]) -> Column:
+    """The opening sentences a rule matches from, each as its number among the openings.
+
+    Where the rule opens again before it is done, the later opening counts. The
+    state holds, for each part of the rule, the last opening it has been reached from."""
+    done = len(rule)
+    openings = sorted({r[0] for _, r in RULES} - set(rule))
+    none = F.lit(None).cast("int")
+    start = F.struct(F.lit(0).alias("n"), *[none.alias(f"s{k}") for k in range(done)], F.array().cast("array<int>").alias("hits"))
+
+    def step(at, x):
+        n = at["n"] + (x == rule[0]).cast("int")
+        parts = [F.when(x.isin(openings), none).when(x == rule[k], at[f"s{k - 1}"] if k else n).otherwise(at[f"s{k}"]) for k in range(done)]
+        new = parts[-1]
+        hits = F.when(new.isNotNull() & ~new.eqNullSafe(F.get(at["hits"], F.size(at["hits"]) - 1)), F.array_append(at["hits"], new)).otherwise(at["hits"])
+        return F.struct(n.alias("n"), *[p.alias(f"s{k}") for k, p in enumerate(parts)], hits.alias("hits"))
+
+    return F.aggregate(ids, start, step, lambda at: at["hits"])
+
+
 def licences(ids: Column) -> Column:
     """Sorted distinct licences whose rules match an identifier sequence."""
 
     def found(s):
-        hits, longer = [], {}
+        hits = []
         for name, rule in RULES:
-            hit = _matches(s, rule)
-            above = [h for first, h in longer.get(rule[0], []) if first[: len(rule)] == rule]
-            # a shorter rule stands only where no longer rule begins with it
-            own = hit & ~F.greatest(*above, F.lit(False)) if above else hit
-            longer.setdefault(rule[0], []).append((rule, hit))
+            own = _matches(s, rule)
+            # a shorter rule stands only at an opening from which no longer rule of another licence matches
+            above = [r for other, r in RULES if other != name and len(r) > len(rule) and r[: len(rule)] == rule]
+            if above:
+                left = _starts(s, rule)
+                for r in above:
+                    left = F.array_except(left, _starts(s, r))
+                own = own & (F.size(left) > 0)
             hits.append(F.when(own, F.lit(name)))
         return F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))
 

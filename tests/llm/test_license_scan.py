@@ -207,7 +207,7 @@ def test_published_notices(spark):
     ways = [
         lambda x: x, lambda x: lines("    ", x), lambda x: lines("# ", x), lambda x: "/*\n" + lines(" * ", x) + "\n */", lambda x: lines("// ", x), lambda x: lines(";; ", x), lambda x: lines("dnl ", x),
         lambda x: lines("REM ", x), lambda x: lines("", x, "\r\n"), lambda x: lines("# ", x, "\r\n"), lambda x: x.replace("1.", "*").replace("\n2. ", "\n* ").replace("\n3. ", "\n* "),
-        lambda x: x.replace("\n1. ", "\n(a) ").replace("\n2. ", "\nb) ").replace("\n3. ", "\n3) "), *[lambda x, w=w: rewrapped(x, w) for w in (40, 50, 60, 90, 10_000)], lambda x: lines(" * ", rewrapped(x, 30)),
+        lambda x: x.replace("\n1. ", "\n(a) ").replace("\n2. ", "\nb) ").replace("\n3. ", "\n3) "), *[lambda x, w=w: rewrapped(x, w) for w in (20, 33, 40, 50, 60, 67, 90, 10_000)], lambda x: lines(" * ", rewrapped(x, 30)),
     ]
     rows = [(name, n, f"def f():\n    pass\n\n{way(text)}\n\nThe end") for name, text in PUBLISHED.items() for n, way in enumerate(ways)]
     for r in rows_of(L.scan_licences(spark.createDataFrame(rows, "name string, way int, text string"))):
@@ -223,3 +223,18 @@ def test_sentences_do_not_join_over_empty_lines_or_foreign_stops(spark):
 def test_long_runs_without_words(spark):
     text = "-" * 200_000 + "\n" * 200_000 + ". " * 100_000 + "Released under the MIT License" + " \n" * 100_000
     assert rows_of(L.scan_licences(spark.createDataFrame([(text,)], "text string")))[0]["licences"] == ["MIT"]
+
+
+def test_shorter_rule_is_dropped_at_its_own_opening_only(spark):
+    three, two = WHOLE["BSD-3-Clause"], WHOLE["BSD-3-Clause"][:3]
+    both, no = ["BSD-2-Clause", "BSD-3-Clause"], ["BSD-3-Clause"]
+    rows = [(three + two, both), (two + three, both), (three + ["isc_grant"] + two, sorted([*both, "ISC"])), (three, no), (two, ["BSD-2-Clause"]), (three + three, no), (three * 3 + two[:2], no), (two + two + three, both), (two + ["bsd_redistribution", "bsd_endorse"], no)]
+    df = spark.createDataFrame([(n, ids) for n, (ids, _) in enumerate(rows)], "n int, ids array<string>")
+    got = {r["n"]: r["l"] for r in rows_of(df.select("n", L.licences(F.col("ids")).alias("l")))}
+    assert got == {n: want for n, (_, want) in enumerate(rows)}
+
+
+def test_trigger_reads_over_line_ends(spark):
+    texts = ["All rights\nreserved", "All rights\r\n * reserved.", "This is free and unencumbered software released into the public\n# domain.", "ALL RIGHTS\nREM RESERVED"]
+    got = [r["sentence_ids"] for r in rows_of(L.scan_licences(spark.createDataFrame([(t,) for t in texts], "text string")))]
+    assert got == [["all_rights"], ["all_rights"], ["unlicense_domain"], ["all_rights"]]

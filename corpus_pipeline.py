@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over whole documents, each written and read again.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last
-return the columns of ``documents``; the last adds each row's shard.
+return the columns of ``documents``; the last adds each row's shard and slot.
 
 Language ID lets documents go whose language cannot be told (no letters, or a
 posterior below one half). Near duplicates keep one document per component.
@@ -34,7 +34,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(docs)
+    return sharding.with_shards(docs)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("source_mix", source_mix), ("shards", shards)]

@@ -149,8 +149,24 @@ def assign(rows: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     return slots.drop("_bucket")
 
 
+def with_shards(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    """All rows and columns of ``docs`` with shard and slot added; equal texts are linked.
+
+    Columns of these two names are replaced. Ids and even whole rows may repeat,
+    so every row gets a key in a written copy; keys and text digests are placed,
+    and the places are joined to the rows once, by the key."""
+    keyed = docs.drop("shard", "slot")
+    names = keyed.columns
+    keyed = stored(keyed.withColumn("_rowkey", F.monotonically_increasing_id()), "shardtexts")
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    places = assign(keyed.select("doc_id", digest.alias("g"), "_rowkey"), n_shards, rounds).select("_rowkey", "shard", F.col("slot").cast("bigint").alias("slot"))
+    return keyed.join(places, "_rowkey").select(*names, "shard", "slot")
+
+
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row; equal texts are linked."""
+    """The digest table of op7: doc_id, size, text_crc32, law, shard, slot, grown_shard for every row.
+
+    It is placed as ``with_shards`` places the rows themselves, and needs no texts again."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("g"))
     out = assign(rows, n_shards, rounds)

@@ -59,3 +59,10 @@ def test_stages_keep_columns_and_edges(spark):
         cur = P.stored(out, "test")
     assert P.STAGES[-1][1](spark, docs.limit(0), bench_dir).count() == 0
     assert [n for n, _ in P.STAGES] == ["language", "near_duplicates", "decontamination", "source_mix", "shards"]
+
+
+def test_last_stage_hands_on_the_documents(spark):
+    docs = documents(spark, clash=False).unionByName(documents(spark, clash=False))
+    out = P.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001")
+    assert out.columns == [*docs.columns, "shard", "slot"]
+    assert Counter(tuple(r[c] for c in docs.columns) for r in rows_of(out)) == Counter(tuple(r.values()) for r in rows_of(docs))

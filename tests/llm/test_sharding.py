@@ -89,3 +89,18 @@ def test_any_number_of_rank_buckets(spark, monkeypatch):
         check(out, len(rows))
         where = Counter(r["shard"] for r in out if r["doc_id"] < 1000)
         assert len(where) <= 4  # 300 of 803 rows: three shards of 100 at least
+
+
+def test_rows_come_back_whole(spark):
+    """Every column of every row, where ids and whole rows repeat as after the mix."""
+    rows = [(i // 3, f"text {i // 6}", "en", f"s{i % 2}") for i in range(400)] + [(7, "same", "en", "a")] * 60 + [(None, None, None, None)] * 9
+    docs = documents(spark, rows, clash=False)
+    out = S.with_shards(docs)
+    assert out.columns == [*docs.columns, "shard", "slot"]
+    got = rows_of(out)
+    check(got, len(rows))
+    assert Counter(tuple(r[c] for c in docs.columns) for r in got) == Counter(rows)
+    clash = documents(spark)
+    back = S.with_shards(clash)
+    assert set(back.columns) == set(clash.columns) and back.count() == clash.count() and S.with_shards(clash.limit(0)).count() == 0
+    assert all(r["g"] == r["size"] == "kept" for r in rows_of(back))

@@ -25,6 +25,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -237,32 +238,61 @@ def links(fps: DataFrame, k: int = MAX_BITS, rows_at_once: int = 1 << 18) -> Dat
     return dealt.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(walk, "a bigint, b bigint")
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, k: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id): one row per document row."""
+def _rooted(docs: DataFrame, shingle: int, k: int) -> DataFrame:
+    """(doc_id, fp, component_id, root): one row per document row; root is a fingerprint and tells components without any id apart."""
     each = stored(fingerprints(docs, shingle), "fp").withColumn("_salt", salt_of("doc_id", buckets=SALTS))
     parts = stored(each.groupBy("fp", "_salt").agg(F.min("doc_id").alias("first_id")), "fpparts")
     nodes = stored(parts.groupBy("fp").agg(F.min("first_id").alias("first_id")), "fpnodes")
     roots = connected_components(links(nodes, k))
     ids = nodes.join(roots, nodes["fp"] == roots["node"]).groupBy("root").agg(F.min("first_id").alias("component_id"))
     # only fingerprints with a near partner need the join to their component
-    linked = roots.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
-    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    linked = roots.join(ids, "root").select(F.col("node").alias("fp"), "component_id", "root")
+    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("root"))
     # names reach the rows per (fingerprint, salt): a text that a third of all rows share is many join keys
-    return each.join(parts.select("fp", "_salt").join(named, "fp"), ["fp", "_salt"]).select("doc_id", "fp", "component_id")
+    return each.join(parts.select("fp", "_salt").join(named, "fp"), ["fp", "_salt"]).select("doc_id", "fp", "component_id", "root")
+
+
+def components(docs: DataFrame, shingle: int = SHINGLE, k: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fp, component_id): one row per document row."""
+    return _rooted(docs, shingle, k).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, k: int = MAX_BITS, broadcast_ids: int = 2_000_000) -> DataFrame:
     """One document of each group, the one whose id names the component, with all columns.
 
     Equal rows of that id are copies: one stays. Rows of one id with different
-    texts are one document: they stay or go together. A document without an id
-    stays only where its group has no other."""
-    groups = components(docs, shingle, k)
-    per_id = stored(groups.groupBy("doc_id").agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"), F.count("*").alias("n")), "fpkeep")
-    gone, again = per_id.agg(F.count_if(~F.col("stays")), F.count_if(F.col("n") > 1)).first()
-    drop = per_id.where(~F.col("stays")).select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(F.broadcast(drop) if gone <= broadcast_ids else drop, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
-    return kept.dropDuplicates() if again else kept
+    texts stay in the group that the id names, and go from any other. A group
+    without an id keeps one row, the one with the smallest text hash."""
+    groups = _rooted(docs, shingle, k)
+    names = F.col("doc_id") == F.col("component_id")
+    per_id = stored(groups.where("doc_id is not null").groupBy("doc_id").agg(F.bool_and(names).alias("all_stay"), F.bool_or(names).alias("some_stay"), F.count("*").alias("n")), "fpkeep")
+    part = F.col("some_stay") & ~F.col("all_stay")
+    gone, parted, again = per_id.agg(F.count_if(~F.col("all_stay")), F.count_if(part), F.count_if(F.col("n") > 1)).first()
+    small = lambda ids, n: F.broadcast(ids) if n <= broadcast_ids else ids
+    drop = per_id.where(~F.col("all_stay")).select(F.col("doc_id").alias("_gone"))
+    named = docs.where("doc_id is not null")
+    kept = named.join(small(drop, gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+
+    @F.pandas_udf("bigint")
+    def printed(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: fingerprint(t, shingle))
+
+    fp = printed(F.coalesce(F.col("text"), F.lit("")))
+    if parted:  # ids that also occur in a group they do not name: row by row, by fingerprint
+        ids = per_id.where(part).select(F.col("doc_id").alias("_parted"))
+        stay = groups.where(names).select(F.col("doc_id").alias("_own"), F.col("fp").alias("_ownfp")).distinct()
+        rows = named.join(small(ids, parted), F.col("doc_id") == F.col("_parted"), "left_semi").dropDuplicates().withColumn("_fp", fp)
+        kept = kept.unionByName(rows.join(stay, (F.col("doc_id") == F.col("_own")) & (F.col("_fp") == F.col("_ownfp")), "left_semi").drop("_fp"))
+    kept = kept.dropDuplicates() if again else kept
+    lone = stored(groups.where("doc_id is null and component_id is null").select(F.col("fp").alias("_lonefp"), F.col("root").alias("_root")).distinct(), "fplone")
+    if lone.take(1):  # groups without an id: the smallest row of each fingerprint, then of each group
+        row = F.struct(*docs.columns)
+        rank = F.struct(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256), F.sha2(F.to_json(row), 256))
+        least = docs.where("doc_id is null").select(fp.alias("_fp"), row.alias("_row"), rank.alias("_rank"))
+        least = least.groupBy("_fp").agg(F.min("_rank").alias("_rank"), F.min_by("_row", "_rank").alias("_row"))
+        least = least.join(lone, F.col("_fp") == F.col("_lonefp")).groupBy("_root").agg(F.min_by("_row", "_rank").alias("_row"))
+        kept = kept.unionByName(least.select("_row.*"))
+    return kept
 
 
 @query("op6_simhash")

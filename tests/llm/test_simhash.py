@@ -146,3 +146,15 @@ def test_connected_components(spark):
         root[max(x, y)] = min(x, y)
     got = {x["node"]: x["root"] for x in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {v: find(v) for a, b in edges for v in (a, b) if a != b}
+
+
+def test_keep_one_decides_per_row_and_group(spark):
+    """Rows without an id and ids that repeat: one document of each group stays, and none of a group that another id names."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [
+        (1, a, "en", "s"), (None, a, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (6, b, "en", "s"),  # 5 names b's group and is foreign in a's
+        (None, c, "en", "s"), (None, c, "en", "s"), (None, c, "en", "t"), (None, d, "en", "s"), (None, d, "en", "s"), (9, "x y z", "en", "s"), (9, "x y z", "en", "s"),
+    ]
+    for limit in (2_000_000, 0):
+        got = [tuple(r.values())[:3] for r in rows_of(H.keep_one(documents(spark, rows, clash=False), broadcast_ids=limit))]
+        assert sorted(got, key=str) == sorted([(1, a, "en"), (5, b, "en"), (None, c, "en"), (None, d, "en"), (9, "x y z", "en")], key=str)

@@ -2,15 +2,16 @@
 
 A leaf is the SHA-256 of a row's five columns; the leaves of a source, in order
 of their ids, form a tree of runs of ``FAN`` nodes, and the sources' subroots
-form one tree above them. Each built level is stored as parent-linked rows, one
-per run: its children's digests, and the run and slot its own digest goes to.
+form one tree above them. The built levels are stored as parent-linked rows, two
+levels in each: up to nine digests, the up to three of the level between (none
+where one level is left), and the row and slot that the row's own digest goes to.
 
 The climb is one recursive query: a climber per leaf starts with its (perhaps
-tampered) digest; every step joins the run it stands in, gives out the siblings
-there, and folds its digest with them into the parent's. The siblings of a
-step leave with that step's row and are put together once at the end, so a
+tampered) digest; every step joins the row it stands in, appends the siblings of
+both levels there, and folds its digest with them into the row's. The siblings of
+a step leave with that step's row and are put together once at the end, so a
 climber stays small however high the tree. All leaves of a source pass the same
-few upper runs; those are stored once per ``CHUNK`` leaves below them and joined
+few upper rows; those are stored once per ``CHUNK`` leaves below them and joined
 by chunk too, so no key has more than ``CHUNK`` climbers.
 
 Null values are leaves of their own kind (``-``); null ids come first; rows of
@@ -29,11 +30,12 @@ from quarry.llm.common import read, stored
 from quarry.llm.registry import query
 
 FAN = 3
-CHUNK_LEVELS = 9
-CHUNK = FAN**CHUNK_LEVELS  # climbers per join key
+SPAN = FAN * FAN  # two levels in each step
+CHUNK_STEPS = 4
+CHUNK = SPAN**CHUNK_STEPS  # climbers per join key
 ROWS_PER_RANGE = 500_000
-LEVEL = 1 << 48  # a run's number in its tree: level x 2^48 + position
-TOP = -1  # the tree over the sources; a source's tree is the rank of its first leaf
+# A place: (step, 64 more in the tree over the sources) x 2^52 + row x 16 + slot, so places ascend on the way up.
+STEP_BITS, SLOT_BITS, ABOVE = 52, 4, 64
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -75,44 +77,65 @@ def numbered(df: DataFrame, order: list[Column], rows: int, name: str, out: str)
     return placed.join(F.broadcast(offsets), "range_").withColumn(out, F.col("before_") + F.col("place_").bitwiseAND((1 << 33) - 1)).drop("range_", "place_", "before_")
 
 
+def _joined(digests: Column) -> Column:
+    """Digests as one binary."""
+    return F.unhex(F.array_join(F.transform(digests, F.hex), ""))
+
+
+def _run_digest(digests: Column) -> Column:
+    return _digest(_hex(_joined(digests)))
+
+
 def levels(nodes: DataFrame, most: int, name: str) -> list[DataFrame]:
-    """Runs of each level from (tree, n, pos, digest), n being the nodes of the tree: (tree, n, pos, children, digest), n counting runs."""
+    """Two levels at a time from (tree, n, pos, digest), n being the nodes of the tree:
+    (tree, n, pos, kids, mids, digest), n counting what is left."""
     out = []
     while most > 1:
-        runs = nodes.where(F.col("n") > 1).groupBy("tree", F.ceil(F.col("n") / FAN).cast("bigint").alias("n"), F.floor(F.col("pos") / FAN).cast("bigint").alias("up")).agg(F.array_sort(F.collect_list(F.struct("pos", "digest"))).alias("c"))
-        runs = runs.select("tree", "n", F.col("up").alias("pos"), F.transform("c", lambda x: x["digest"]).alias("children"))
-        runs = runs.withColumn("digest", _digest(F.array_join(F.transform("children", _hex), "")))
-        nodes = stored(runs, f"{name}-{len(out) + 1}")
+        n = F.col("n")
+        rows = nodes.where(n > 1).groupBy("tree", "n", F.floor(F.col("pos") / SPAN).cast("bigint").alias("up")).agg(F.array_sort(F.collect_list(F.struct("pos", "digest"))).alias("c"))
+        kids = F.transform("c", lambda x: x["digest"])
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size("c") - 1) / FAN).cast("int")), lambda i: _run_digest(F.slice("k", i * FAN + 1, F.lit(FAN))))
+        rows = rows.withColumn("k", kids).withColumn("m", F.when(n > FAN, runs))
+        digest = F.when(n > FAN, _run_digest(F.col("m"))).otherwise(_run_digest(F.col("k")))
+        rows = rows.select("tree", F.ceil(n / SPAN).cast("bigint").alias("n"), F.col("up").alias("pos"), _joined(F.col("k")).alias("kids"), _joined(F.col("m")).alias("mids"), digest.alias("digest"))
+        nodes = stored(rows, f"{name}-{len(out) + 1}")
         out.append(nodes)
-        most = -(-most // FAN)
+        most = -(-most // SPAN)
     return out
 
 
-def _run(level, pos: Column) -> Column:
-    return F.lit(level).cast("bigint") * LEVEL + F.floor(pos / FAN).cast("bigint")
+def _place(step: int, pos: Column) -> Column:
+    """The place in its row of the node ``pos`` that enters ``step``."""
+    row, slot = F.floor(pos / SPAN).cast("bigint"), F.pmod(pos, F.lit(SPAN))
+    return F.lit(step << STEP_BITS).cast("bigint") + F.shiftleft(row, SLOT_BITS) + slot
 
 
-def _in_chunks(runs: DataFrame, level: int) -> DataFrame:
-    """A source's runs of one level, once per chunk of leaves below them (``leaves``: those of the tree)."""
-    if level <= CHUNK_LEVELS:
-        return runs.withColumn("chunk", F.floor(F.col("pos") / FAN ** (CHUNK_LEVELS - level)).cast("bigint"))
-    span = FAN ** (level - CHUNK_LEVELS)
+def _row(step: int, pos: Column) -> Column:
+    """The number by which climbers find the row ``pos`` of ``step``."""
+    return F.lit(step << (STEP_BITS - SLOT_BITS)).cast("bigint") + pos
+
+
+def _in_chunks(rows: DataFrame, step: int) -> DataFrame:
+    """A source's rows of one step, once per chunk of leaves below them (``leaves``: those of the tree)."""
+    if step <= CHUNK_STEPS:
+        return rows.withColumn("chunk", F.floor(F.col("pos") / SPAN ** (CHUNK_STEPS - step)).cast("bigint"))
+    span = SPAN ** (step - CHUNK_STEPS)
     last = F.floor((F.col("leaves") - 1) / CHUNK).cast("bigint")
-    return runs.withColumn("chunk", F.explode(F.sequence(F.col("pos") * span, F.least((F.col("pos") + 1) * span - 1, last))))
+    return rows.withColumn("chunk", F.explode(F.sequence(F.col("pos") * span, F.least((F.col("pos") + 1) * span - 1, last))))
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None, broadcast_sources: int = 100_000) -> DataFrame:
     """(doc_id, tree, pos, leaf, subroot, root, siblings, folded): digests as binary,
-    siblings level by level from the leaf's run upwards, folded being the root
-    recomputed from the leaf of the ``tampered`` text and the stored siblings."""
+    siblings level by level from the leaf's run upwards, joined into one binary,
+    folded being the root recomputed from the leaf of the ``tampered`` text and the
+    stored siblings; tree is the rank of the source's first leaf, pos the leaf's place in it."""
     spark = docs.sparkSession
     own, other = leaf_digest(F.col("text")), leaf_digest(F.col("text") if tampered is None else tampered)
     changed = F.lit(None).cast("binary") if tampered is None else F.when(~tampered.eqNullSafe(F.col("text")), other)
     leaves = docs.select("doc_id", "source", own.alias("leaf"), changed.alias("forged"))
     order = [F.col("source").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("leaf").asc()]
     ranked = numbered(leaves, order, docs.count(), "merkle-leaves", "rank")
-    sources = ranked.groupBy("source").agg(F.min("rank").alias("tree"), F.count("*").alias("leaves"))
-    sources = stored(sources, "merkle-sources")
+    sources = stored(ranked.groupBy("source").agg(F.min("rank").alias("tree"), F.count("*").alias("leaves")), "merkle-sources")
     n_sources, most = sources.agg(F.count("*"), F.coalesce(F.max("leaves"), F.lit(0))).first()
     sources = stored(numbered(sources, [F.col("tree").asc()], n_sources, "merkle-order", "place"), "merkle-trees")
     small = F.broadcast if n_sources <= broadcast_sources else lambda x: x
@@ -122,83 +145,67 @@ def manifest(docs: DataFrame, tampered: Column | None = None, broadcast_sources:
 
     below = levels(placed.select("tree", F.col("leaves").alias("n"), "pos", F.col("leaf").alias("digest")), most, "merkle-level")
     subroots = placed.where("leaves = 1").select("tree", F.col("leaf").alias("subroot"))
-    for runs in below:
-        subroots = subroots.unionByName(runs.where("n = 1").select("tree", F.col("digest").alias("subroot")))
+    for rows in below:
+        subroots = subroots.unionByName(rows.where("n = 1").select("tree", F.col("digest").alias("subroot")))
     tops = stored(sources.join(subroots, "tree"), "merkle-subroots")
-    above = levels(tops.select(F.lit(TOP).cast("bigint").alias("tree"), F.lit(n_sources).cast("bigint").alias("n"), F.col("place").alias("pos"), F.col("subroot").alias("digest")), n_sources, "merkle-top")
+    above = levels(tops.select(F.lit(-1).cast("bigint").alias("tree"), F.lit(n_sources).cast("bigint").alias("n"), F.col("place").alias("pos"), F.col("subroot").alias("digest")), n_sources, "merkle-top")
     root = (above[-1].select("digest") if above else tops.select(F.col("subroot").alias("digest"))).first()
     root = F.lit(bytes(root[0]) if root else None).cast("binary")
 
-    many = n_sources > 1
-    to_top = lambda c: F.when(F.lit(many), c)
-    first_top, first_slot = to_top(_run(1, F.col("place"))), to_top(F.pmod(F.col("place"), F.lit(FAN)).cast("int"))
-    runs = None
-    for level, each in enumerate(below, 1):
-        linked = each.join(small(sources.select("tree", "place", "leaves")), "tree")
-        rows = _in_chunks(linked, level).select(
-            "tree",
-            "chunk",
-            (F.lit(level).cast("bigint") * LEVEL + F.col("pos")).alias("at"),
-            F.lit(False).alias("top"),
-            "children",
-            F.when(F.col("n") > 1, _run(level + 1, F.col("pos"))).otherwise(first_top).alias("up"),
-            F.when(F.col("n") > 1, F.pmod(F.col("pos"), F.lit(FAN)).cast("int")).otherwise(first_slot).alias("up_slot"),
-            (F.col("n") == 1).alias("up_top"),
-        )
-        runs = rows if runs is None else runs.unionByName(rows)
-    for level, each in enumerate(above, 1):
-        span = FAN**level
+    to_top = F.when(F.lit(n_sources > 1), _place(ABOVE + 1, F.col("place")))
+    linked = None
+    for step, each in enumerate(below, 1):
+        rows = _in_chunks(each.join(small(sources.select("tree", "place", "leaves")), "tree"), step)
+        rows = rows.select("tree", "chunk", _row(step, F.col("pos")).alias("row"), "kids", "mids", F.when(F.col("n") > 1, _place(step + 1, F.col("pos"))).otherwise(to_top).alias("up"))
+        linked = rows if linked is None else linked.unionByName(rows)
+    chunks = sources.select("place", F.col("tree").alias("of"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("leaves") - 1) / CHUNK).cast("bigint"))).alias("chunk"))
+    for step, each in enumerate(above, 1):
+        span = SPAN**step
         within = each.withColumn("place", F.explode(F.sequence(F.col("pos") * span, F.least((F.col("pos") + 1) * span, F.lit(n_sources).cast("bigint")) - 1)))
-        chunks = sources.select("place", F.col("tree").alias("of"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("leaves") - 1) / CHUNK).cast("bigint"))).alias("chunk"))
-        rows = within.join(small(chunks), "place").select(
-            F.col("of").alias("tree"),
-            "chunk",
-            (F.lit(level).cast("bigint") * LEVEL + F.col("pos")).alias("at"),
-            F.lit(True).alias("top"),
-            "children",
-            F.when(F.col("n") > 1, _run(level + 1, F.col("pos"))).alias("up"),
-            F.when(F.col("n") > 1, F.pmod(F.col("pos"), F.lit(FAN)).cast("int")).alias("up_slot"),
-            F.lit(True).alias("up_top"),
-        )
-        runs = rows if runs is None else runs.unionByName(rows)
-    alone = F.col("leaves") == 1
-    start = placed.select(
-        "tree",
-        "pos",
-        F.floor(F.col("pos") / CHUNK).cast("bigint").alias("chunk"),
-        F.coalesce("forged", "leaf").alias("folded"),
-        F.when(alone, first_top).otherwise(_run(1, F.col("pos"))).alias("at"),
-        F.when(alone, first_slot).otherwise(F.pmod(F.col("pos"), F.lit(FAN)).cast("int")).alias("slot"),
-        alone.alias("top"),
-    )
-    climbed = start.select("tree", "pos", F.lit(0).alias("step"), "folded", F.lit(None).cast("binary").alias("siblings")) if runs is None else _climb(spark, start, stored(runs, "merkle-runs"))
-    paths = climbed.groupBy("tree", "pos").agg(F.max_by("folded", "step").alias("folded"), F.array_sort(F.collect_list(F.struct("step", "siblings"))).alias("steps"))
-    paths = paths.select("tree", "pos", "folded", F.flatten(F.transform("steps", lambda s: s["siblings"])).alias("siblings")) if runs is not None else paths.select("tree", "pos", "folded", F.array().cast("array<binary>").alias("siblings"))
-    named = placed.select("doc_id", "leaf", "tree", "pos").join(paths, ["tree", "pos"]).join(small(tops.select("tree", "subroot")), "tree")
-    return named.select("doc_id", "tree", "pos", "leaf", "subroot", root.alias("root"), "siblings", "folded")
-
-
-def _climb(spark, start: DataFrame, runs: DataFrame) -> DataFrame:
-    """(tree, pos, step, folded, siblings) of every step of every leaf, by one recursive query."""
+        rows = within.join(small(chunks), "place")
+        rows = rows.select(F.col("of").alias("tree"), "chunk", _row(ABOVE + step, F.col("pos")).alias("row"), "kids", "mids", F.when(F.col("n") > 1, _place(ABOVE + step + 1, F.col("pos"))).alias("up"))
+        linked = rows if linked is None else linked.unionByName(rows)
+    start = placed.select("tree", "pos", F.when(F.col("leaves") > 1, _place(1, F.col("pos"))).otherwise(to_top).alias("at"), F.coalesce("forged", "leaf").alias("folded"))
+    names = placed.select("doc_id", "leaf", "tree", "pos")
+    subroot = small(tops.select("tree", "subroot"))
+    if linked is None:  # one leaf
+        return names.join(start, ["tree", "pos"]).join(subroot, "tree").select("doc_id", "tree", "pos", "leaf", "subroot", root.alias("root"), F.lit(b"").alias("siblings"), "folded")
+    return _climb(start, stored(linked, "merkle-rows"), names, subroot).select("doc_id", "tree", "pos", "leaf", "subroot", root.alias("root"), "siblings", "folded")
+
+
+# In a row of joined digests: the one of a slot replaced, and the others of its run.
+_PUT = "concat(substring({0}, 1, 32 * ({1})), {2}, substring({0}, 32 * ({1}) + 33))"
+_OTHERS = "concat(substring({0}, 1, 32 * ({1})), substring({0}, 32 * ({1}) + 33))"
+_FOLD = "unhex(sha2(lower(hex({0})), 256))"
+
+
+def _climb(start: DataFrame, rows: DataFrame, names: DataFrame, subroot: DataFrame) -> DataFrame:
+    """Every leaf's way up by one recursive query, then its siblings in order and its folded digest, stored."""
+    spark = start.sparkSession
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit, None)
+    run = "substring(r.kids, 96 * (c.slot div 3) + 1, 96)"
+    lower = _FOLD.format(_PUT.format(run, "c.slot % 3", "c.folded"))
     spark.conf.set(limit, "-1")  # every leaf climbs: the default ends at a million rows
     try:
         steps = spark.sql(
-            """
+            f"""
             WITH RECURSIVE climb AS (
-              SELECT tree, pos, chunk, 0 AS step, folded, cast(array() AS array<binary>) AS siblings, at, slot, top FROM {start}
+              SELECT tree, pos, at, folded, cast(null AS binary) AS siblings FROM {{start}}
               UNION ALL
-              SELECT c.tree, c.pos, c.chunk, c.step + 1,
-                unhex(sha2(array_join(transform(r.children, (x, i) -> lower(hex(if(i = c.slot, c.folded, x)))), ''), 256)),
-                filter(r.children, (x, i) -> i <> c.slot), r.up, r.up_slot, r.up_top
-              FROM climb c JOIN {runs} r ON c.tree = r.tree AND c.chunk = r.chunk AND c.at = r.at AND c.top = r.top
+              SELECT c.tree, c.pos, r.up,
+                if(r.mids is null, {lower}, {_FOLD.format(_PUT.format("r.mids", "c.slot div 3", lower))}),
+                concat({_OTHERS.format(run, "c.slot % 3")}, if(r.mids is null, x'', {_OTHERS.format("r.mids", "c.slot div 3")}))
+              FROM (SELECT tree, pos, cast(pos div {CHUNK} AS bigint) AS chunk, shiftright(at, {SLOT_BITS}) AS row, cast(at & {2**SLOT_BITS - 1} AS int) AS slot, folded FROM climb WHERE at is not null) c
+              JOIN {{rows}} r ON c.tree = r.tree AND c.chunk = r.chunk AND c.row = r.row
             )
-            SELECT tree, pos, step, folded, siblings FROM climb""",
+            SELECT tree, pos, coalesce(at, {2**63 - 1}) AS at, if(at is null, folded, null) AS folded, siblings FROM climb""",
             start=start,
-            runs=runs,
+            rows=rows,
         )
-        return stored(steps, "merkle-climb")
+        paths = steps.groupBy("tree", "pos").agg(F.max("folded").alias("folded"), F.array_sort(F.collect_list(F.when(F.col("siblings").isNotNull(), F.struct("at", "siblings")))).alias("s"))
+        paths = paths.select("tree", "pos", "folded", F.unhex(F.array_join(F.transform("s", lambda x: F.hex(x["siblings"])), "")).alias("siblings"))
+        return stored(names.join(paths, ["tree", "pos"]).join(subroot, "tree"), "merkle-climb")
     finally:
         if before is None:
             spark.conf.unset(limit)
@@ -250,5 +257,5 @@ def op13_merkle_manifest(spark, d):
     """Leaf, subroot and root of every document, its proof, and the root folded from its tampered leaf."""
     docs = read(spark, d, "documents")
     m = manifest(docs, without_line_ends(F.col("doc_id"), F.col("text")))
-    proof = F.sha2(F.array_join(F.transform("siblings", _hex), ""), 256)
+    proof = F.sha2(_hex(F.col("siblings")), 256)
     return m.select("doc_id", _hex(F.col("leaf")).alias("leaf"), _hex(F.col("subroot")).alias("subroot"), _hex(F.col("root")).alias("root"), proof.alias("proof_sha256"), _hex(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))

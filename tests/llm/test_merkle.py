@@ -64,8 +64,8 @@ def forged(r):
 
 
 def result(m):
-    p = F.sha2(F.array_join(F.transform("siblings", lambda x: F.lower(F.hex(x))), ""), 256)
     h = lambda c: F.lower(F.hex(c))
+    p = F.sha2(h("siblings"), 256)
     return Counter(tuple(r) for r in m.select("doc_id", h("leaf"), h("subroot"), h("root"), p, h("folded")).collect())
 
 
@@ -87,8 +87,8 @@ def test_against_brute_force(spark, n, sources):
 
 
 def test_upper_runs_are_stored_once_per_chunk(spark, monkeypatch):
-    monkeypatch.setattr(M, "CHUNK_LEVELS", 1)
-    monkeypatch.setattr(M, "CHUNK", 3)
+    monkeypatch.setattr(M, "CHUNK_STEPS", 1)
+    monkeypatch.setattr(M, "CHUNK", 9)
     check(table(spark, 90, ["a", "a", "a", "b", "c", "d", None], 7), forged)
 
 

@@ -6,7 +6,7 @@ import importlib
 
 from quarry.llm.registry import ORACLES, QUERIES
 
-MODULES = ["decontaminate", "url_filter", "mixing", "langid_pieces", "secrets", "simhash", "sharding", "exact_dedup", "html_crf", "license_scan", "merkle", "whitening"]
+MODULES = ["decontaminate", "url_filter", "mixing", "langid_pieces", "secrets", "simhash", "sharding", "exact_dedup", "html_crf", "license_scan", "merkle", "whitening", "cross_polytope"]
 
 
 def load():

@@ -7,13 +7,18 @@ over its words. The piece probabilities are fitted by expectation-maximisation
 on a bounded sample of labelled rows; every text is scored whole.
 
 Words are runs of letters, lower-cased, with a mark in front; a letter without
-a piece of its own costs the unknown piece. Words over ``SLICE`` characters are
-cut at every ``SLICE``-th. Distinct words are settled once per task, all new
-words of a batch together in numpy, position by position.
+a piece of its own costs the unknown piece. Sums are kept as logarithms, so a
+word of any length is scored over all its segmentations. Distinct words are
+settled once per task, all new words of a batch together in numpy: a flat trie is
+walked from every position at once, then the sums go position by position. Words
+over ``LONG`` letters go in blocks that hand on the last sums, in bounded memory;
+they teach nothing.
 
 Null text and text without letters: ``und``, score 0. Rows without label or text
-teach nothing. Without any learned language all rows are ``und``. Ties go to the
-language first in code-point order. Repeated rows get equal results.
+teach nothing. Without any learned language, and in an empty table, all rows are
+``und``. Ties go to the language first in code-point order. Repeated rows get
+equal results. Other columns are left alone, whatever their names; ``_lang`` and
+``_score`` of ``identify`` and ``predict`` replace columns of these names.
 """
 
 from __future__ import annotations
@@ -35,7 +40,8 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROWS_PER_LANGUAGE = 400  # about so many labelled rows of each language are fitted
 ROUNDS = 4
 ALPHA = 0.05  # added to every piece's expected count
-SLICE = 48
+LONG = 1 << 18  # letters of a word that are held at once
+CHUNK = 1 << 18  # letters of new words that are settled together
 CACHED_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -59,65 +65,146 @@ def words_of(text: str | None) -> Counter:
     return found
 
 
+class Trie:
+    """The pieces as a flat trie: sorted (node, character) keys, walked for many strings at once."""
+
+    def __init__(self, pieces: list[str]):
+        nodes = {"": 0}
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                nodes.setdefault(p[:k], len(nodes))
+        self.longest = max(map(len, pieces), default=1)
+        self.letters = np.array(sorted({ord(c) for p in pieces for c in p} or {0}), np.uint32)
+        place = {int(c): i for i, c in enumerate(self.letters)}
+        keys = np.array([nodes[p[:-1]] * len(place) + place[ord(p[-1])] for p in nodes if p], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child = keys[order], np.array([n for p, n in nodes.items() if p], np.int32)[order]
+        self.piece = np.full(len(nodes), -1, np.int32)
+        for i, p in enumerate(pieces):
+            if p:
+                self.piece[nodes[p]] = i
+
+    def coded(self, chars: np.ndarray) -> np.ndarray:
+        """Places of characters among the pieces' own, -1 for others."""
+        at = np.minimum(np.searchsorted(self.letters, chars), len(self.letters) - 1)
+        return np.where(self.letters[at] == chars, at, -1).astype(np.int64)
+
+    def edges(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, piece) of every piece in the characters; ``left``: those up to the
+        word's end. A character that is no piece itself is the unknown one, number 0."""
+        at, node = np.arange(len(codes), dtype=np.int64), np.zeros(len(codes), np.int64)
+        out = []
+        for k in range(self.longest):
+            more = left[at] > k
+            at, node = at[more], node[more]
+            c = codes[at + k]
+            key = node * len(self.letters) + c
+            slot = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+            found = (self.keys[slot] == key) & (c >= 0) if len(self.keys) else np.zeros(len(at), bool)
+            if not k:
+                alone = found.copy()
+                alone[found] = self.piece[self.child[slot[found]]] >= 0
+                unknown = at[~alone]
+                out.append((unknown, np.ones(len(unknown), np.int64), np.zeros(len(unknown), np.int32)))
+            at, node = at[found], self.child[slot[found]].astype(np.int64)
+            p = self.piece[node]
+            whole = p >= 0
+            out.append((at[whole], np.full(int(whole.sum()), k + 1, np.int64), p[whole]))
+            if not len(at):
+                break
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _log_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """log of the sum of exponentials of each run of rows that begins at ``first``."""
+    top = np.maximum.reduceat(values, first, axis=0)
+    runs = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(values))))
+    return top + np.log(np.add.reduceat(np.exp(values - top[runs]), first, axis=0))
+
+
 class Lattice:
-    """All segmentations of a list of words: edges grouped by the position they end at."""
-
-    def __init__(self, words: list[str], ids: dict[str, int], longest: int):
-        by_end: dict[int, tuple[list, list, list]] = {}
-        self.owner, units = [], []
-        for i, w in enumerate(words):
-            marked = MARK + w
-            for a in range(0, len(marked), SLICE):
-                self.owner.append(i)
-                units.append(marked[a : a + SLICE])
-        for u, s in enumerate(units):
-            for j in range(1, len(s) + 1):
-                us, starts, ps = by_end.setdefault(j, ([], [], []))
-                for i in range(max(0, j - longest), j):
-                    p = ids.get(s[i:j])
-                    if p is None and i == j - 1:
-                        p = 0
-                    if p is not None:
-                        us.append(u)
-                        starts.append(i)
-                        ps.append(p)
-        self.n, self.words = len(units), len(words)
-        self.length = np.array([len(s) for s in units], np.int64)
-        self.owner = np.array(self.owner, np.int64)
-        self.edges = [(j, *(np.array(x, np.int64) for x in by_end[j])) for j in sorted(by_end)]
-
-    def forward(self, prob: np.ndarray) -> np.ndarray:
-        """alpha[unit, position, language]."""
-        top = int(self.length.max()) if self.n else 0
-        alpha = np.zeros((self.n, top + 1, prob.shape[1]))
-        alpha[:, 0] = 1.0
-        for j, u, i, p in self.edges:
-            flow = alpha[u, i] * prob[p]
-            for k in range(prob.shape[1]):
-                alpha[:, j, k] = np.bincount(u, flow[:, k], self.n)
+    """All segmentations of a list of words. Positions of all words lie in one line; edges are grouped by the position in their word."""
+
+    def __init__(self, words: list[str], trie: Trie):
+        marked = [MARK + w for w in words]
+        length = np.array([len(w) for w in marked], np.int64)
+        chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.base = np.concatenate(([0], np.cumsum(length + 1)))[:-1]  # a word has a position more than letters
+        self.end = self.base + length
+        self.size = int(length.sum() + len(words))
+        word = np.repeat(np.arange(len(words)), length)
+        place = np.arange(len(chars)) - np.repeat(np.cumsum(length) - length, length)
+        start, size, self.p = trie.edges(trie.coded(chars), length[word] - place)
+        self.start = self.base[word[start]] + place[start]
+        self.stop, self.into, self.out = self.start + size, place[start] + size, place[start]
+
+    def _runs(self, by: np.ndarray, node: np.ndarray):
+        """(edges, first of each node's run, nodes) for each value of ``by``, ascending."""
+        order = np.lexsort((node, by))
+        steps = np.flatnonzero(np.diff(by[order], prepend=-1))
+        for a, b in zip(steps, np.append(steps[1:], len(order))):
+            rows = order[a:b]
+            first = np.flatnonzero(np.diff(node[rows], prepend=-1))
+            yield rows, first, node[rows[first]]
+
+    def forward(self, logp: np.ndarray, seeds: np.ndarray | None = None) -> np.ndarray:
+        """Log of the sum over all ways to each position, a column per language. ``seeds`` are
+        the sums at the first positions of a single word that goes on from an earlier block."""
+        alpha = np.full((self.size, logp.shape[1]), -np.inf)
+        alpha[self.base] = 0.0
+        known = 0
+        if seeds is not None:
+            known = len(seeds) - 1
+            alpha[: len(seeds)] = seeds
+        for rows, first, nodes in self._runs(self.into, self.stop):
+            if self.into[rows[0]] > known:
+                alpha[nodes] = _log_sums(alpha[self.start[rows]] + logp[self.p[rows]], first)
         return alpha
 
-    def log_likelihood(self, prob: np.ndarray) -> np.ndarray:
+    def log_likelihood(self, logp: np.ndarray) -> np.ndarray:
         """One row per word, one column per language."""
-        alpha = self.forward(prob)
-        ll = np.log(np.maximum(alpha[np.arange(self.n), self.length], 1e-300))
-        out = np.zeros((self.words, prob.shape[1]))
-        np.add.at(out, self.owner, ll)
-        return out
+        return self.forward(logp)[self.end]
 
-    def expected(self, prob: np.ndarray, count: np.ndarray) -> np.ndarray:
+    def expected(self, logp: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Expected uses of each piece in ``count`` copies of the words, for one language."""
-        alpha = self.forward(prob[:, None])[:, :, 0]
-        beta = np.zeros_like(alpha)
-        beta[np.arange(self.n), self.length] = 1.0
-        total = np.maximum(alpha[np.arange(self.n), self.length], 1e-300)
-        weight = count[self.owner] / total
-        uses = np.zeros(len(prob))
-        for j, u, i, p in reversed(self.edges):
-            back = prob[p] * beta[u, j]
-            uses += np.bincount(p, alpha[u, i] * back * weight[u], len(prob))
-            np.add.at(beta, (u, i), back)
-        return uses
+        alpha = self.forward(logp[:, None])[:, 0]
+        beta = np.full(self.size, -np.inf)
+        beta[self.end] = 0.0
+        for rows, first, nodes in reversed(list(self._runs(self.out, self.start))):
+            beta[nodes] = _log_sums((logp[self.p[rows]] + beta[self.stop[rows]])[:, None], first)[:, 0]
+        word = np.searchsorted(self.base, self.start, side="right") - 1
+        share = np.exp(alpha[self.start] + logp[self.p] + beta[self.stop] - alpha[self.end][word])
+        return np.bincount(self.p, share * count[word], len(logp))
+
+
+def settle(words: list[str], trie: Trie, logp: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each word, a column per language: short ones in chunks, a long one block by block."""
+    out, held, letters = np.zeros((len(words), logp.shape[1])), [], 0
+    for i in sorted(range(len(words)), key=lambda i: len(words[i])):
+        if len(words[i]) > LONG:
+            out[i] = _settle_long(words[i], trie, logp)
+            continue
+        held.append(i)
+        letters += len(words[i])
+        if letters > CHUNK:
+            out[held] = Lattice([words[j] for j in held], trie).log_likelihood(logp)
+            held, letters = [], 0
+    if held:
+        out[held] = Lattice([words[j] for j in held], trie).log_likelihood(logp)
+    return out
+
+
+def _settle_long(word: str, trie: Trie, logp: np.ndarray) -> np.ndarray:
+    """A block begins ``longest`` letters before the last one's end, at sums that are known."""
+    back, total = trie.longest, np.zeros(logp.shape[1])
+    alpha = Lattice([word[:LONG]], trie).forward(logp)
+    for at in range(LONG, len(word), LONG):
+        seeds = alpha[-(back + 1) :]
+        least = seeds.max(0)
+        total, seeds = total + least, seeds - least
+        # the mark in front of a block takes the place of a letter whose edges are all known
+        alpha = Lattice([word[at - back + 1 : at + LONG]], trie).forward(logp, seeds)
+    return total + alpha[-1]
 
 
 def fit(labelled: DataFrame, pieces: list[str], rows_per_language: int = ROWS_PER_LANGUAGE, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -144,12 +231,11 @@ def fit(labelled: DataFrame, pieces: list[str], rows_per_language: int = ROWS_PE
 
     def fit_language(key: tuple, words: pd.DataFrame) -> pd.DataFrame:
         vocab = shared.value
-        words = words.sort_values("word")
-        ids = {p: i for i, p in enumerate(vocab) if p}
-        lattice = Lattice(words["word"].tolist(), ids, max(map(len, vocab)))
+        words = words[words["word"].str.len() <= LONG].sort_values("word")
+        lattice = Lattice(words["word"].tolist(), Trie(vocab))
         count, prob = words["n"].to_numpy(float), np.full(len(vocab), 1.0 / len(vocab))
-        for _ in range(rounds):
-            uses = lattice.expected(prob, count)
+        for _ in range(rounds if len(words) else 0):
+            uses = lattice.expected(np.log(prob), count)
             prob = (uses + ALPHA) / (uses.sum() + ALPHA * len(vocab))
         used = np.flatnonzero(prob > prob.min())
         return pd.DataFrame({"lang": key[0], "piece": np.append(used, -1), "prob": np.append(prob[used], prob.min())})
@@ -168,7 +254,7 @@ def fit(labelled: DataFrame, pieces: list[str], rows_per_language: int = ROWS_PE
 
 def _scorer(pieces: list[str], langs: list[str], prob: np.ndarray):
     """Texts to (language, score); remembers the words it has settled."""
-    ids, longest = {p: i for i, p in enumerate(pieces) if p}, max(map(len, pieces))
+    trie, logp = Trie(pieces), np.log(prob)
     seen: dict[str, int] = {}
     table = np.zeros((0, len(langs)))
 
@@ -179,13 +265,9 @@ def _scorer(pieces: list[str], langs: list[str], prob: np.ndarray):
             table = np.zeros((0, len(langs)))
         counts = [words_of(t) for t in texts]
         fresh = list(dict.fromkeys(w for c in counts for w in c if w not in seen))
-        parts = [table]
-        for a in range(0, len(fresh), 4096):
-            some = fresh[a : a + 4096]
-            parts.append(Lattice(some, ids, longest).log_likelihood(prob))
-            for w in some:
-                seen[w] = len(seen)
-        table = np.concatenate(parts)
+        if fresh and langs:
+            table = np.concatenate((table, settle(fresh, trie, logp)))
+            seen.update(zip(fresh, range(len(seen), len(seen) + len(fresh))))
         out = []
         for c in counts:
             if not c or not langs:
@@ -199,8 +281,8 @@ def _scorer(pieces: list[str], langs: list[str], prob: np.ndarray):
     return score
 
 
-def predict(docs: DataFrame, pieces: list[str], langs: list[str], prob: np.ndarray, text: str = "text") -> DataFrame:
-    """``docs`` with _lang and _score added."""
+def _scored(docs: DataFrame, pieces: list[str], langs: list[str], prob: np.ndarray, text: str) -> DataFrame:
+    """(row, p): each row as one struct, so that no name of it can clash, and its language and score."""
     shared = docs.sparkSession.sparkContext.broadcast((pieces, langs, prob))
 
     @F.pandas_udf("struct<lang:string,score:double>")
@@ -212,7 +294,14 @@ def predict(docs: DataFrame, pieces: list[str], langs: list[str], prob: np.ndarr
                 out += score(s.iloc[a : a + 256])
             yield pd.DataFrame(out, columns=["lang", "score"])
 
-    return docs.withColumn("_p", run(F.col(text))).withColumn("_lang", F.col("_p.lang")).withColumn("_score", F.col("_p.score")).drop("_p")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), run(F.col(f"`{text}`")).alias("p"))
+
+
+def predict(docs: DataFrame, pieces: list[str], langs: list[str], prob: np.ndarray, text: str = "text") -> DataFrame:
+    """``docs`` with _lang and _score added."""
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("_lang", "_score")]
+    return _scored(docs, pieces, langs, prob, text).select(*kept, F.col("p.lang").alias("_lang"), F.col("p.score").alias("_score"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -220,16 +309,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def learned(docs: DataFrame, vocabulary: str = VOCABULARY) -> tuple[list[str], list[str], np.ndarray]:
+    """Pieces, languages and probabilities from the labelled rows that are not held out."""
+    pieces = load_pieces(vocabulary)
+    return pieces, *fit(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), pieces)
+
+
 def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` with _lang and _score; learns from the labelled rows that are not held out."""
-    pieces = load_pieces(vocabulary)
-    langs, prob = fit(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), pieces)
-    return predict(docs, pieces, langs, prob)
+    return predict(docs, *learned(docs, vocabulary))
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5, vocabulary: str = VOCABULARY) -> DataFrame:
     """Documents whose language is known with at least ``min_score``."""
-    return identify(docs, vocabulary).where((F.col("_lang") != "und") & (F.col("_score") >= min_score)).select(*docs.columns)
+    scored = _scored(docs, *learned(docs, vocabulary), "text").where((F.col("p.lang") != "und") & (F.col("p.score") >= min_score))
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 @query("op4_language_id")

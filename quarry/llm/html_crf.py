@@ -31,9 +31,14 @@ from quarry.llm.common import read
 from quarry.llm.registry import query
 
 TRAINING_PAGES = 500
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z)""", re.S)
+# A quote opens a value only after "="; elsewhere it belongs to a name. A quote that never closes is an ordinary character.
+TOKEN = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)
+    |<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>]++)?)?)*+)(?:>|\Z)""",
+    re.S | re.X,
+)
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-HIDDEN = frozenset("script style noscript template svg canvas iframe object head title select option textarea button math audio video map".split())
+HIDDEN = frozenset("script style noscript template svg canvas iframe object head title select option textarea button annotation annotation-xml audio video map".split())
 RAW = frozenset("script style textarea title noscript iframe template svg".split())
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template html".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -173,8 +178,8 @@ def features(blocks: list[Block]) -> list[list[str]]:
     headings = [i for i, b in enumerate(blocks) if b.last in ("h1", "h2")]
     for i, b in enumerate(blocks):
         f = ["bias"]
-        f += [f"in:{t}" for t in b.tags]
-        f += [f"name:{w}" for w in b.names]
+        f += [f"in:{t}" for t in sorted(b.tags)]
+        f += [f"name:{w}" for w in sorted(b.names)]
         words = b.text.split()
         size = min(6, int(math.log2(len(words) + 1)))
         f += [f"own:{b.own}", f"size:{size}", f"link:{int(b.linked * 4)}", f"own:{b.own}:{size}"]

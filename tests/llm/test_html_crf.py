@@ -1,3 +1,6 @@
+from html.parser import HTMLParser
+
+import pyarrow.parquet as pq
 import itertools
 
 import numpy as np
@@ -101,3 +104,53 @@ def test_head_that_is_not_closed():
     assert X.blocks_of(head) == X.blocks_of(head + "</head><body>") == []
     open_head = PAGE.replace("</head>", "")
     assert X.main_text(open_head, X.default_chain()) == X.main_text(open_head.replace("<body>", ""), X.default_chain()) == X.main_text(PAGE, X.default_chain()) != ""
+
+
+def texts(page):
+    return [b.text for b in X.blocks_of(page)]
+
+
+def test_stray_quotes_and_comments_lose_no_text():
+    p = '<p>See <a href="x"">the linked page</a> for more details on it.</p><p class="z">A middle para</p>'
+    assert texts(p) == ["See the linked page for more details on it.", "A middle para"]
+    assert texts("<p title='it's'>one</p><p class='q'>two</p>") == ["one", "two"]
+    assert texts('<p "x>one</p><p y">two</p>') == ["one", "two"]
+    assert texts('<p class=">">one</p>') == ["one"]
+    assert texts("<p data-x=a'b>one</p><p>it's</p>") == ["one", "it's"]
+    assert texts('<p class="open>one</p>') == ["one"]  # a quote that never closes
+    assert texts("<p class=>one</p><p =x>two</p><p a = 'b c' >three</p>") == ["one", "two", "three"]
+    assert texts("a<!-->b<!--->c<!-- > x -->d<!-- y --!>e") == ["abcde"]
+    assert texts("<br/>a<hr/>b<img alt='>'/>c") == ["a", "bc"]
+
+
+def test_formulas_are_text():
+    assert texts("<p>The law <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> holds</p>") == ["The law E=m holds"]
+
+
+class Plain(HTMLParser):
+    """Visible text by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.deep, self.out = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in X.HIDDEN | {"svg", "noscript"} and tag not in X.VOID:
+            self.deep.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.deep:
+            del self.deep[len(self.deep) - 1 - self.deep[::-1].index(tag) :]
+
+    def handle_data(self, data):
+        if not self.deep:
+            self.out.append(data)
+
+
+def test_blocks_hold_what_an_independent_parser_reads():
+    """All text of every page of the table, white space apart."""
+    for page in pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"]).column("html").to_pylist():
+        plain = Plain()
+        plain.feed(page or "")
+        plain.close()
+        assert "".join("".join(texts(page)).split()) == "".join("".join(plain.out).split())

@@ -6,35 +6,39 @@ whole texts.
     score(doc, lang)  = sum over the doc's trigram occurrences of log(c + 1)
                         - n_trigrams(doc) * log(T_lang + V)
 
-Only trigrams seen in a language contribute to the first term, so scoring is
-an equi-join against the (trigram -> one weight per language) table - no
-vocabulary x language grid, no cross join. The join is broadcast only after
-the model's row count is checked; the per-document partial aggregate
-collapses each document's trigram rows inside its own task, so the shuffle
-carries one row per document, and each text is scanned once for scoring. A
-larger model meets (document, trigram) counts in a salted shuffle join.
-Fitting reads at most about ``fit_rows`` labelled rows, chosen by hash of id;
-every row is scored, rows that repeat an id each on their own. The row count,
-the class labels and their normalisers (one value per language) are the only
-values read back to the driver.
+Only trigrams seen in a language contribute to the first term, so a text is
+scored row by row against one packed table: three code points of 21 bits are a
+key, the sorted keys and one weight per key and language are broadcast, and an
+Arrow batch function sums a text's weights slice by slice. A document stays one
+row, nothing is shuffled, and no id is needed: rows that share one, or have
+none, are scored each on their own. The table's size is checked first; a larger
+model meets (row, trigram) counts in a salted shuffle join instead.
+Fitting reads at most about ``fit_rows`` labelled rows, chosen by hash of id.
+The model (up to the checked size), its row count and the labels' normalisers
+are the only values read back to the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.functions.hashing import hex8_to_long, seeded_hash
 from quarry.session import ensure_checkpoint_dir
+from quarry.sources.scratch import written
 
-# ~40 bytes per (trigram, language, weight) row: broadcast the model up to
-# about 40 MB; a larger model (many scripts / languages) is joined by a
-# shuffle on trigram and salt.
+# A packed trigram takes eight bytes and eight more per language: the table is
+# broadcast up to about 40 MB at four languages; a larger model (many scripts
+# and languages) is joined by a shuffle on trigram and salt.
 MAX_BROADCAST_MODEL_ROWS = 1_000_000
+POINT_BITS = 21
+SLICE = 1 << 18  # characters looked up at once
 FIT_ROWS = 50_000  # about so many labelled rows are fitted, however many there are
 FIT_SEED = 42
 SALTS = 16
@@ -82,38 +86,75 @@ def language_constants(model: DataFrame) -> list[tuple[str, float]]:
     return sorted((r["lang"], math.log(r["t"] + v)) for r in rows)
 
 
-def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
-    """Per document row: id, the ``carry`` columns and the ``predicted`` language
-    (ties to the smaller language code).
+def packed(model: DataFrame, consts: list[tuple[str, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted trigram keys, weight per key and language); at most the checked number of rows."""
+    rows = model.toPandas()
+    points = np.frombuffer("".join(rows["tri"]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64).reshape(-1, 3)
+    keys, at = np.unique(_trigram_keys(points.reshape(-1))[::3] if len(points) else np.zeros(0, np.int64), return_inverse=True)
+    weight = np.zeros((len(keys), len(consts)))
+    place = {lang: i for i, (lang, _) in enumerate(consts)}
+    weight[at, rows["lang"].map(place).to_numpy(int)] = np.log(rows["c"].to_numpy(float) + 1)
+    return keys, weight
 
-    The model is joined in wide form (one row per trigram, one weight column
-    per language), so each trigram occurrence stays one row and the
-    per-document aggregate is a plain sum per language column."""
-    consts = language_constants(model)
+
+def _trigram_keys(points: np.ndarray) -> np.ndarray:
+    return (points[:-2] << (2 * POINT_BITS)) | (points[1:-1] << POINT_BITS) | points[2:]
+
+
+def text_scores(padded: str, keys: np.ndarray, weight: np.ndarray, logden: np.ndarray) -> np.ndarray:
+    """Score of one padded text in each language."""
+    points = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32)
+    total, n = np.zeros(len(logden)), max(0, len(points) - 2)
+    for a in range(0, n, SLICE):
+        own = _trigram_keys(points[a : a + SLICE + 2].astype(np.int64))
+        at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
+        if len(keys):
+            total += weight[at[keys[at] == own]].sum(0)
+    return total - n * logden
+
+
+def _in_rows(docs: DataFrame, model: DataFrame, consts, text: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((*packed(model, consts), np.array([c for _, c in consts]), [lang for lang, _ in consts]))
+
+    @F.pandas_udf("string")
+    def best(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        keys, weight, logden, langs = shared.value
+        for s in parts:
+            # equal scores go to the first, smaller code
+            yield s.map(lambda t: langs[int(text_scores(t, keys, weight, logden).argmax())] if langs else None).astype(object)
+
+    return docs.withColumn("predicted", best(padded_text(text)))
+
+
+def _by_join(docs: DataFrame, model: DataFrame, consts, text: str) -> DataFrame:
+    """The same for a model too large to broadcast: numbered rows, stored once, meet it trigram by trigram."""
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "langid-rows")
     wcols = [f"_w{i}" for i in range(len(consts))]
     lw = F.log(F.col("c") + 1)
-    wide = model.groupBy("tri").agg(
-        *[F.sum(F.when(F.col("lang") == lang, lw)).alias(c) for (lang, _), c in zip(consts, wcols)]
-    )
-    keys = ["_row", id_col, *carry, "n_tri"]
-    padded = docs.select(id_col, *carry, F.monotonically_increasing_id().alias("_row"), padded_text(text).alias("_t"))
-    occ = padded.select("_row", id_col, *carry, F.greatest(F.length("_t") - 2, F.lit(0)).alias("n_tri"), F.explode_outer(trigrams(F.col("_t"))).alias("tri"))
-    # left joins: a document whose trigrams are all unseen still keeps its row
-    if model.count() <= MAX_BROADCAST_MODEL_ROWS:
-        found = occ.withColumn("_k", F.lit(1)).join(F.broadcast(wide), "tri", "left")
-    else:
-        counted = occ.groupBy(*keys, "tri").agg(F.count(F.lit(1)).alias("_k")).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
-        found = counted.join(wide.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["tri", "_salt"], "left")
-    per_doc = found.groupBy(*keys).agg(*[F.coalesce(F.sum(F.col(c) * F.col("_k")), F.lit(0.0)).alias(c) for c in wcols])
-    scores = F.array(
-        *[
-            F.struct((F.col(c) - F.col("n_tri") * F.lit(logden)).alias("score"), F.lit(lang).alias("lang"))
-            for (lang, logden), c in zip(consts, wcols)
-        ]
-    )
+    wide = model.groupBy("tri").agg(*[F.sum(F.when(F.col("lang") == lang, lw)).alias(c) for (lang, _), c in zip(consts, wcols)])
+    padded = rows.select("_row", padded_text(text).alias("_t"))
+    occ = padded.select("_row", F.greatest(F.length("_t") - 2, F.lit(0)).alias("_n"), F.explode_outer(trigrams(F.col("_t"))).alias("tri"))
+    # left join: a document whose trigrams are all unseen still keeps its row
+    counted = occ.groupBy("_row", "_n", "tri").agg(F.count(F.lit(1)).alias("_k")).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
+    found = counted.join(wide.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["tri", "_salt"], "left")
+    per_row = found.groupBy("_row", "_n").agg(*[F.coalesce(F.sum(F.col(c) * F.col("_k")), F.lit(0.0)).alias(c) for c in wcols])
+    scores = F.array(*[F.struct((F.col(c) - F.col("_n") * F.lit(logden)).alias("score"), F.lit(lang).alias("lang")) for (lang, logden), c in zip(consts, wcols)])
     best = F.array_max(F.transform(F.col("_s"), lambda x: x["score"]))
     pred = F.array_min(F.transform(F.filter(F.col("_s"), lambda x: x["score"] == best), lambda x: x["lang"]))
-    return per_doc.withColumn("_s", scores).select(id_col, *carry, pred.alias("predicted"))
+    return rows.join(per_row.withColumn("_s", scores).select("_row", pred.alias("predicted")), "_row").drop("_row")
+
+
+def with_language(docs: DataFrame, model: DataFrame, text: str = "text") -> DataFrame:
+    """Every row of ``docs`` with its ``predicted`` language (ties to the smaller
+    code; a column of that name is replaced)."""
+    consts = language_constants(model)
+    small = model.count() <= MAX_BROADCAST_MODEL_ROWS
+    return (_in_rows if small else _by_join)(docs.drop("predicted"), model, consts, text)
+
+
+def score(docs: DataFrame, model: DataFrame, text: str = "text", id_col: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
+    """Per document row: id, the ``carry`` columns and the ``predicted`` language."""
+    return with_language(docs.select(*dict.fromkeys([id_col, text, *carry])), model, text).select(id_col, *carry, "predicted")
 
 
 def identify(docs: DataFrame, train: DataFrame | None = None, text: str = "text", label: str = "lang", id_col: str = "doc_id", carry: Sequence[str] = (), fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -122,8 +163,7 @@ def identify(docs: DataFrame, train: DataFrame | None = None, text: str = "text"
     return score(docs, model, text, id_col, carry)
 
 
-def language_filter(docs: DataFrame, keep: str = "en", **kw) -> DataFrame:
-    """FLT9: keep documents identified as ``keep``."""
-    id_col = kw.get("id_col", "doc_id")
-    pred = identify(docs, **kw)
-    return docs.join(pred.where(F.col("predicted") == keep).select(id_col), id_col, "left_semi")
+def language_filter(docs: DataFrame, keep: str = "en", train: DataFrame | None = None, text: str = "text", label: str = "lang", id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """FLT9: the rows identified as ``keep``, each judged by its own text, whatever its id."""
+    model = fit(train if train is not None else docs, text, label, id_col, fit_rows)
+    return with_language(docs, model, text).where(F.col("predicted") == keep).select(*docs.columns)

@@ -21,6 +21,7 @@ from quarry.operators import sampling as SM
 from quarry.operators import validate as VA
 from quarry.session import materialize
 from quarry.sources import csv as CSV
+from quarry.sources.scratch import written
 
 
 def training_split_text(rows: DataFrame, sample_size: int, valid_size: float, seed: int) -> DataFrame:
@@ -84,20 +85,19 @@ def curate_corpus(
     language -> SMP7 size adjustment (proportional per ``stratum``). The
     language model is fitted on ``train`` (default: the labelled rows of ``docs``).
 
-    One pass over the texts filters and scores; what it hands on is (id, stratum).
-    The sizes are adjusted on that, and the chosen ids alone go back to the
-    corpus. Ids must be unique (``validate.duplicate_ids`` tells): rows that
-    share a chosen id are all returned."""
+    One pass over the texts filters and scores; the rows that remain are written
+    once with a number each. The sizes are adjusted on (number, id, stratum), and
+    the chosen numbers go back to the written rows: rows that share an id or have
+    none are judged each on its own, and no more than ``size`` rows come out."""
     rows = docs if categories is None else C.category_filter(docs, category_col, categories)
     rows = C.token_length_filter(rows, "text", budget_tokens)
     rows = C.repetition_filter(rows, "text", max_repetition)
-    pred = L.identify(rows, train=train if train is not None else docs, id_col=id_col, carry=[stratum])
-    # the exact-size selection reads its input several times (histogram, boundary,
-    # final filter): the survivors' ids are written once in the shared folder
-    narrow = materialize(pred.where(F.col("predicted") == language).select(id_col, stratum))
-    chosen = SM.size_adjust(narrow, size, seed, stratum, id_col).select(F.col(id_col).alias("_chosen"))
+    rows = L.language_filter(rows, language, train=train if train is not None else docs, id_col=id_col)
+    kept = written(rows.withColumn("_row", F.monotonically_increasing_id()), "curated")
+    # the exact-size selection reads its input several times (histogram, boundary, final filter)
+    chosen = SM.size_adjust(kept.select("_row", id_col, stratum), size, seed, stratum, id_col).select("_row")
     few = F.broadcast(chosen) if size <= SM.MAX_BROADCAST_ROWS else chosen
-    return docs.join(few, docs[id_col].eqNullSafe(F.col("_chosen")), "left_semi")
+    return kept.join(few, "_row", "left_semi").select(*docs.columns)
 
 
 def write_eval_set(rows: DataFrame, out_path: str) -> dict[str, int]:

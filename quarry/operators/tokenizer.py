@@ -1,5 +1,6 @@
 """Vocabulary-size sweep (AGG10): a unigram sub-word language model (Kudo,
-2018) fitted by EM as Spark jobs, and prompt token totals per vocabulary size.
+2018) fitted by EM as Spark jobs, prompt token totals per vocabulary size, and
+texts cut to a number of pieces (PRJ18).
 
 Work is over the table of *distinct* words with their frequencies (one
 shuffle), never over raw text:
@@ -8,16 +9,18 @@ shuffle), never over raw text:
   linear regex passes, summed per piece (partial aggregation), the top
   ``seed_factor x largest size`` by frequency x length kept; every single
   character is always kept;
-* E-step: a partition-wise Arrow batch function runs forward-backward over
-  each distinct word's piece lattice and emits expected piece counts, which a
-  partial aggregate sums per piece;
-* M-step and pruning run on the piece table (bounded by the seed size): the
-  lowest-count pieces are dropped, 25 % per round, until the target size;
-* token totals: Viterbi segmentation of each distinct prompt word x frequency.
-
-The piece table is the model: its size is bounded by ``seed_factor x size``
-and checked before it is broadcast to the tasks. It is checkpointed every
-round to cut the lineage of the iteration.
+* E-step: Arrow batches of distinct words become lattices over a flat trie
+  (``functions.lattice``); a task adds up the expected uses of all its words and
+  gives one row per piece used, summed per piece by Spark;
+* pruning by loss: each piece's best segmentation without itself is found in
+  tasks over the pieces; what the likelihood loses, expected uses x (log
+  probability of the piece - that of its replacement), ranks the pieces on Spark,
+  and at most a quarter of them go each round until the target size;
+* token totals: best segmentation of each distinct prompt word x frequency.
+
+The model is the piece list and one number per piece, at most
+``seed_factor x size`` of them; it is sent to the tasks once per round, and a
+round is one job for the E-step and one for the losses.
 
 Intended differences from the SentencePiece library: text is pre-split on
 whitespace, piece ids are not comparable, totals are close but not equal. If
@@ -26,22 +29,30 @@ the text cannot support a size, the size reached is reported.
 
 from __future__ import annotations
 
-import math
+import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.session import ensure_checkpoint_dir, materialize
+from quarry.functions.lattice import Lattice, Trie
+from quarry.session import materialize
 
 SPACE = "▁"  # word-start marker
 MAX_PIECE = 16
 SEED_FACTOR = 10
 SHRINK = 0.75
 EM_STEPS = 2
-MAX_MODEL_PIECES = 500_000  # seed_factor x the largest size, checked before each broadcast
+MAX_MODEL_PIECES = 500_000  # seed_factor x the largest size, checked before the seeds are read
+UNKNOWN = -1e6  # log weight of a character without a piece: one token each
+LEAST = 1e-12  # expected uses below this count as this much
+LETTERS = 1 << 18  # letters of words settled together
+CACHED_WORDS = 200_000
+WORD = re.compile(r"\S+")  # the words of functions.text, as spans
 
 
 def word_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -62,177 +73,217 @@ def seed_pieces(words: DataFrame, size: int) -> DataFrame:
     return chars.unionByName(multi)
 
 
-# ---------------------------------------------------------------- per-word kernels
-
-
-def _logsumexp(a: float, b: float) -> float:
-    if a == -math.inf:
-        return b
-    if b == -math.inf:
-        return a
-    m = a if a > b else b
-    return m + math.log(math.exp(a - m) + math.exp(b - m))
-
-
-def expected_counts(word: str, logp: dict, max_len: int = MAX_PIECE) -> tuple[dict, float]:
-    """Forward-backward over the piece lattice of ``word``: expected number of
-    occurrences of each piece and log Z (-inf when no segmentation exists).
-    The lattice edges are looked up once and reused by all three passes."""
-    n = len(word)
-    ninf = -math.inf
-    edges = []  # (start, end, piece, log p) in increasing end order
-    for j in range(1, n + 1):
-        for i in range(max(0, j - max_len), j):
-            p = word[i:j]
-            lp = logp.get(p)
-            if lp is not None:
-                edges.append((i, j, p, lp))
-    alpha = [ninf] * (n + 1)
-    alpha[0] = 0.0
-    for i, j, _, lp in edges:
-        if alpha[i] != ninf:
-            alpha[j] = _logsumexp(alpha[j], alpha[i] + lp)
-    z = alpha[n]
-    if z == ninf:
-        return {}, z
-    beta = [ninf] * (n + 1)
-    beta[n] = 0.0
-    for i, j, _, lp in reversed(edges):  # decreasing end: beta[j] is final when used
-        if beta[j] != ninf:
-            beta[i] = _logsumexp(beta[i], lp + beta[j])
-    out: dict = {}
-    for i, j, p, lp in edges:
-        if alpha[i] == ninf or beta[j] == ninf:
-            continue
-        c = math.exp(alpha[i] + lp + beta[j] - z)
-        if c > 0:
-            out[p] = out.get(p, 0.0) + c
-    return out, z
-
-
-def viterbi_length(word: str, logp: dict, max_len: int = MAX_PIECE) -> int:
-    """Number of pieces in the best segmentation; characters without a piece
-    count one token each (unknown)."""
-    n = len(word)
-    ninf = -math.inf
-    best = [ninf] * (n + 1)
-    cnt = [0] * (n + 1)
-    best[0] = 0.0
-    for j in range(1, n + 1):
-        b, c = ninf, 0
-        for i in range(max(0, j - max_len), j):
-            if best[i] == ninf:
-                continue
-            lp = logp.get(word[i:j])
-            if lp is not None and best[i] + lp > b:
-                b, c = best[i] + lp, cnt[i] + 1
-        if b == ninf:  # unknown character: one token, a large penalty
-            b, c = best[j - 1] - 1e6, cnt[j - 1] + 1
-        best[j], cnt[j] = b, c
-    return cnt[n]
+# ---------------------------------------------------------------- the model
 
 
-# ---------------------------------------------------------------- Spark steps
+class Model:
+    """Pieces (number 0 is the unknown one) with their log probabilities and expected uses."""
+
+    def __init__(self, pieces: list[str], uses: np.ndarray):
+        self.pieces, self.uses = pieces, uses
+        known = np.maximum(uses[1:], LEAST)
+        self.logp = np.concatenate(([UNKNOWN], np.log(known) - np.log(known.sum())))
+
+    @property
+    def size(self) -> int:
+        return len(self.pieces) - 1
 
+    def only(self, keep: np.ndarray) -> Model:
+        """The model of some of its pieces."""
+        at = np.concatenate(([0], np.sort(keep)))
+        return Model([self.pieces[i] for i in at], self.uses[at])
 
-def _model_dict(pieces: DataFrame) -> dict:
-    """The piece table as a dict for broadcasting; at most MAX_MODEL_PIECES rows
-    are ever pulled to the driver (one more only to detect an overflow)."""
-    rows = pieces.select("piece", "logp").limit(MAX_MODEL_PIECES + 1).collect()
+
+def seed_model(seeds: DataFrame) -> Model:
+    """The seeds with their counts as uses, ordered by piece; at most MAX_MODEL_PIECES are read."""
+    rows = seeds.limit(MAX_MODEL_PIECES + 1).toPandas().sort_values("piece")
     if len(rows) > MAX_MODEL_PIECES:
-        raise ValueError(f"piece table exceeds the broadcast bound {MAX_MODEL_PIECES}")
-    return {r["piece"]: float(r["logp"]) for r in rows}
+        raise ValueError(f"more than {MAX_MODEL_PIECES} seed pieces")
+    return Model(["", *rows["piece"]], np.concatenate(([0.0], rows["freq"].to_numpy(float))))
+
+
+def in_chunks(words: list[str]) -> Iterator[np.ndarray]:
+    """Places of words of like length, so many letters at a time."""
+    order = np.argsort([len(w) for w in words], kind="stable")
+    held, letters = [], 0
+    for i in order.tolist():
+        held.append(i)
+        letters += len(words[i])
+        if letters > LETTERS:
+            yield np.array(held)
+            held, letters = [], 0
+    if held:
+        yield np.array(held)
+
+
+def expected_uses(words: list[str], freq: np.ndarray, trie: Trie, logp: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(logp))
+    for at in in_chunks(words):
+        total += Lattice([words[i] for i in at], trie).expected(logp, freq[at])
+    return total
+
+
+def piece_counts(words: list[str], trie: Trie, logp: np.ndarray) -> np.ndarray:
+    """Pieces in the best segmentation of each word."""
+    out = np.zeros(len(words), np.int64)
+    for at in in_chunks(words):
+        lattice = Lattice([words[i] for i in at], trie)
+        out[at] = lattice.best(logp)[1][lattice.end]
+    return out
+
+
+def losses(pieces: list[str], uses: np.ndarray, own: np.ndarray, trie: Trie, logp: np.ndarray) -> np.ndarray:
+    """What the likelihood loses without each piece: uses x (its log probability - its best replacement's).
+    Infinite for single characters, which always stay."""
+    out = np.full(len(pieces), np.inf)
+    several = np.flatnonzero([len(p) > 1 for p in pieces])
+    for at in in_chunks([pieces[i] for i in several]):
+        at = several[at]
+        lattice = Lattice([pieces[i] for i in at], trie, whole=False)
+        out[at] = uses[at] * (own[at] - lattice.best(logp)[0][lattice.end])
+    return out
 
 
-def _e_step(words: DataFrame, bc) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        logp = bc.value
-        acc: dict = {}
-        for pdf in batches:
-            for w, f in zip(pdf["word"], pdf["freq"]):
-                counts, z = expected_counts(w, logp)
-                for p, c in counts.items():
-                    acc[p] = acc.get(p, 0.0) + c * f
-        # one row per piece per partition: a map-side combine before the shuffle
-        yield pd.DataFrame({"piece": list(acc.keys()), "cnt": list(acc.values())}, columns=["piece", "cnt"])
+# ---------------------------------------------------------------- Spark steps
 
-    ec = words.mapInPandas(run, "piece string, cnt double")
-    return ec.groupBy("piece").agg(F.sum("cnt").alias("cnt"))
 
+def _shared(spark: SparkSession, model: Model):
+    return spark.sparkContext.broadcast((model.pieces, model.logp, model.uses))
 
-MIN_COUNT = 1e-12
 
+def em_step(words: DataFrame, model: Model) -> Model:
+    """One round of EM over (word, freq); pieces that are no longer used go, characters stay."""
+    bc = _shared(words.sparkSession, model)
 
-def _normalise(counts: DataFrame) -> DataFrame:
-    """M-step: log probabilities of the expected counts (pieces with a vanishing
-    count are dropped; single characters always survive since every one occurs)."""
-    total = counts.select(F.sum("cnt")).scalar()
-    kept = counts.where((F.col("cnt") > MIN_COUNT) | (F.length("piece") == 1))
-    return kept.select("piece", "cnt", (F.log(F.greatest(F.col("cnt"), F.lit(MIN_COUNT))) - F.log(total)).alias("logp"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, logp, _ = bc.value
+        trie, total = Trie(pieces), np.zeros(len(pieces))
+        for b in batches:
+            total += expected_uses(b.column("word").to_pylist(), b.column("freq").to_numpy(zero_copy_only=False).astype(float), trie, logp)
+        # one row per piece and task: a map-side combine before the shuffle
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["piece", "uses"])
 
+    rows = words.mapInArrow(run, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).toPandas()
+    bc.unpersist()
+    uses = np.zeros(len(model.pieces))
+    uses[rows["piece"].to_numpy()] = rows["uses"].to_numpy()
+    uses[0] = 0.0
+    single = np.array([len(p) == 1 for p in model.pieces])
+    return Model(model.pieces, uses).only(np.flatnonzero((uses > LEAST) | single))
 
-def _prune(model: DataFrame, keep: int) -> DataFrame:
-    """Keep every single character and the ``keep`` highest-count other pieces."""
-    chars = model.where(F.length("piece") == 1)
-    nchars = chars.count()
-    multi = model.where(F.length("piece") > 1).orderBy(F.col("cnt").desc(), F.col("piece")).limit(max(0, keep - nchars))
-    return chars.unionByName(multi)
+
+def prune(spark: SparkSession, model: Model, keep: int) -> Model:
+    """Every single character and the pieces whose loss is largest, ``keep`` in all (ties by piece)."""
+    bc = _shared(spark, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, logp, uses = bc.value
+        trie = Trie(pieces)
+        for b in batches:
+            at = b.column("id").to_numpy()
+            loss = losses([pieces[i] for i in at], uses[at], logp[at], trie, logp)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(loss)], ["piece", "loss"])
+
+    chars = np.flatnonzero([len(p) == 1 for p in model.pieces])
+    ranked = spark.range(1, len(model.pieces)).mapInArrow(run, "piece int, loss double").where(F.col("loss") < float("inf"))
+    best = ranked.orderBy(F.desc("loss"), "piece").limit(max(0, keep - len(chars))).toPandas()["piece"].to_numpy()
+    bc.unpersist()
+    return model.only(np.concatenate((chars, best)).astype(int))
 
 
-def fit_sweep(words: DataFrame, sizes: Sequence[int], seed_factor: int = SEED_FACTOR) -> dict[int, DataFrame]:
-    """Fit the largest size first and continue pruning to the smaller ones.
-    Returns {size: piece table (piece, cnt, logp)}."""
+def fit_sweep(words: DataFrame, sizes: Sequence[int], seed_factor: int = SEED_FACTOR) -> dict[int, Model]:
+    """Fit the largest size first and continue pruning to the smaller ones: {size: model}."""
     spark = words.sparkSession
-    ensure_checkpoint_dir(spark)
     sizes = sorted(set(sizes), reverse=True)
-    words = words.checkpoint(eager=True)
-    seeds = seed_pieces(words, seed_factor * sizes[0])
-    model = _normalise(seeds.select("piece", F.col("freq").cast("double").alias("cnt"))).checkpoint(eager=True)
-    out: dict[int, DataFrame] = {}
-
-    def em(m: DataFrame) -> DataFrame:
-        bc = spark.sparkContext.broadcast(_model_dict(m))
-        nxt = materialize(_normalise(materialize(_e_step(words, bc))))
-        bc.unpersist()
-        return nxt
-
-    for k, target in enumerate(sizes):
+    words = materialize(words)
+    model = em_step(words, seed_model(seed_pieces(words, seed_factor * sizes[0])))
+    out: dict[int, Model] = {}
+    for target in sizes:
         # one EM step per pruning round, EM_STEPS once the size is reached; a
         # smaller size continues from the re-estimated model of the larger one
-        if k == 0:
-            model = em(model)
-        size = model.count()
-        while size > target:
-            model = em(_prune(model, max(target, int(size * SHRINK))).checkpoint(eager=True))
-            size = model.count()
+        while model.size > target:
+            before = model.size
+            model = em_step(words, prune(spark, model, max(target, int(model.size * SHRINK))))
+            if model.size == before:
+                break  # nothing is left but single characters
         for _ in range(EM_STEPS - 1):
-            model = em(model)
+            model = em_step(words, model)
         out[target] = model
     return out
 
 
-def token_totals(prompt_words: DataFrame, models: dict[int, DataFrame]) -> DataFrame:
-    """Per vocabulary size: pieces reached and total tokens over the prompt words."""
+def token_totals(prompt_words: DataFrame, models: dict[int, Model]) -> DataFrame:
+    """Per vocabulary size: pieces reached and total tokens over the prompt words, all sizes in one pass."""
     spark = prompt_words.sparkSession
-    rows = None
-    for size, model in sorted(models.items()):
-        bc = spark.sparkContext.broadcast(_model_dict(model))
+    bc = spark.sparkContext.broadcast({size: (m.pieces, m.logp) for size, m in models.items()})
 
-        def run(batches, bc=bc):
-            logp = bc.value
-            for pdf in batches:
-                toks = [viterbi_length(w, logp) * int(f) for w, f in zip(pdf["word"], pdf["freq"])]
-                yield pd.DataFrame({"tokens": toks}, dtype="int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tries = {size: (Trie(pieces), logp) for size, (pieces, logp) in bc.value.items()}
+        total = dict.fromkeys(tries, 0)
+        for b in batches:
+            words, freq = b.column("word").to_pylist(), b.column("freq").to_numpy(zero_copy_only=False)
+            for size, (trie, logp) in tries.items():
+                total[size] += int(piece_counts(words, trie, logp) @ freq)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["vocab_size", "tokens"])
 
-        tot = prompt_words.mapInPandas(run, "tokens long").agg(F.sum("tokens").alias("total_tokens"))
-        r = tot.select(F.lit(size).cast("bigint").alias("vocab_size"), F.lit(model.count()).cast("bigint").alias("pieces"), F.col("total_tokens").cast("bigint"))
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+    reached = F.create_map(*[F.lit(x).cast("bigint") for size, m in models.items() for x in (size, m.size)])
+    totals = prompt_words.mapInArrow(run, "vocab_size bigint, tokens bigint").groupBy("vocab_size").agg(F.sum("tokens").alias("total_tokens"))
+    return totals.select("vocab_size", reached[F.col("vocab_size")].alias("pieces"), "total_tokens")
 
 
 def vocabulary_sweep(df: DataFrame, sizes: Sequence[int] = (4000, 8000, 16000), fit_cols=("prompt", "answer"), count_col: str = "prompt") -> DataFrame:
     """AGG10: fit on prompt + answer, count tokens over prompts only."""
-    words = word_frequencies(df, list(fit_cols))
-    models = fit_sweep(words, sizes)
-    prompt_words = word_frequencies(df, [count_col])
-    return token_totals(prompt_words, models)
+    models = fit_sweep(word_frequencies(df, list(fit_cols)), sizes)
+    return token_totals(word_frequencies(df, [count_col]), models)
+
+
+# ---------------------------------------------------------------- texts cut to a number of pieces
+
+
+class Cutter:
+    """Cuts texts after so many pieces of their words; remembers the words it has segmented."""
+
+    def __init__(self, pieces: list[str], logp: np.ndarray):
+        self.trie, self.logp, self.seen = Trie(pieces), logp, {}
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.seen) > CACHED_WORDS:
+            self.seen.clear()
+        fresh = [w for w in dict.fromkeys(words) if w not in self.seen]
+        for at in in_chunks(fresh):
+            lattice = Lattice([SPACE + fresh[i] for i in at], self.trie)
+            # ends in the word itself: the mark is a letter of no width
+            for i, ends in zip(at.tolist(), lattice.ends(lattice.best(self.logp)[2])):
+                self.seen[fresh[i]] = np.array(ends, np.int32) - 1
+
+    def cut(self, text: str | None, budget: int) -> tuple[int, int]:
+        """(pieces in the whole text, code points that hold the first ``budget`` of them)."""
+        if not text:
+            return 0, 0
+        spans = [(m.start(), m[0]) for m in WORD.finditer(text)]
+        self._learn([w for _, w in spans])
+        total, end = 0, len(text)
+        for start, w in spans:
+            ends = self.seen[w]
+            if total < budget <= total + len(ends):
+                end = start + int(ends[budget - total - 1])
+            total += len(ends)
+        if total <= budget:
+            return total, len(text)
+        return total, end if budget > 0 else 0
+
+
+def truncate_to_pieces(df: DataFrame, model: Model, budget: int, text: str = "text", out: str = "text_cut", pieces: str = "n_pieces") -> DataFrame:
+    """PRJ18 in real pieces: ``text`` cut right after its ``budget``-th piece (whole where
+    it has no more), and the number of pieces of the whole text. Null has none and stays null."""
+    bc = df.sparkSession.sparkContext.broadcast((model.pieces, model.logp))
+
+    @F.pandas_udf("struct<n:bigint,cut:bigint>")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        cutter = Cutter(*bc.value)
+        for s in parts:
+            yield pd.DataFrame([cutter.cut(t, budget) for t in s], columns=["n", "cut"])
+
+    cut = df.withColumn("_cut", run(F.col(text)))
+    return cut.withColumn(out, F.substring(F.col(text), F.lit(1), F.col("_cut.cut").cast("int"))).withColumn(pieces, F.col("_cut.n")).drop("_cut")

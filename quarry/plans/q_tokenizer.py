@@ -1,13 +1,16 @@
 """Vocabulary queries (AGG10): word counts and seed pieces with their oracles, and
-the sweep, which has none: EM fitting is iterative; tests check the lattice
-kernels against brute-force enumeration instead."""
+the sweep and the cut by its pieces, which have none: EM fitting is iterative;
+tests check the lattice kernels against brute-force enumeration instead."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quarry.operators import tokenizer as TK
 from quarry.plans import sqltext as S
 from quarry.plans import views as V
 from quarry.plans.registry import query
+from quarry.sources.tables import table
 
 
 @query("token_count_by_vocab")
@@ -17,6 +20,15 @@ def token_count_by_vocab(spark, d):
     return TK.vocabulary_sweep(V.examples(spark, d), (4000, 8000, 16000))
 
 
+@query("truncate_to_pieces")
+def truncate_to_pieces(spark, d):
+    """PRJ18 in real pieces: every document cut after its 2,048th piece, by a vocabulary of
+    4,000 pieces fitted on every example's prompt + answer."""
+    model = TK.fit_sweep(TK.word_frequencies(V.examples(spark, d), ("prompt", "answer")), (4000,))[4000]
+    cut = TK.truncate_to_pieces(table(spark, d, "documents").select("doc_id", "text"), model, 2048)
+    return cut.select("doc_id", "n_pieces", F.length("text_cut").cast("bigint").alias("kept_chars"), "text_cut")
+
+
 _WORDS_SQL = f"""SELECT '▁' || w AS word, count(*) AS freq FROM (SELECT unnest({S.words("concat_ws(' ', prompt, answer)")}) AS w FROM examples) GROUP BY w"""
 V.register_sql_view("vocab_words", ["examples"], _WORDS_SQL)
 

@@ -9,6 +9,8 @@ that is no piece itself. Time is linear in the characters times the longest piec
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 
 
@@ -31,6 +33,14 @@ class Trie:
             if p:
                 self.piece[nodes[p]] = i
 
+    def only(self, at: np.ndarray) -> Trie:
+        """The trie of the pieces ``at``, numbered anew in that order; its nodes are shared."""
+        new = np.full(int(max(self.piece.max(initial=0), at.max(initial=0))) + 1, -1, np.int32)
+        new[at] = np.arange(len(at))
+        out = copy.copy(self)
+        out.piece = np.where(self.piece >= 0, new[self.piece], -1).astype(np.int32)
+        return out
+
     def coded(self, chars: np.ndarray) -> np.ndarray:
         """Places of characters among the pieces' own, -1 for others."""
         at = np.minimum(np.searchsorted(self.letters, chars), len(self.letters) - 1)

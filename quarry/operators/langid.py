@@ -25,6 +25,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,11 +72,33 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", id_col: str =
     ensure_checkpoint_dir(docs.sparkSession)
     lab = docs.where(F.col(label).isNotNull())
     lab = lab.where(fit_draw(id_col) * F.lit(lab.count()) < F.lit(fit_rows))
-    padded = lab.select(F.col(label).alias("lang"), padded_text(text).alias("_t"))
-    # the padded text is its own projection so the per-character lambda reads it, not recomputes it
-    occ = padded.select("lang", F.explode(trigrams(F.col("_t"))).alias("tri"))
-    model = occ.groupBy("lang", "tri").agg(F.count(F.lit(1)).alias("c"))
-    return model.checkpoint(eager=True)
+    counted = lab.select(F.col(label).cast("string").alias("lang"), padded_text(text).alias("t")).mapInArrow(_count_trigrams, "lang string, tri string, c bigint")
+    return counted.groupBy("lang", "tri").agg(F.sum("c").alias("c")).checkpoint(eager=True)
+
+
+def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, tri, c) of each batch's texts: one row per distinct trigram of some texts, not one per character."""
+    for b in batches:
+        held: dict[str, list] = {}
+        letters = 0
+        for lang, t in zip(b.column("lang").to_pylist(), b.column("t").to_pylist()):
+            points = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+            for a in range(0, len(points) - 2, SLICE):
+                held.setdefault(lang, []).append(_trigram_keys(points[a : a + SLICE + 2].astype(np.int64)))
+                letters += len(held[lang][-1])
+                if letters > 16 * SLICE:
+                    yield from _trigram_rows(held)
+                    held, letters = {}, 0
+        yield from _trigram_rows(held)
+
+
+def _trigram_rows(held: dict[str, list]) -> Iterator[pa.RecordBatch]:
+    for lang, parts in held.items():
+        keys, n = np.unique(np.concatenate(parts), return_counts=True)
+        points = np.stack([(keys >> (i * POINT_BITS)) & ((1 << POINT_BITS) - 1) for i in (2, 1, 0)], axis=1).astype(np.uint32)
+        chars = points.tobytes().decode("utf-32-le", "surrogatepass")
+        tri = [chars[i : i + 3] for i in range(0, len(chars), 3)]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(tri), pa.string()), pa.array(tri, pa.string()), pa.array(n.astype(np.int64))], ["lang", "tri", "c"])
 
 
 def language_constants(model: DataFrame) -> list[tuple[str, float]]:

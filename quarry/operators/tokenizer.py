@@ -77,12 +77,19 @@ def seed_pieces(words: DataFrame, size: int) -> DataFrame:
 
 
 class Model:
-    """Pieces (number 0 is the unknown one) with their log probabilities and expected uses."""
+    """Pieces (number 0 is the unknown one) with their log probabilities, expected uses and trie."""
 
-    def __init__(self, pieces: list[str], uses: np.ndarray):
+    def __init__(self, pieces: list[str], uses: np.ndarray, trie: Trie | None = None):
         self.pieces, self.uses = pieces, uses
         known = np.maximum(uses[1:], LEAST)
         self.logp = np.concatenate(([UNKNOWN], np.log(known) - np.log(known.sum())))
+        # a trie keeps the nodes of pieces that went, until they are more than those that stayed
+        self.trie = trie if trie is not None and trie.built < 2 * len(pieces) else self._grown()
+
+    def _grown(self) -> Trie:
+        trie = Trie(self.pieces)
+        trie.built = len(self.pieces)
+        return trie
 
     @property
     def size(self) -> int:
@@ -91,7 +98,7 @@ class Model:
     def only(self, keep: np.ndarray) -> Model:
         """The model of some of its pieces."""
         at = np.concatenate(([0], np.sort(keep)))
-        return Model([self.pieces[i] for i in at], self.uses[at])
+        return Model([self.pieces[i] for i in at], self.uses[at], self.trie.only(at))
 
 
 def seed_model(seeds: DataFrame) -> Model:
@@ -147,17 +154,13 @@ def losses(pieces: list[str], uses: np.ndarray, own: np.ndarray, trie: Trie, log
 # ---------------------------------------------------------------- Spark steps
 
 
-def _shared(spark: SparkSession, model: Model):
-    return spark.sparkContext.broadcast((model.pieces, model.logp, model.uses))
-
-
 def em_step(words: DataFrame, model: Model) -> Model:
     """One round of EM over (word, freq); pieces that are no longer used go, characters stay."""
-    bc = _shared(words.sparkSession, model)
+    bc = words.sparkSession.sparkContext.broadcast((model.trie, model.logp))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, logp, _ = bc.value
-        trie, total = Trie(pieces), np.zeros(len(pieces))
+        trie, logp = bc.value
+        total = np.zeros(len(logp))
         for b in batches:
             total += expected_uses(b.column("word").to_pylist(), b.column("freq").to_numpy(zero_copy_only=False).astype(float), trie, logp)
         # one row per piece and task: a map-side combine before the shuffle
@@ -170,16 +173,15 @@ def em_step(words: DataFrame, model: Model) -> Model:
     uses[rows["piece"].to_numpy()] = rows["uses"].to_numpy()
     uses[0] = 0.0
     single = np.array([len(p) == 1 for p in model.pieces])
-    return Model(model.pieces, uses).only(np.flatnonzero((uses > LEAST) | single))
+    return Model(model.pieces, uses, model.trie).only(np.flatnonzero((uses > LEAST) | single))
 
 
 def prune(spark: SparkSession, model: Model, keep: int) -> Model:
     """Every single character and the pieces whose loss is largest, ``keep`` in all (ties by piece)."""
-    bc = _shared(spark, model)
+    bc = spark.sparkContext.broadcast((model.trie, model.pieces, model.logp, model.uses))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, logp, uses = bc.value
-        trie = Trie(pieces)
+        trie, pieces, logp, uses = bc.value
         for b in batches:
             at = b.column("id").to_numpy()
             loss = losses([pieces[i] for i in at], uses[at], logp[at], trie, logp)
@@ -216,14 +218,13 @@ def fit_sweep(words: DataFrame, sizes: Sequence[int], seed_factor: int = SEED_FA
 def token_totals(prompt_words: DataFrame, models: dict[int, Model]) -> DataFrame:
     """Per vocabulary size: pieces reached and total tokens over the prompt words, all sizes in one pass."""
     spark = prompt_words.sparkSession
-    bc = spark.sparkContext.broadcast({size: (m.pieces, m.logp) for size, m in models.items()})
+    bc = spark.sparkContext.broadcast({size: (m.trie, m.logp) for size, m in models.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = {size: (Trie(pieces), logp) for size, (pieces, logp) in bc.value.items()}
-        total = dict.fromkeys(tries, 0)
+        total = dict.fromkeys(bc.value, 0)
         for b in batches:
             words, freq = b.column("word").to_pylist(), b.column("freq").to_numpy(zero_copy_only=False)
-            for size, (trie, logp) in tries.items():
+            for size, (trie, logp) in bc.value.items():
                 total[size] += int(piece_counts(words, trie, logp) @ freq)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["vocab_size", "tokens"])
 
@@ -244,8 +245,8 @@ def vocabulary_sweep(df: DataFrame, sizes: Sequence[int] = (4000, 8000, 16000),
 class Cutter:
     """Cuts texts after so many pieces of their words; remembers the words it has segmented."""
 
-    def __init__(self, pieces: list[str], logp: np.ndarray):
-        self.trie, self.logp, self.seen = Trie(pieces), logp, {}
+    def __init__(self, trie: Trie, logp: np.ndarray):
+        self.trie, self.logp, self.seen = trie, logp, {}
 
     def _learn(self, words: list[str]) -> None:
         if len(self.seen) > CACHED_WORDS:
@@ -277,7 +278,7 @@ class Cutter:
 def truncate_to_pieces(df: DataFrame, model: Model, budget: int, text: str = "text", out: str = "text_cut", pieces: str = "n_pieces") -> DataFrame:
     """PRJ18 in real pieces: ``text`` cut right after its ``budget``-th piece (whole where
     it has no more), and the number of pieces of the whole text. Null has none and stays null."""
-    bc = df.sparkSession.sparkContext.broadcast((model.pieces, model.logp))
+    bc = df.sparkSession.sparkContext.broadcast((model.trie, model.logp))
 
     @F.pandas_udf("struct<n:bigint,cut:bigint>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

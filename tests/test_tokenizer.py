@@ -66,6 +66,15 @@ def test_loss_is_the_best_replacement():
             assert got[i - 1] == pytest.approx(uses[i] * (math.log(PROB[p]) - other))
 
 
+def test_trie_of_some_pieces():
+    keep = np.array([0, 1, 2, 4, 7])
+    some = Trie(PIECES).only(keep)
+    fresh = Trie([PIECES[i] for i in keep])
+    for w in WORDS:
+        a, b = (sorted(zip(x.start.tolist(), x.stop.tolist(), x.p.tolist())) for x in (Lattice([w], some), Lattice([w], fresh)))
+        assert a == b
+
+
 def test_unknown_characters_count_one_each():
     assert TK.piece_counts(["▁zz", "▁日本"], Trie(["", "▁"]), np.array([TK.UNKNOWN, -1.0])).tolist() == [3, 3]
 
@@ -99,7 +108,7 @@ def test_sweep_reaches_its_sizes_and_improves(spark):
 
 
 def test_cut_against_brute_force():
-    cutter = TK.Cutter(PIECES, LOGP)
+    cutter = TK.Cutter(Trie(PIECES), LOGP)
     r = random.Random(2)
     for _ in range(200):
         text = "".join(r.choice("ab z\n\u3000") for _ in range(r.randrange(12)))

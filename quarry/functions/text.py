@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.functions.exact import exact_value
+
 # The characters Python's str.isspace() / str.split() treat as
 # whitespace (Java's \s misses most of them, Spark's trim strips only U+0020).
 WS_CLASS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -189,9 +191,9 @@ def canonical_value(x) -> Column:
     return F.coalesce(frac(FRAC_LATEX), frac(FRAC_PLAIN), F.when(v.rlike(DECIMAL), v.try_cast("double")))
 
 
-def answers_equivalent(a, b, tol: float = 1e-9) -> Column:
-    """Format-tolerant equality: numeric values within ``tol`` (relative to
-    max(1,|a|)) when both are numeric, else equal canonical text."""
-    va, vb = canonical_value(a), canonical_value(b)
-    num_eq = F.abs(va - vb) <= F.lit(tol) * F.greatest(F.lit(1.0), F.abs(va))
-    return F.when(va.isNotNull() & vb.isNotNull(), num_eq).otherwise(canonical_text(a) == canonical_text(b))
+def answers_equivalent(a, b) -> Column:
+    """Format-tolerant equality: the same exact value (``functions.exact``) when both
+    have one, else equal canonical text."""
+    ta, tb = canonical_text(a), canonical_text(b)
+    va, vb = exact_value(ta), exact_value(tb)
+    return F.when(va.isNotNull() & vb.isNotNull(), va == vb).otherwise(ta == tb)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.functions.exact import exact_value
 
 
 def predictions(
@@ -82,6 +83,20 @@ def majority_vote(votes: DataFrame, problem: str = "problem", sample: str = "sam
     ).select(problem, "answer", "votes", "samples", (F.col("votes") / F.col("samples")).alias("agreement"))
 
 
+def majority_vote_by_value(votes: DataFrame, problem: str = "problem", sample: str = "sample_idx", answer: str = "answer") -> DataFrame:
+    """AGG11 over classes of equal answers: ``3/4``, ``0.75`` and ``\\frac{3}{4}`` vote
+    together. A class is an exact value, or else a canonical text (null is a class of its
+    own); its first answer (smallest sample index, then smaller text) stands for it. Ties
+    go to the class seen first. Both aggregates combine before the shuffle."""
+    text = T.canonical_text(answer)
+    kind = F.when(F.col(answer).isNotNull(), F.coalesce(F.concat(F.lit("="), exact_value(text)), F.concat(F.lit(":"), text)))
+    seen = F.struct(F.col(sample).alias("at"), F.col(answer).alias("text"))
+    classes = votes.select(F.col(problem).alias("problem"), kind.alias("kind"), seen.alias("seen")).groupBy("problem", "kind").agg(F.count(F.lit(1)).alias("cnt"), F.min("seen").alias("first"))
+    order_key = F.struct((-F.col("cnt")).alias("neg_cnt"), F.col("first"), F.col("kind"))
+    best = classes.groupBy("problem").agg(F.min_by("first", order_key).alias("first"), F.max("cnt").cast("bigint").alias("votes"), F.sum("cnt").cast("bigint").alias("samples"))
+    return best.select(F.col("problem").alias(problem), F.col("first.text").alias(answer), "votes", "samples", (F.col("votes") / F.col("samples")).alias("agreement"))
+
+
 def best_of_n(votes: DataFrame, problem: str = "problem", sample: str = "sample_idx", answer: str = "answer", score: str = "score") -> DataFrame:
     """AGG12: answer with the highest score; ties to the smaller sample index, then
     answer. Null and NaN scores do not vote; a problem with no other keeps a null answer."""
@@ -94,9 +109,11 @@ def best_of_n(votes: DataFrame, problem: str = "problem", sample: str = "sample_
     )
 
 
-def self_consistency(votes: DataFrame, threshold: float = 0.5, **kw) -> DataFrame:
-    """AGG13: problems whose majority answer has at least ``threshold`` of the samples."""
-    return majority_vote(votes, **kw).where(F.col("agreement") >= threshold)
+def self_consistency(votes: DataFrame, threshold: float = 0.5, by_value: bool = False, **kw) -> DataFrame:
+    """AGG13: problems whose majority answer (``by_value``: class of equal answers) has at
+    least ``threshold`` of the samples."""
+    vote = majority_vote_by_value if by_value else majority_vote
+    return vote(votes, **kw).where(F.col("agreement") >= threshold)
 
 
 def rewards(pred: DataFrame, prediction: str = "prediction", answer: str = "answer", correct: float = 1.0, wrong: float = -1.0) -> DataFrame:

@@ -3,14 +3,17 @@ consistency rules V1-V8, plus the duplicate-id check.
 
 Every rule is row-local: pairs are extracted into an array column once, and
 the rules are higher-order functions over it (``forall``, ``exists``,
-``aggregate``), so validation is a single map-side pass with no shuffle.
+``aggregate``); bit puzzles alone go to an Arrow batch function that searches
+their rules. Validation is a single map-side pass with no shuffle.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions import bitrules
 from quarry.functions import numbers as N
 from quarry.functions import text as T
 
@@ -35,6 +38,8 @@ BITS8 = r"^[01]{8}$"
 # Characters allowed in symbol puzzles.
 SYMBOL_CHARS = r"^[!@#$%^&*\[\]{}\\/|<>+\-='`~,.]+$"
 NUMERAL_BASES = (2, 5, 8, 16)
+# The words that decrypted phrases are asked to use.
+PHRASE_WORDS = ("alice", "rabbit", "queen", "king", "wizard", "dragon", "mouse", "hatter", "turtle", "cat", "bird", "princess", "student", "teacher", "knight")
 
 
 def _lines(prompt: Column) -> Column:
@@ -97,24 +102,14 @@ def _tolerance(xq: Column, sx: Column, sxx: Column) -> Column:
     return F.lit(0.005) + F.lit(0.005) * F.try_divide(xq * sx, sxx)
 
 
-def _bits_consistent(allp: Column) -> Column:
-    def per_position(i):
-        """Copy, inversion or a constant: equal input bits have equal output bits.
-        These four cover XOR, AND, OR and NOT with a mask."""
-        seen = F.transform(allp, lambda p: F.substring(p["lhs"], i, 1))
-        both = F.transform(allp, lambda p: F.concat(F.substring(p["lhs"], i, 1), F.substring(p["rhs"], i, 1)))
-        return F.size(F.array_distinct(both)) == F.size(F.array_distinct(seen))
+def _bits_consistent(pairs: Column) -> Column:
+    """One rule of ``functions.bitrules`` for all pairs (null in, null out)."""
 
-    mask_ok = F.forall(F.sequence(F.lit(1), F.lit(8)), per_position)
+    @F.pandas_udf("boolean")
+    def search(p: pd.Series) -> pd.Series:
+        return p.map(bitrules.pairs_consistent).astype(object)
 
-    def rule(fn):
-        return F.exists(F.sequence(F.lit(1), F.lit(7)), lambda r: F.forall(allp, lambda p: fn(p["lhs"], r) == p["rhs"]))
-
-    rot = rule(lambda s, r: F.concat(F.substring(s, r + 1, 8), F.substring(s, 1, r)))
-    shl = rule(lambda s, r: F.concat(F.substring(s, r + 1, 8), F.repeat(F.lit("0"), r)))
-    shr = rule(lambda s, r: F.concat(F.repeat(F.lit("0"), r), F.substring(s, 1, 8 - r)))
-    well = F.forall(allp, lambda p: p["lhs"].rlike(BITS8) & p["rhs"].rlike(BITS8))
-    return well & (mask_ok | rot | shl | shr)
+    return search(pairs)
 
 
 def _char_map_consistent(allp: Column) -> Column:
@@ -155,7 +150,7 @@ def _numeral_ok(allp: Column) -> Column:
 def validation_columns(df: DataFrame, prompt: str = "prompt", answer: str = "answer", category: str = "category", raw: str | None = None) -> DataFrame:
     """Adds ``n_pairs`` and one boolean per rule (null where a rule does not apply):
 
-    v1_bits, v2_text, v3_numeric, v4_numeral, v5_symbol, v6_markers (only with
+    v1_bits, v2_text (phrases of 2 to 4 words), v2_words (decrypted words of the list), v3_numeric, v4_numeral, v5_symbol, v6_markers (only with
     ``raw``), v7_answer (recomputed numeric answer), v8_consistent."""
     p, a, c = F.col(prompt), F.col(answer), F.col(category)
     base = df.withColumn("_pairs", example_pairs(p, c)).withColumn("_q", question(p, c))
@@ -168,6 +163,7 @@ def validation_columns(df: DataFrame, prompt: str = "prompt", answer: str = "ans
         c == "text_encryption",
         (n > 0) & F.forall(allp, lambda x: F.coalesce(T.word_count(x["lhs"]).between(2, 4) & T.word_count(x["rhs"]).between(2, 4), F.lit(False))),
     )
+    v2w = F.when(c == "text_encryption", (n > 0) & F.forall(allp, lambda x: F.forall(T.words(x["rhs"]), lambda w: w.isin(*PHRASE_WORDS))))
     numbers_ok = F.forall(allp, lambda x: F.coalesce(x["lhs"].rlike(NUMBER_2DP) & x["rhs"].rlike(NUMBER_2DP), F.lit(False)))
     c_phys, sx_p, sxx_p = _fit(pairs, True)
     c_unit, sx_u, sxx_u = _fit(pairs, False)
@@ -202,11 +198,11 @@ def validation_columns(df: DataFrame, prompt: str = "prompt", answer: str = "ans
         F.when(phys, F.coalesce(v7 & ex_ok(c_phys, sx_p, sxx_p, True), F.lit(False)))
         .when(unit, F.coalesce(v7 & ex_ok(c_unit, sx_u, sxx_u, False), F.lit(False)))
         .when(c == "numeral_system", v4)
-        .when(c == "bit_manipulation", (n > 0) & F.coalesce(_bits_consistent(allp), F.lit(False)))
+        .when(c == "bit_manipulation", (n > 0) & F.coalesce(_bits_consistent(F.when(c == "bit_manipulation", allp)), F.lit(False)))
         .when(c.isin("text_encryption", "symbol_transformation"), (n > 0) & F.coalesce(_char_map_consistent(allp), F.lit(False)))
     )
     out = base.withColumn("n_pairs", n.cast("bigint"))
-    cols = {"v1_bits": v1, "v2_text": v2, "v3_numeric": v3, "v4_numeral": v4, "v5_symbol": v5, "v7_answer": v7, "v8_consistent": v8}
+    cols = {"v1_bits": v1, "v2_text": v2, "v2_words": v2w, "v3_numeric": v3, "v4_numeral": v4, "v5_symbol": v5, "v7_answer": v7, "v8_consistent": v8}
     if raw:
         r = F.col(raw)
         before = F.split_part(r, F.lit("PROMPT:"), F.lit(1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.exact import exact_value
 from quarry.operators import grade as G
 from quarry.plans import sqltext as S
 from quarry.plans import views as V
@@ -50,7 +51,7 @@ def exact_match_accuracy(spark, d):
     return G.exact_match_accuracy(_pred(spark, d))
 
 
-_MAJ = (
+MAJORITY_SQL = (
     "SELECT problem, answer, votes, samples, votes / samples AS agreement FROM ("
     "SELECT problem, answer, CAST(cnt AS BIGINT) AS votes, CAST(sum(cnt) OVER (PARTITION BY problem) AS BIGINT) AS samples, "
     "row_number() OVER (PARTITION BY problem ORDER BY cnt DESC, first_idx, answer) AS rk FROM ("
@@ -58,7 +59,7 @@ _MAJ = (
 )
 
 
-@query("majority_vote", V.with_views(_MAJ, "votes"))
+@query("majority_vote", V.with_views(MAJORITY_SQL, "votes"))
 def majority_vote(spark, d):
     """AGG11 over every problem of the votes table."""
     return G.majority_vote(V.votes(spark, d))
@@ -77,7 +78,7 @@ def best_of_n(spark, d):
     return G.best_of_n(V.votes(spark, d))
 
 
-@query("self_consistency", V.with_views(f"SELECT * FROM ({_MAJ}) WHERE agreement >= 0.5", "votes"))
+@query("self_consistency", V.with_views(f"SELECT * FROM ({MAJORITY_SQL}) WHERE agreement >= 0.5", "votes"))
 def self_consistency(spark, d):
     """AGG13: problems whose samples agree on at least half."""
     return G.self_consistency(V.votes(spark, d), 0.5)
@@ -113,3 +114,32 @@ def reward_table(spark, d):
 def error_classes(spark, d):
     """AGG15: correct / format / extraction / wrong counts."""
     return G.error_classes(_pred(spark, d))
+
+
+_EXACT = "CAST(q // gcd(q, 4) AS VARCHAR) || '/' || CAST(4 // gcd(q, 4) AS VARCHAR)"
+
+
+@query("exact_answer_value", V.with_views(f"SELECT problem, sample_idx, answer, {_EXACT} AS value FROM answer_forms", "answer_forms"))
+def exact_answer_value(spark, d):
+    """PRJ17: exact reduced value of every answer, whatever form it is written in."""
+    f = V.answer_forms(spark, d)
+    return f.select("problem", "sample_idx", "answer", exact_value(F.col("answer")).alias("value"))
+
+
+_MAJ_VALUE = (
+    "SELECT problem, answer, votes, samples, votes / samples AS agreement FROM (SELECT problem, first.t AS answer, CAST(cnt AS BIGINT) AS votes, "
+    "CAST(sum(cnt) OVER (PARTITION BY problem) AS BIGINT) AS samples, row_number() OVER (PARTITION BY problem ORDER BY cnt DESC, first) AS rk FROM ("
+    "SELECT problem, q, count(*) AS cnt, min({'s': sample_idx, 't': answer}) AS first FROM answer_forms GROUP BY problem, q)) WHERE rk = 1"
+)
+
+
+@query("majority_vote_by_value", V.with_views(_MAJ_VALUE, "answer_forms"))
+def majority_vote_by_value(spark, d):
+    """AGG11 over classes of equal answers."""
+    return G.majority_vote_by_value(V.answer_forms(spark, d))
+
+
+@query("self_consistency_by_value", V.with_views(f"SELECT * FROM ({_MAJ_VALUE}) WHERE agreement >= 0.5", "answer_forms"))
+def self_consistency_by_value(spark, d):
+    """AGG13 over classes of equal answers."""
+    return G.self_consistency(V.answer_forms(spark, d), 0.5, by_value=True)

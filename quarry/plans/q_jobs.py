@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans import jobs as J
 from quarry.plans import q_curate as QC
-from quarry.plans import q_grade as QG  # noqa: F401  (its oracles are part of the jobs')
+from quarry.plans import q_grade as QG
 from quarry.plans import q_langid as QL
 from quarry.plans import q_profile as QP  # noqa: F401
 from quarry.plans import q_synth as QS
@@ -76,16 +76,18 @@ _TRACE_SQL = V.with_views(
 JOIN batches b ON b.doc_id = t.doc_id
 WHERE b.batch NOT IN (SELECT batch FROM batches GROUP BY batch HAVING avg(defect) > 0.1)
   AND (CASE WHEN len(t.w) >= 3 THEN 1 - len(list_distinct(list_transform(range(1, len(t.w) - 1), lambda i: array_to_string(t.w[i:i + 2], ' '))))
-        / (len(t.w) - 2) ELSE 0.0 END) <= 0.3""",
+        / (len(t.w) - 2) ELSE 0.0 END) <= 0.3
+  AND t.doc_id IN (SELECT problem FROM ({QG.MAJORITY_SQL}) WHERE agreement >= 0.5)""",
     "traces",
     "batches",
+    "votes",
 )
 
 
 @query("filter_traces", _TRACE_SQL)
 def filter_traces(spark, d):
-    """JOB7: answer tag, trace length, trace repetition, batch rejection."""
-    return J.filter_traces(V.traces(spark, d), V.batches(spark, d)).select("doc_id", "trace_words")
+    """JOB7: answer tag, trace length, trace repetition, batch rejection, samples that agree."""
+    return J.filter_traces(V.traces(spark, d), V.batches(spark, d), votes=V.votes(spark, d)).select("doc_id", "trace_words")
 
 
 @query("eval_set_csv", V.with_views("SELECT id, prompt, answer, category FROM eval_set", "eval_set"))

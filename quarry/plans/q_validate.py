@@ -120,7 +120,8 @@ def _rules(with_v8: bool = True) -> dict[str, str]:
         f"CASE WHEN category = 'physics' THEN coalesce({n} > 0 AND {numbers_ok} AND regexp_matches(answer, {_NUM2}) AND {ok_p}, false) "
         f"WHEN category = 'unit_conversion' THEN coalesce({n} > 0 AND {numbers_ok} AND regexp_matches(answer, {_NUM2}) AND {ok_u}, false) END"
     )
-    out = {"v1_bits": v1, "v2_text": v2, "v3_numeric": v3, "v4_numeral": v4, "v5_symbol": v5, "v7_answer": v7}
+    v2w = f"CASE WHEN category = 'text_encryption' THEN {n} > 0 AND " + _forall("allp", f"lambda x: list_has_all([{', '.join(map(S.q, VA.PHRASE_WORDS))}], {S.words('x.rhs')})") + " END"
+    out = {"v1_bits": v1, "v2_text": v2, "v2_words": v2w, "v3_numeric": v3, "v4_numeral": v4, "v5_symbol": v5, "v7_answer": v7}
     if with_v8:
         xp, xu = _x("x", True), _x("x", False)
         ex_p = _forall("pairs", f"lambda x: abs(TRY_CAST(x.rhs AS DOUBLE) - {c_p} * {xp}) <= {_tol(xp, 'p')}")
@@ -184,12 +185,12 @@ def _rules_sql(cols: list[str]) -> str:
     return V.with_views(f"SELECT id, category, CAST(len(pairs) AS BIGINT) AS n_pairs, {sel} FROM ({_stage1(_EVAL)})", "eval_rows")
 
 
-_FORMAT_COLS = ["v1_bits", "v2_text", "v3_numeric", "v4_numeral", "v5_symbol"]
+_FORMAT_COLS = ["v1_bits", "v2_text", "v2_words", "v3_numeric", "v4_numeral", "v5_symbol"]
 
 
 @query("validate_format", _rules_sql(_FORMAT_COLS))
 def validate_format(spark, d):
-    """V1-V5: one column per format rule (null where the rule does not apply)."""
+    """V1-V5 and the word list of V2: one column per format rule (null where the rule does not apply)."""
     v = VA.validation_columns(_eval(spark, d))
     return v.select("id", "category", "n_pairs", *_FORMAT_COLS)
 

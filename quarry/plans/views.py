@@ -109,6 +109,28 @@ def votes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def answer_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Votes whose answers are quarters of a quantity, each written in one of eight forms."""
+    li = table(spark, d, "lineitem")
+    q = F.col("l_quantity").cast("bigint") % 8
+    text, whole, rest = q.cast("string"), F.floor(q / 4).cast("string"), (q % 4).cast("string")
+    forms = [
+        F.format_string("%.2f", q / 4),
+        F.concat(text, F.lit("/4")),
+        F.concat(F.lit("\\frac{"), text, F.lit("}{4}")),
+        F.concat((q * 25).cast("string"), F.lit("%")),
+        F.when((q > 4) & (q % 4 > 0), F.concat(whole, F.lit(" "), rest, F.lit("/4"))).otherwise(F.concat(text, F.lit("/4"))),
+        F.concat(F.lit("$\\dfrac{"), text, F.lit("}{4}$")),
+        F.concat((q * 250).cast("string"), F.lit("/1,000")),
+        F.concat((q * 25).cast("string"), F.lit("e-2")),
+    ]
+    return li.select(
+        F.col("l_orderkey").alias("problem"),
+        F.col("l_linenumber").cast("bigint").alias("sample_idx"),
+        F.element_at(F.array(*forms), (F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(8)) + 1).cast("int")).alias("answer"),
+    )
+
+
 def batches(spark: SparkSession, d: str) -> DataFrame:
     doc = table(spark, d, "documents").select("doc_id", "source")
     lab = table(spark, d, "labels").select("doc_id", "quality")
@@ -164,6 +186,13 @@ VIEW_SQL = {
         "SELECT l_orderkey AS problem, CAST(l_linenumber AS BIGINT) AS sample_idx, l_returnflag AS answer, "
         "l_extendedprice AS score FROM lineitem",
     ),
+    "answer_forms": (
+        [],
+        "SELECT problem, sample_idx, q, CASE f WHEN 0 THEN printf('%.2f', q / 4) WHEN 1 THEN q || '/4' WHEN 2 THEN '\\frac{' || q || '}{4}' WHEN 3 THEN (q * 25) || '%' "
+        "WHEN 4 THEN CASE WHEN q > 4 THEN (q // 4) || ' ' || (q % 4) || '/4' ELSE q || '/4' END WHEN 5 THEN '$\\dfrac{' || q || '}{4}$' "
+        "WHEN 6 THEN (q * 250) || '/1,000' ELSE (q * 25) || 'e-2' END AS answer FROM "
+        "(SELECT l_orderkey AS problem, CAST(l_linenumber AS BIGINT) AS sample_idx, CAST(l_quantity AS BIGINT) % 8 AS q, (l_orderkey + l_linenumber) % 8 AS f FROM lineitem)",
+    ),
     "batches": (
         [],
         "SELECT d.doc_id, d.source AS batch, 1 - l.quality AS defect FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",

@@ -35,6 +35,29 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_rows(docs: DataFrame, **derived: Column) -> DataFrame:
+    """The ``derived`` columns and each row of ``docs`` as one struct ``row``, so that no name of it can clash."""
+    return docs.select(*[c.alias(n) for n, c in derived.items()], F.struct(*[quoted(c) for c in docs.columns]).alias("row"))
+
+
+def fields_of(docs: DataFrame, **replaced: Column) -> list[Column]:
+    """The columns of ``docs`` out of its struct ``row``, in order, some of them replaced."""
+    return [replaced.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``docs`` has it in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def salt_of(*cols, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import let
-from quarry.llm.common import ascii_lower, read, stored
+from quarry.llm.common import ascii_lower, fields_of, quoted, read, stored, whole_rows
 from quarry.llm.registry import query
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -101,16 +101,19 @@ def remove_documents(docs: DataFrame, bench: DataFrame, n: int = 10, broadcast_d
     ``broadcast_docs`` (32 MB); beyond, the texts are shuffled to meet them."""
     bad = stored(scan(docs, bench, n).where(F.size("items") > 0).select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct(), "hits")
     few = F.broadcast(bad) if bad.count() <= broadcast_docs else bad
-    return docs.join(few, docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_key")), "left_anti")
+    rows = whole_rows(docs, doc_id=quoted("doc_id"), text_key=F.xxhash64(quoted("text")))
+    clean = rows.join(few, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.col("text_key") == F.col("_bad_key")), "left_anti")
+    return clean.select(*fields_of(docs))
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, n: int = 10) -> DataFrame:
     """Every document, the hit words cut out of its text together with what separates them from the word before."""
     hits = scan(docs, bench, n).where(F.size("items") > 0).dropDuplicates(["doc_id", "text_key"]).select(F.col("doc_id").alias("_h_id"), F.col("text_key").alias("_h_key"), F.col("spans").alias("_h_spans"))
-    j = docs.join(hits, docs["doc_id"].eqNullSafe(F.col("_h_id")) & (F.xxhash64(docs["text"]) == F.col("_h_key")), "left")
+    rows = whole_rows(docs, doc_id=quoted("doc_id"), text_key=F.xxhash64(quoted("text")))
+    j = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("_h_id")) & (F.col("text_key") == F.col("_h_key")), "left")
     raw_word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     raw_sep = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
-    text = docs["text"]
+    text = F.col("row").getField("text")
     # one part a word, with what is before it; separators after the last word are a part of their own, never hit.
     # Possessive, so that a long run of separators is read once
     parts = F.regexp_extract_all(text, F.lit(f"{raw_sep}+{raw_word}|{raw_sep[:-1]}++"), F.lit(0))
@@ -118,7 +121,7 @@ def remove_spans(docs: DataFrame, bench: DataFrame, n: int = 10) -> DataFrame:
     # positions kept: a hash-based difference, then one pass over the words
     cut = let(parts, lambda ps: F.array_join(F.transform(F.array_except(F.when(F.size(ps) > 0, F.sequence(F.lit(1), F.size(ps))).otherwise(F.array().cast("array<int>")), hit_at), lambda i: F.get(ps, i - 1)), ""))
     new = F.when(F.col("_h_key").isNull(), text).otherwise(cut)
-    return j.select(*[new.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    return j.select(*fields_of(docs, text=new))
 
 
 OP1_SQL = r"""

@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import read
+from quarry.functions.lattice import Lattice, Trie
+from quarry.llm.common import fields_of, quoted, read, whole_rows
 from quarry.llm.registry import query
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -65,118 +66,6 @@ def words_of(text: str | None) -> Counter:
     return found
 
 
-class Trie:
-    """The pieces as a flat trie: sorted (node, character) keys, walked for many strings at once."""
-
-    def __init__(self, pieces: list[str]):
-        nodes = {"": 0}
-        for p in pieces:
-            for k in range(1, len(p) + 1):
-                nodes.setdefault(p[:k], len(nodes))
-        self.longest = max(map(len, pieces), default=1)
-        self.letters = np.array(sorted({ord(c) for p in pieces for c in p} or {0}), np.uint32)
-        place = {int(c): i for i, c in enumerate(self.letters)}
-        keys = np.array([nodes[p[:-1]] * len(place) + place[ord(p[-1])] for p in nodes if p], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.child = keys[order], np.array([n for p, n in nodes.items() if p], np.int32)[order]
-        self.piece = np.full(len(nodes), -1, np.int32)
-        for i, p in enumerate(pieces):
-            if p:
-                self.piece[nodes[p]] = i
-
-    def coded(self, chars: np.ndarray) -> np.ndarray:
-        """Places of characters among the pieces' own, -1 for others."""
-        at = np.minimum(np.searchsorted(self.letters, chars), len(self.letters) - 1)
-        return np.where(self.letters[at] == chars, at, -1).astype(np.int64)
-
-    def edges(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, length, piece) of every piece in the characters; ``left``: those up to the
-        word's end. A character that is no piece itself is the unknown one, number 0."""
-        at, node = np.arange(len(codes), dtype=np.int64), np.zeros(len(codes), np.int64)
-        out = []
-        for k in range(self.longest):
-            more = left[at] > k
-            at, node = at[more], node[more]
-            c = codes[at + k]
-            key = node * len(self.letters) + c
-            slot = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-            found = (self.keys[slot] == key) & (c >= 0) if len(self.keys) else np.zeros(len(at), bool)
-            if not k:
-                alone = found.copy()
-                alone[found] = self.piece[self.child[slot[found]]] >= 0
-                unknown = at[~alone]
-                out.append((unknown, np.ones(len(unknown), np.int64), np.zeros(len(unknown), np.int32)))
-            at, node = at[found], self.child[slot[found]].astype(np.int64)
-            p = self.piece[node]
-            whole = p >= 0
-            out.append((at[whole], np.full(int(whole.sum()), k + 1, np.int64), p[whole]))
-            if not len(at):
-                break
-        return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def _log_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log of the sum of exponentials of each run of rows that begins at ``first``."""
-    top = np.maximum.reduceat(values, first, axis=0)
-    runs = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(values))))
-    return top + np.log(np.add.reduceat(np.exp(values - top[runs]), first, axis=0))
-
-
-class Lattice:
-    """All segmentations of a list of words. Positions of all words lie in one line; edges are grouped by the position in their word."""
-
-    def __init__(self, words: list[str], trie: Trie):
-        marked = [MARK + w for w in words]
-        length = np.array([len(w) for w in marked], np.int64)
-        chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.base = np.concatenate(([0], np.cumsum(length + 1)))[:-1]  # a word has a position more than letters
-        self.end = self.base + length
-        self.size = int(length.sum() + len(words))
-        word = np.repeat(np.arange(len(words)), length)
-        place = np.arange(len(chars)) - np.repeat(np.cumsum(length) - length, length)
-        start, size, self.p = trie.edges(trie.coded(chars), length[word] - place)
-        self.start = self.base[word[start]] + place[start]
-        self.stop, self.into, self.out = self.start + size, place[start] + size, place[start]
-
-    def _runs(self, by: np.ndarray, node: np.ndarray):
-        """(edges, first of each node's run, nodes) for each value of ``by``, ascending."""
-        order = np.lexsort((node, by))
-        steps = np.flatnonzero(np.diff(by[order], prepend=-1))
-        for a, b in zip(steps, np.append(steps[1:], len(order))):
-            rows = order[a:b]
-            first = np.flatnonzero(np.diff(node[rows], prepend=-1))
-            yield rows, first, node[rows[first]]
-
-    def forward(self, logp: np.ndarray, seeds: np.ndarray | None = None) -> np.ndarray:
-        """Log of the sum over all ways to each position, a column per language. ``seeds`` are
-        the sums at the first positions of a single word that goes on from an earlier block."""
-        alpha = np.full((self.size, logp.shape[1]), -np.inf)
-        alpha[self.base] = 0.0
-        known = 0
-        if seeds is not None:
-            known = len(seeds) - 1
-            alpha[: len(seeds)] = seeds
-        for rows, first, nodes in self._runs(self.into, self.stop):
-            if self.into[rows[0]] > known:
-                alpha[nodes] = _log_sums(alpha[self.start[rows]] + logp[self.p[rows]], first)
-        return alpha
-
-    def log_likelihood(self, logp: np.ndarray) -> np.ndarray:
-        """One row per word, one column per language."""
-        return self.forward(logp)[self.end]
-
-    def expected(self, logp: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in ``count`` copies of the words, for one language."""
-        alpha = self.forward(logp[:, None])[:, 0]
-        beta = np.full(self.size, -np.inf)
-        beta[self.end] = 0.0
-        for rows, first, nodes in reversed(list(self._runs(self.out, self.start))):
-            beta[nodes] = _log_sums((logp[self.p[rows]] + beta[self.stop[rows]])[:, None], first)[:, 0]
-        word = np.searchsorted(self.base, self.start, side="right") - 1
-        share = np.exp(alpha[self.start] + logp[self.p] + beta[self.stop] - alpha[self.end][word])
-        return np.bincount(self.p, share * count[word], len(logp))
-
-
 def settle(words: list[str], trie: Trie, logp: np.ndarray) -> np.ndarray:
     """Log-likelihood of each word, a column per language: short ones in chunks, a long one block by block."""
     out, held, letters = np.zeros((len(words), logp.shape[1])), [], 0
@@ -187,23 +76,23 @@ def settle(words: list[str], trie: Trie, logp: np.ndarray) -> np.ndarray:
         held.append(i)
         letters += len(words[i])
         if letters > CHUNK:
-            out[held] = Lattice([words[j] for j in held], trie).log_likelihood(logp)
+            out[held] = Lattice([MARK + words[j] for j in held], trie).log_likelihood(logp)
             held, letters = [], 0
     if held:
-        out[held] = Lattice([words[j] for j in held], trie).log_likelihood(logp)
+        out[held] = Lattice([MARK + words[j] for j in held], trie).log_likelihood(logp)
     return out
 
 
 def _settle_long(word: str, trie: Trie, logp: np.ndarray) -> np.ndarray:
     """A block begins ``longest`` letters before the last one's end, at sums that are known."""
     back, total = trie.longest, np.zeros(logp.shape[1])
-    alpha = Lattice([word[:LONG]], trie).forward(logp)
+    alpha = Lattice([MARK + word[:LONG]], trie).forward(logp)
     for at in range(LONG, len(word), LONG):
         seeds = alpha[-(back + 1) :]
         least = seeds.max(0)
         total, seeds = total + least, seeds - least
         # the mark in front of a block takes the place of a letter whose edges are all known
-        alpha = Lattice([word[at - back + 1 : at + LONG]], trie).forward(logp, seeds)
+        alpha = Lattice([MARK + word[at - back + 1 : at + LONG]], trie).forward(logp, seeds)
     return total + alpha[-1]
 
 
@@ -232,7 +121,7 @@ def fit(labelled: DataFrame, pieces: list[str], rows_per_language: int = ROWS_PE
     def fit_language(key: tuple, words: pd.DataFrame) -> pd.DataFrame:
         vocab = shared.value
         words = words[words["word"].str.len() <= LONG].sort_values("word")
-        lattice = Lattice(words["word"].tolist(), Trie(vocab))
+        lattice = Lattice([MARK + w for w in words["word"]], Trie(vocab))
         count, prob = words["n"].to_numpy(float), np.full(len(vocab), 1.0 / len(vocab))
         for _ in range(rounds if len(words) else 0):
             uses = lattice.expected(np.log(prob), count)
@@ -294,8 +183,7 @@ def _scored(docs: DataFrame, pieces: list[str], langs: list[str], prob: np.ndarr
                 out += score(s.iloc[a : a + 256])
             yield pd.DataFrame(out, columns=["lang", "score"])
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return docs.select(row.alias("row"), run(F.col(f"`{text}`")).alias("p"))
+    return whole_rows(docs, p=run(quoted(text)))
 
 
 def predict(docs: DataFrame, pieces: list[str], langs: list[str], prob: np.ndarray, text: str = "text") -> DataFrame:
@@ -323,7 +211,7 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.5, vocabulary: str = VOCABULARY) -> DataFrame:
     """Documents whose language is known with at least ``min_score``."""
     scored = _scored(docs, *learned(docs, vocabulary), "text").where((F.col("p.lang") != "und") & (F.col("p.score") >= min_score))
-    return scored.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return scored.select(*fields_of(docs))
 
 
 @query("op4_language_id")

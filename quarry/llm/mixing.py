@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hex8_to_long, seeded_hash
-from quarry.llm.common import read
+from quarry.llm.common import fields_of, quoted, read, whole_rows
 from quarry.llm.registry import query
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -74,8 +74,9 @@ def with_copies(docs: DataFrame, weights=(1, 2, 3), seed: int = SEED, broadcast_
 
 def mix(docs: DataFrame, weights=(1, 2, 3), seed: int = SEED) -> DataFrame:
     """The mixed documents: every column of ``docs``, each row as often as the mix takes it."""
-    m = with_copies(docs, weights, seed).where("_copies > 0")
-    return m.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    rows = whole_rows(docs, doc_id=quoted("doc_id"), source=quoted("source"), text=quoted("text"))
+    m = with_copies(rows, weights, seed).where("_copies > 0")
+    return m.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*fields_of(docs))
 
 
 OP3_SQL = r"""

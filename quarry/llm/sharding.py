@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import read, running_total, salt_of, stored
+from quarry.llm.common import fresh, quoted, read, running_total, salt_of, stored
 from quarry.llm.registry import query
 
 SHARDS = 8
@@ -156,11 +156,12 @@ def with_shards(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -
     so every row gets a key in a written copy; keys and text digests are placed,
     and the places are joined to the rows once, by the key."""
     keyed = docs.drop("shard", "slot")
-    names = keyed.columns
-    keyed = stored(keyed.withColumn("_rowkey", F.monotonically_increasing_id()), "shardtexts")
-    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    places = assign(keyed.select("doc_id", digest.alias("g"), "_rowkey"), n_shards, rounds).select("_rowkey", "shard", F.col("slot").cast("bigint").alias("slot"))
-    return keyed.join(places, "_rowkey").select(*names, "shard", "slot")
+    names, key = keyed.columns, fresh(docs, "rowkey_")
+    keyed = stored(keyed.withColumn(key, F.monotonically_increasing_id()), "shardtexts")
+    digest = F.unhex(F.sha2(F.coalesce(quoted("text"), F.lit("")).cast("binary"), 256))
+    placed = assign(keyed.select("doc_id", digest.alias("g"), F.col(key).alias("rowkey_")), n_shards, rounds)
+    places = placed.select(F.col("rowkey_").alias(key), F.col("shard"), F.col("slot").cast("bigint").alias("slot"))
+    return keyed.join(places, key).select(*[quoted(c) for c in names], "shard", "slot")
 
 
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:

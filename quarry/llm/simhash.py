@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import connected_components, read, salt_of, stored
+from quarry.llm.common import connected_components, fields_of, quoted, read, salt_of, stored, whole_rows
 from quarry.llm.registry import query
 
 SHINGLE = 4
@@ -270,7 +270,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, k: int = MAX_BITS, broadca
     gone, parted, again = per_id.agg(F.count_if(~F.col("all_stay")), F.count_if(part), F.count_if(F.col("n") > 1)).first()
     small = lambda ids, n: F.broadcast(ids) if n <= broadcast_ids else ids
     drop = per_id.where(~F.col("all_stay")).select(F.col("doc_id").alias("_gone"))
-    named = docs.where("doc_id is not null")
+    whole = whole_rows(docs, doc_id=quoted("doc_id"), text=quoted("text"))
+    kind = whole.schema["row"].dataType.simpleString()
+    # equal rows: by the whole row, or by its text form where a map in it cannot be compared
+    same = F.sha2(F.to_json("row"), 256) if "map<" in kind else F.col("row")
+    once = lambda rows: rows.withColumn("same", same).dropDuplicates(["same"]).drop("same")
+    named = whole.where("doc_id is not null")
     kept = named.join(small(drop, gone), F.col("doc_id") == F.col("_gone"), "left_anti")
 
     @F.pandas_udf("bigint")
@@ -281,18 +286,17 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, k: int = MAX_BITS, broadca
     if parted:  # ids that also occur in a group they do not name: row by row, by fingerprint
         ids = per_id.where(part).select(F.col("doc_id").alias("_parted"))
         stay = groups.where(names).select(F.col("doc_id").alias("_own"), F.col("fp").alias("_ownfp")).distinct()
-        rows = named.join(small(ids, parted), F.col("doc_id") == F.col("_parted"), "left_semi").dropDuplicates().withColumn("_fp", fp)
+        rows = named.join(small(ids, parted), F.col("doc_id") == F.col("_parted"), "left_semi").transform(once).withColumn("_fp", fp)
         kept = kept.unionByName(rows.join(stay, (F.col("doc_id") == F.col("_own")) & (F.col("_fp") == F.col("_ownfp")), "left_semi").drop("_fp"))
-    kept = kept.dropDuplicates() if again else kept
+    kept = once(kept) if again else kept
     lone = stored(groups.where("doc_id is null and component_id is null").select(F.col("fp").alias("_lonefp"), F.col("root").alias("_root")).distinct(), "fplone")
     if lone.take(1):  # groups without an id: the smallest row of each fingerprint, then of each group
-        row = F.struct(*docs.columns)
-        rank = F.struct(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256), F.sha2(F.to_json(row), 256))
-        least = docs.where("doc_id is null").select(fp.alias("_fp"), row.alias("_row"), rank.alias("_rank"))
+        rank = F.struct(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256), F.sha2(F.to_json("row"), 256))
+        least = whole.where("doc_id is null").select(fp.alias("_fp"), F.col("row").alias("_row"), rank.alias("_rank"))
         least = least.groupBy("_fp").agg(F.min("_rank").alias("_rank"), F.min_by("_row", "_rank").alias("_row"))
         least = least.join(lone, F.col("_fp") == F.col("_lonefp")).groupBy("_root").agg(F.min_by("_row", "_rank").alias("_row"))
-        kept = kept.unionByName(least.select("_row.*"))
-    return kept
+        kept = kept.select("row").unionByName(least.select(F.col("_row").alias("row")))
+    return kept.select(*fields_of(docs))
 
 
 @query("op6_simhash")

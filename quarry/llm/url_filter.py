@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import UPPER, LOWER, read
+from quarry.llm.common import LOWER, UPPER, fresh, quoted, read
 from quarry.llm.registry import query
 
 # Fixed values: (verdict, host, path); a rule fits its host and all subdomains, paths that start with its path.
@@ -101,7 +101,7 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def judge(pages: DataFrame, rules=RULES, blocked=BLOCKED, url: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule and verdict added; the longest fitting rule wins
+    """``pages`` with host, path, rule and verdict added (columns of these names are replaced, others left alone); the longest fitting rule wins
     (ties: the longer host, then the rule's text), else any blocked glob blocks."""
     globs, owner = [], []
     for i, (_, host, path) in enumerate(rules):
@@ -112,13 +112,14 @@ def judge(pages: DataFrame, rules=RULES, blocked=BLOCKED, url: str = "url") -> D
     best_of = F.array(*[F.lit(place[o]) for o in owner])
     names = F.array(*[F.lit(rules[r][1] + rules[r][2]) for r in rank])
     verdicts = F.array(*[F.lit(rules[r][0]) for r in rank])
-    host, path = url_parts(F.col(url))
+    host, path = url_parts(quoted(url))
+    found, first = fresh(pages, "hits_"), fresh(pages, "best_")
     p = pages.withColumn("host", host).withColumn("path", path)
-    p = p.withColumn("_hits", matched_globs(F.concat("host", F.lit("#"), "path"), globs + blocked))
-    best = F.array_min(F.transform(F.filter("_hits", lambda h: h < len(globs)), lambda h: F.get(best_of, h)))
-    p = p.withColumn("_best", best)
-    fallback = F.when(F.exists("_hits", lambda h: h >= len(globs)), "block").otherwise("allow")
-    return p.withColumn("rule", F.get(names, F.col("_best"))).withColumn("verdict", F.coalesce(F.get(verdicts, F.col("_best")), fallback)).drop("_hits", "_best")
+    p = p.withColumn(found, matched_globs(F.concat("host", F.lit("#"), "path"), globs + blocked))
+    best = F.array_min(F.transform(F.filter(found, lambda h: h < len(globs)), lambda h: F.get(best_of, h)))
+    p = p.withColumn(first, best)
+    fallback = F.when(F.exists(found, lambda h: h >= len(globs)), "block").otherwise("allow")
+    return p.withColumn("rule", F.get(names, F.col(first))).withColumn("verdict", F.coalesce(F.get(verdicts, F.col(first)), fallback)).drop(found, first)
 
 
 def _like(rule):

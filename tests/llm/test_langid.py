@@ -30,7 +30,7 @@ def exact(word, k):
 
 def test_forward_sums_all_segmentations():
     words = ["abc", "zab", "a", "é日", "b" * 9 + "c"]
-    ll = L.Lattice(words, L.Trie(PIECES)).log_likelihood(np.log(PROB))
+    ll = L.Lattice(["▁" + w for w in words], L.Trie(PIECES)).log_likelihood(np.log(PROB))
 
     def brute(s, k):
         ids, total = {p: i for i, p in enumerate(PIECES) if p}, 0.0
@@ -65,7 +65,7 @@ def test_expected_uses_match_a_derivative():
     """Expected uses of a piece are the derivative of the log-likelihood by its log-probability."""
     pieces = ["", "a", "ab", "b", "▁", "ba"]
     prob = np.array([0.01, 0.3, 0.2, 0.2, 0.2, 0.09])
-    lat, count = L.Lattice(["abab", "bab", "xba"], L.Trie(pieces)), np.array([2.0, 5.0, 1.0])
+    lat, count = L.Lattice(["▁abab", "▁bab", "▁xba"], L.Trie(pieces)), np.array([2.0, 5.0, 1.0])
     uses = lat.expected(np.log(prob), count)
     for p in range(len(pieces)):
         up, down = np.log(prob), np.log(prob)

@@ -9,8 +9,12 @@ inside a base span. Words rank by their place in a public vocabulary (a path;
 read by the driver and broadcast).
 
 A regular expression in the JVM first finds the texts that can hold a span at
-all; only those go to Python. Null text counts as empty: no spans. Repeated
-rows get equal results. Offsets count code points, ends are exclusive.
+all; only those go to Python. Null and empty texts have no spans, an empty table
+no rows. Repeated rows get equal results, a null doc_id stays null. Texts are
+read whole, values too: the segmentation stops early only where its cost has
+passed ``min_guesses``. Spans that tie in their start keep the order of the
+kinds. Of the input only ``doc_id`` and ``text`` are read, so no other column can
+clash. Offsets count code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -65,63 +69,163 @@ def load_words(path: str = VOCABULARY) -> dict[str, int]:
     return words
 
 
+YEAR = re.compile(r"(?:19|20)\d\d", re.A)
+DATES = [
+    re.compile(p, re.A)
+    for p in (r"(0[1-9]|[12]\d|3[01])([-/.]?)(0[1-9]|1[0-2])\2(?:19|20)\d\d", r"(0[1-9]|1[0-2])([-/.]?)(0[1-9]|[12]\d|3[01])\2(?:19|20)\d\d", r"(?:19|20)\d\d([-/.]?)(0[1-9]|1[0-2])\1(0[1-9]|[12]\d|3[01])")
+]
+
+
 def _dates(v: str, i: int):
-    """Ends and costs of dates that start at i."""
-    d = re.compile(r"(?:19|20)\d\d").match(v, i)
-    if d:
-        yield d.end(), _log(200)
-    for p in (r"(0[1-9]|[12]\d|3[01])([-/.]?)(0[1-9]|1[0-2])\2(?:19|20)\d\d", r"(0[1-9]|1[0-2])([-/.]?)(0[1-9]|[12]\d|3[01])\2(?:19|20)\d\d", r"(?:19|20)\d\d([-/.]?)(0[1-9]|1[0-2])\1(0[1-9]|[12]\d|3[01])"):
-        m = re.compile(p).match(v, i)
-        if m:
+    """Ends and costs of years and dates that start at i."""
+    if m := YEAR.match(v, i):
+        yield m.end(), _log(200)
+    for p in DATES:
+        if m := p.match(v, i):
             yield m.end(), _log(372) + _log(200)
 
 
 def _char_cost(c: str) -> float:
-    return 1.0 if c.isdigit() else _log(26) if c.isalpha() and c.isascii() else _log(33) if c.isascii() else _log(1000)
-
-
-def guess_cost(value: str, words: dict[str, int], longest: int = 24) -> float:
-    """log10 of the guesses the cheapest segmentation needs; each further segment doubles them.
-
-    Linear in the value: word candidates are at most ``longest`` characters, the
-    length of the longest word; repeats, sequences and walks are tried at their full run."""
+    return 1.0 if c in "0123456789" else _log(26) if c.isalpha() and c.isascii() else _log(33) if c.isascii() else _log(1000)
+
+
+def _agree(v: str, a: int, b: int, way: int) -> int:
+    """How many characters from a and from b on (way 1) or before them (way -1) agree."""
+    most = len(v) - max(a, b) if way > 0 else min(a, b)
+    size, got = 1, 0
+    while got < most:  # doubling slices, then halving ones
+        k = min(size, most - got)
+        x, y = (a + got, b + got) if way > 0 else (a - got - k, b - got - k)
+        if v[x : x + k] == v[y : y + k]:
+            got, size = got + k, size * 2
+        elif k == 1:
+            break
+        else:
+            most, size = got + k - 1, max(1, k // 2)
+    return got
+
+
+def repeats(v: str) -> list[tuple[int, int, int]]:
+    """Every (start, end, period) of a longest stretch with that smallest period,
+    at least two periods long. A stretch of period p agrees with itself p further
+    on at some multiple of p, so n/p places are tried for each p."""
+    n, found = len(v), []
+    seen: dict[int, list[tuple[int, int, int]]] = {}  # the stretches that cover a tried place
+    for p in range(1, n // 2 + 1):
+        t = 0
+        while t + p < n:
+            if v[t] == v[t + p] and not any(p % q == 0 and l <= t and t + p < r for l, r, q in seen.get(t, ())):
+                l = t - _agree(v, t, t + p, -1)
+                r = t + p + _agree(v, t, t + p, 1)
+                if r - l >= 2 * p:
+                    found.append((l, r, p))
+                    if r - l >= 4 * p:  # only these hold stretches of a multiple of p
+                        for i in range(l, r - p):
+                            seen.setdefault(i, []).append((l, r, p))
+                    t = max(t, (r - p) // p * p)
+            t += p
+    return found
+
+
+class _Starts:
+    """Starts of one kind of run that may still be the cheapest: a run of m steps
+    adds log m, so a later start wins early or, at a lower cost, for good."""
+
+    def __init__(self) -> None:
+        self.live: list[tuple[float, int]] = []
+
+    def add(self, cost: float, start: int) -> None:
+        while self.live and self.live[-1][0] >= cost:
+            self.live.pop()
+        self.live.append((cost, start))
+
+    def least(self, end: int, period: int = 1) -> float:
+        low, kept = math.inf, []
+        for cost, start in self.live:
+            f = cost + _log((end - start) // period)
+            if f < low:
+                low = f
+                kept.append((cost, start))
+        self.live = kept
+        return low
+
+
+def guess_cost(value: str, words: dict[str, int], longest: int | None = None, limit: float = math.inf, _units: dict[str, float] | None = None) -> float:
+    """log10 of the guesses that the cheapest segmentation needs; each further segment doubles them.
+
+    Segments: words (``longest`` characters at most, by default the longest of
+    ``words``), years and dates, a unit of any length repeated (the cheapest
+    segmentation of the unit, and log of the count; three characters or more),
+    ascending and descending characters and keyboard walks of three or more (any
+    part of a run), and brute force by character class. Above ``limit`` the cost
+    is not followed: the result is then ``limit`` or more, not the exact cost."""
     n, low = len(value), value.lower()
+    longest = max(map(len, words), default=0) if longest is None else longest
+    units = {} if _units is None else _units
+    if len(low) != n:  # a few capitals have lower-case forms of two characters
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(LEET)
     step = _log(2)
     best = [0.0] + [math.inf] * n
     brute = [math.inf] * (n + 1)  # cheapest cost that ends inside a brute-force span
-
-    def runs(test):
-        """For each i the end of the run of steps that pass from i."""
-        end = list(range(1, n + 1))
-        for i in range(n - 2, -1, -1):
-            if test(i):
-                end[i] = end[i + 1]
-        return end
-
-    same = runs(lambda i: value[i] == value[i + 1])
-    up = runs(lambda i: value[i].isalnum() and ord(value[i + 1]) - ord(value[i]) == 1)
-    down = runs(lambda i: value[i].isalnum() and ord(value[i]) - ord(value[i + 1]) == 1)
-    walk = runs(lambda i: (low[i], low[i + 1]) in NEXT_KEYS)
-    for i in range(n):
-        here = best[i] + (step if i else 0.0)
-        c = _char_cost(value[i])
-        brute[i + 1] = min(here, brute[i]) + c
-        best[i + 1] = min(best[i + 1], brute[i + 1])
-        for j in range(i + 3, min(n, i + longest) + 1):
+    chars = [_char_cost(c) for c in value]
+    rise = [ord(value[i + 1]) - ord(value[i]) if value[i].isalnum() else 0 for i in range(n - 1)]
+    links = (  # linked neighbours, cost of the first character, cost of each character
+        ([x == 1 for x in rise], lambda i: chars[i], 0.0),
+        ([x == -1 for x in rise], lambda i: chars[i] + step, 0.0),
+        ([(low[i], low[i + 1]) in NEXT_KEYS for i in range(n - 1)], lambda i: _log(47) + step, step / 3),
+    )
+    lines = [_Starts() for _ in links]
+    todo = sorted(repeats(value), reverse=True)
+    open_runs: list[tuple[int, int, int, dict[int, _Starts]]] = []
+    here = [math.inf] * (n + 1)
+
+    def unit_cost(u: str) -> float:
+        if u not in units:
+            units[u] = _char_cost(u) if len(u) == 1 else guess_cost(u, words, longest, limit, units)
+        return units[u]
+
+    for j in range(n + 1):
+        # spans that end at j
+        best[j] = min(best[j], brute[j])
+        for (linked, first, each), starts in zip(links, lines):
+            if j < 3 or not linked[j - 2]:
+                starts.live.clear()
+                continue
+            if linked[j - 3] and here[j - 3] < limit:
+                starts.add(here[j - 3] + first(j - 3) - each * (j - 3), j - 3)
+            if starts.live:
+                best[j] = min(best[j], starts.least(j) + each * j)
+        while todo and todo[-1][0] <= j:
+            l, r, p = todo.pop()
+            open_runs.append((l, r, p, {}))
+        if open_runs:
+            open_runs = [x for x in open_runs if x[1] >= j]
+        for l, _, p, classes in open_runs:
+            i = j - max(2 * p, 3)
+            if i >= l:
+                starts = classes.setdefault(j % p, _Starts())
+                if here[i] < limit:
+                    starts.add(here[i] + unit_cost(value[i : i + p]), i)
+                if starts.live:
+                    best[j] = min(best[j], starts.least(j, p))
+        if j == n:
+            break
+        # spans that start at j
+        here[j] = best[j] + (step if j else 0.0)
+        brute[j + 1] = min(here[j], brute[j]) + chars[j]
+        if here[j] >= limit:
+            continue
+        for e in range(j + 3, min(n, j + longest) + 1):
             for form, extra in ((low, 0.0), (plain, 1.0)):
-                rank = words.get(form[i:j])
+                rank = words.get(form[j:e])
                 if rank:
-                    caps = 0.0 if value[i:j].islower() or not value[i:j].isalpha() else step if value[i:j].istitle() or value[i:j].isupper() else step * 3
-                    best[j] = min(best[j], here + _log(rank + 1) + extra * step + caps)
+                    caps = 0.0 if value[j:e].islower() or not value[j:e].isalpha() else step if value[j:e].istitle() or value[j:e].isupper() else step * 3
+                    best[e] = min(best[e], here[j] + _log(rank + 1) + extra * step + caps)
                     break
-        for end, base in ((same, c), (up, c), (down, c + step), (walk, _log(47) + step)):
-            j = end[i]
-            if j - i >= 3:
-                best[j] = min(best[j], here + base + _log(j - i) + (0.0 if end is not walk else step * (j - i) / 3))
-        if value[i].isdigit():
-            for j, cost in _dates(value, i):
-                best[j] = min(best[j], here + cost)
+        if value[j].isdigit():
+            for e, cost in _dates(value, j):
+                best[e] = min(best[e], here[j] + cost)
     return best[n]
 
 
@@ -132,26 +236,30 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def context_spans(text: str, base, words: dict[str, int], min_guesses: float) -> list[tuple[int, int, str]]:
-    out = []
+def context_spans(text: str, base, words: dict[str, int], longest: int, min_guesses: float) -> list[tuple[int, int, str]]:
+    out, at, covered = [], 0, 0
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip(".,;:)]}")
         a, b = m.start(1), m.start(1) + len(value)
-        if len(value) >= 6 and not any(s <= a and b <= e for s, e, _ in base) and guess_cost(value, words) >= min_guesses:
+        while at < len(base) and base[at][0] <= a:  # both lists ascend: how far base spans from a or before it reach
+            covered, at = max(covered, base[at][1]), at + 1
+        if len(value) >= 6 and b > covered and guess_cost(value, words, longest, min_guesses) >= min_guesses:
             out.append((a, b, "guess"))
     return out
 
 
 def scan(docs: DataFrame, vocabulary: str = VOCABULARY, min_guesses: float = MIN_GUESSES) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base (spans as kind:start:end) and spans, for every row."""
-    words = docs.sparkSession.sparkContext.broadcast(load_words(vocabulary))
+    ranks = load_words(vocabulary)
+    longest = max(map(len, ranks), default=0)
+    words = docs.sparkSession.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("struct<n_assign:bigint,n_access:bigint,n_hex:bigint,base:string,spans:string>")
     def run(s: pd.Series) -> pd.DataFrame:
         rows = []
         for t in s:
             base = base_spans(t) if t else []
-            more = context_spans(t, base, words.value, min_guesses) if t else []
+            more = context_spans(t, base, words.value, longest, min_guesses) if t else []
             every = sorted(base + more, key=lambda x: (x[0], [*KINDS, "guess"].index(x[2]), x[1]))
             say = [",".join(f"{k}:{a}:{b}" for a, b, k in x) for x in (base, every)]
             rows.append([sum(k == x for _, _, k in base) for x in KINDS] + say)

@@ -1,6 +1,9 @@
+import functools
 import itertools
 import math
+import random
 import re
+import time
 
 from quarry.llm import secrets as S
 from quarry.llm.common import read
@@ -59,15 +62,94 @@ def test_cost_is_the_cheapest_segmentation():
     assert S.guess_cost("p4ssw0rd", words) < 2
     assert S.guess_cost("", words) == 0
 
-    # brute force over all cuts into words and brute-force spans
-    step = math.log10(2)
-    for v in ("dogxcat", "xdogq", "catdogcat", "zzcat"):
-        best = math.inf
-        for cuts in itertools.product((0, 1), repeat=len(v) - 1):
-            at = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(v)]
-            parts = [v[a:b] for a, b in zip(at, at[1:])]
-            best = min(best, sum(min(math.log10(words[p] + 1) if p in words else math.inf, len(p) * math.log10(26)) for p in parts) + step * (len(parts) - 1))
-        assert abs(S.guess_cost(v, words) - best) < 1e-9
+
+def brute_span(v, words):
+    """Cheapest cost of v as one span, each kind from its definition."""
+    step, n, low = math.log10(2), len(v), v.lower()
+    cost = lambda c: 1.0 if c.isdigit() else math.log10(26 if c.isalpha() else 33)
+    found = [sum(map(cost, v))]
+    for form, extra in ((low, 0), (low.translate(S.LEET), step)):
+        if n >= 3 and form in words and (extra == 0 or low not in words):
+            caps = 0 if v.islower() or not v.isalpha() else step if v.istitle() or v.isupper() else 3 * step
+            found.append(math.log10(words[form] + 1) + extra + caps)
+    if re.fullmatch(r"(19|20)\d\d", v):
+        found.append(math.log10(200))
+    day, month, year = "(0[1-9]|[12][0-9]|3[01])", "(0[1-9]|1[0-2])", "(19|20)[0-9][0-9]"
+    if any(re.fullmatch(sep.join(x), v) for sep in ("", "-", "/", "[.]") for x in ((day, month, year), (month, day, year), (year, month, day))):
+        found.append(math.log10(372) + math.log10(200))
+    found += [brute_cost(v[:p], words) + math.log10(n // p) for p in range(1, n // 2 + 1) if n >= 3 and n % p == 0 and v == v[:p] * (n // p)]
+    pairs = list(zip(v, v[1:]))
+    if n >= 3:
+        for d, extra in ((1, 0), (-1, step)):
+            if all(a.isalnum() and ord(b) - ord(a) == d for a, b in pairs):
+                found.append(cost(v[0]) + extra + math.log10(n))
+        if all((a, b) in S.NEXT_KEYS for a, b in zip(low, low[1:])):
+            found.append(math.log10(47) + step + math.log10(n) + step * n / 3)
+    return min(found)
+
+
+@functools.lru_cache(None)
+def _brute_cost(v, items):
+    words, step = dict(items), math.log10(2)
+    best = math.inf
+    for cuts in itertools.product((0, 1), repeat=len(v) - 1):
+        at = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(v)]
+        best = min(best, sum(spans(v[a:b], items) for a, b in zip(at, at[1:])) + step * (len(at) - 2))
+    return best
+
+
+@functools.lru_cache(None)
+def spans(v, items):
+    return brute_span(v, dict(items))
+
+
+def brute_cost(v, words):
+    return _brute_cost(v, tuple(words.items()))
+
+
+def test_cost_is_the_minimum_over_all_segmentations():
+    words = {"dog": 5, "cat": 9, "aab": 40, "password": 1, "aa1": 7, "dad": 300}
+    draw = random.Random(5)
+    values = ["dogxcat", "xdogq", "catdogcat", "zzcat", "xq7xq7xq7", "222201901", "aaaadog", "333311999", "abab4b4b4", "qweqweqwe", "12321", "d4dDoGCAT"]
+    values += ["".join(draw.choice(letters) for _ in range(draw.randint(1, 9))) for letters in ("ab", "abc", "aB1", "123", "0129", "qwer", "dogcat", "20191", "1-209", "ab!Z", "a4@d") for _ in range(25)]
+    for v in values:
+        assert abs(S.guess_cost(v, words) - brute_cost(v, words)) < 1e-9, v
+        at = draw.uniform(1, 8)  # with a limit the decision stays the same
+        assert (S.guess_cost(v, words, limit=at) >= at) == (brute_cost(v, words) >= at), v
+
+
+def test_repeats_and_parts_of_runs():
+    words = {"apple": 4000}
+    for v, most in (("xq7xq7xq7xq7", 4.5), ("22220190101", 6.66), ("333331031999", 6.78)):
+        assert S.guess_cost(v, words) <= most, v
+    assert S.guess_cost("aaaapple", words) <= math.log10(26 * 3) + math.log10(2) + math.log10(4001) + 1e-9
+
+    def slow(v):
+        out = set()
+        for p in range(1, len(v) // 2 + 1):
+            for i in range(len(v) - 2 * p + 1):
+                if all(v[k] == v[k + p] for k in range(i, i + p)):
+                    a, b = i, i + 2 * p
+                    while a and v[a - 1] == v[a - 1 + p]:
+                        a -= 1
+                    while b < len(v) and v[b] == v[b - p]:
+                        b += 1
+                    if not any(q < p and p % q == 0 and x <= a and b <= y for x, y, q in out):
+                        out.add((a, b, p))
+        return out
+
+    draw = random.Random(2)
+    for _ in range(400):
+        v = "".join(draw.choice("ab" if draw.random() < 0.5 else "abc") for _ in range(draw.randint(0, 24)))
+        assert sorted(S.repeats(v)) == sorted(slow(v)), v
+
+
+def test_long_values_take_bounded_time():
+    words = S.load_words()
+    t0 = time.perf_counter()
+    for v in ("a" * 20000, "ab" * 10000, "a" * 9000 + "b" + "a" * 9000, "".join(random.Random(1).choice("abcXYZ019!") for _ in range(20000)), "qwerty" * 3000):
+        S.guess_cost(v, words, limit=S.MIN_GUESSES)
+    assert time.perf_counter() - t0 < 30
 
 
 def test_long_value_is_read_whole(spark):

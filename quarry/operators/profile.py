@@ -1,22 +1,28 @@
 """Dataset profiling: exact describe, histogram, density curve, top words, counts.
 
-All statistics are exact. Percentiles and moments are computed from a
+Statistics are exact. Percentiles and moments are computed from a
 value-count table (``groupBy(value).count()`` is partially aggregated on the
-map side), so memory is bounded by the number of distinct values, never by
-the number of rows, and no single task sees a whole column.
+map side). Percentiles of a measure with more than ``MAX_DISTINCT`` distinct
+values are selected by refining histograms, so no buffer holds them all. The
+density curve is a sum over bins with a stated error bound.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.session import materialize
 
 QUANTILES = (0.25, 0.5, 0.75)
-
+# Distinct values of one measure and group that a single percentile buffer may hold.
+MAX_DISTINCT = 100_000
+# Rank rows (six a measure and group) up to which the open ranges are broadcast.
+MAX_STATE = 60_000
 
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
@@ -33,29 +39,88 @@ def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     return _melt(df, cols, by).groupBy(*by, "measure", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), decimals: int = 1) -> DataFrame:
+def _coarse(v: Column) -> Column:
+    """A rising function of a number with about 72,000 values: sign, exponent and four more bits."""
+    x = v.cast("double")
+    size = F.when(F.abs(x) == F.lit(math.inf), F.lit(40_000)).otherwise(F.floor(F.log2(F.abs(x)) * 16).cast("int") + 20_000)
+    return F.when(F.isnan(x), F.lit(50_000)).when(x == 0, F.lit(0)).when(x > 0, size).otherwise(-size)
+
+
+def exact_quantiles(vc: DataFrame, keys: Sequence[str], quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """keys, pct (array): linearly interpolated quantiles of weighted values
+    (``value``, ``cnt``) per key, by distributed selection.
+
+    Each wanted rank keeps the range of values it must lie in. A pass counts the
+    values of every open range in at most about 72,000 buckets (first by exponent,
+    then in equal widths), and the rank moves into its bucket's own minimum and
+    maximum, until they are equal. A range shrinks by the factor 65,535 a pass, so
+    doubles need five passes at most. No task or buffer holds more than one
+    range's buckets, however many distinct values there are."""
+    rows = vc.select(F.struct(*keys).alias("_g"), F.col("value").alias("_v"), F.col("cnt").alias("_c"))
+    sizes = rows.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    places = F.array(*[F.lit(float(q)) * (F.col("_n") - 1) for q in quantiles])
+    ranks = F.array_distinct(F.flatten(F.transform(places, lambda p: F.array(F.floor(p), F.ceil(p)))))
+    state = materialize(sizes.select("_g", "_n", F.explode(ranks).alias("_r"), "_lo", "_hi", F.lit(0).cast("bigint").alias("_before")))
+    small = state.count() <= MAX_STATE
+    bucket = _coarse(F.col("_v"))
+    is_open = F.col("_lo") != F.col("_hi")
+    span = ["_g", "_lo", "_hi"]
+    while state.where(is_open).limit(1).count():
+        ranges = state.where(is_open).select(*span).distinct()
+        inside = rows.join(F.broadcast(ranges) if small else ranges, "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        hist = inside.groupBy(*span, bucket.alias("_b")).agg(F.sum("_c").alias("_k"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        hist = hist.withColumn("_upto", F.sum("_k").over(Window.partitionBy(*span).orderBy("_b")))
+        at = F.col("_r") - F.col("_before")
+        hit = state.where(is_open).join(hist, span).where((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_k")))
+        moved = hit.select("_g", "_n", "_r", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), (F.col("_before") + F.col("_upto") - F.col("_k")).alias("_before"))
+        state = materialize(moved.unionByName(state.where(~is_open)))
+        width = (F.col("_hi") - F.col("_lo")).cast("double")
+        bucket = F.floor((F.col("_v") - F.col("_lo")).cast("double") / width * 65_535).cast("int")
+    per = state.groupBy("_g", "_n").agg(F.map_from_entries(F.collect_list(F.struct("_r", F.col("_lo").cast("double")))).alias("_at"))
+
+    def between(p):
+        low, high = F.element_at("_at", F.floor(p)), F.element_at("_at", F.ceil(p))
+        return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high)
+
+    return per.select("_g", F.transform(places, between).alias("pct")).select(*[F.col("_g")[k].alias(k) for k in keys], "pct")
+
+
+def _with_quantiles(vc: DataFrame, keys: Sequence[str], max_distinct: int, **aggs: Column) -> DataFrame:
+    """``aggs`` and ``pct`` per key; ``percentile`` where its buffers stay below ``max_distinct`` values."""
+    named = [c.alias(k) for k, c in aggs.items()]
+    if not vc.groupBy(*keys).count().where(F.col("count") > max_distinct).limit(1).count():
+        return vc.groupBy(*keys).agg(*named, F.percentile(F.col("value"), F.array(*[F.lit(x) for x in QUANTILES]), F.col("cnt")).alias("pct"))
+    q = exact_quantiles(vc, keys).select(*[F.col(k).alias(f"_{k}") for k in keys], "pct")
+    return vc.groupBy(*keys).agg(*named).join(q, _same(keys)).drop(*[f"_{k}" for k in keys])
+
+
+def _same(keys: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return same
+
+
+def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), decimals: int = 1, max_distinct: int = MAX_DISTINCT) -> DataFrame:
     """pandas ``describe().round(1)`` per measure: count, mean, std (n-1), min,
     25/50/75 % (linear interpolation), max. Rounding is half-even like numpy.
 
     Whole numbers: moments use exact DECIMAL(38,0) sums of the value counts, so
     the variance has no cancellation error however many rows there are. Other
     measures keep their fractions; their variance is summed around the mean.
-    Nulls are left out, as pandas does.
+    Nulls are left out, as pandas does. Where a measure and group has more than
+    ``max_distinct`` distinct values, ``exact_quantiles`` selects the percentiles;
+    the result is the same.
     """
     vc = value_counts(df, cols, by)
     if dict(vc.dtypes)["value"] == "double":
-        return _describe_doubles(vc, by, decimals)
+        return _describe_doubles(vc, by, decimals, max_distinct)
     dec = "decimal(38,0)"
     c = F.col("cnt").cast(dec)
     v = F.col("value").cast(dec)
-    agg = vc.groupBy(*by, "measure").agg(
-        F.sum("cnt").alias("n"),
-        F.sum(c * v).alias("s1"),
-        F.sum(c * v * v).alias("s2"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.percentile(F.col("value"), F.array(*[F.lit(x) for x in QUANTILES]), F.col("cnt")).alias("pct"),
-    )
+    agg = _with_quantiles(
+        materialize(vc), [*by, "measure"], max_distinct, n=F.sum("cnt"), s1=F.sum(c * v), s2=F.sum(c * v * v), min=F.min("value"), max=F.max("value")
+    )
     n = F.col("n").cast(dec)
     var_num = (n * F.col("s2") - F.col("s1") * F.col("s1")).cast("double")
     var_den = (n * (n - F.lit(1))).cast("double")
@@ -79,20 +144,13 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), decimal
     )
 
 
-def _describe_doubles(vc: DataFrame, by: Sequence[str], decimals: int) -> DataFrame:
+def _describe_doubles(vc: DataFrame, by: Sequence[str], decimals: int, max_distinct: int) -> DataFrame:
     keys = [*by, "measure"]
-    first = vc.groupBy(*keys).agg(
-        F.sum("cnt").alias("n"),
-        (F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("mu"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.percentile(F.col("value"), F.array(*[F.lit(x) for x in QUANTILES]), F.col("cnt")).alias("pct"),
-    )
+    mu = F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")
+    vc = materialize(vc)
+    first = _with_quantiles(vc, keys, max_distinct, n=F.sum("cnt"), mu=mu, min=F.min("value"), max=F.max("value"))
     around = vc.select(*[F.col(k).alias(f"_{k}") for k in keys], "value", "cnt")
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    dev = around.join(first, same).groupBy(*keys, "n", "mu", "min", "max", "pct").agg(F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mu"), 2)).alias("ss"))
+    dev = around.join(first, _same(keys)).groupBy(*keys, "n", "mu", "min", "max", "pct").agg(F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mu"), 2)).alias("ss"))
 
     def r(x: Column) -> Column:
         return F.bround(x, decimals)
@@ -147,31 +205,64 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     )
 
 
+# Terms, bin width and reach of the density curve, in bandwidths.
+TERMS, BIN, REACH = 13, 0.25, 8.5
+
+
+def _hermite(k: int) -> list[int]:
+    """Coefficients of the k-th (probabilists') Hermite polynomial, lowest power first."""
+    old, new = [0], [1]
+    for j in range(k):
+        shifted = [0, *new]
+        old, new = new, [a - j * b for a, b in zip(shifted, [*old, *[0] * (len(shifted) - len(old))])]
+    return new
+
+
 def density_curve(df: DataFrame, col: str, gridsize: int = 200, decimals: int = 12) -> DataFrame:
     """Gaussian KDE on ``gridsize`` points over [min, max], Scott bandwidth
     ``sd * n^-0.2`` (the kernel seaborn draws over a histogram).
 
-    Work is per distinct value: each value-count row emits its contribution to
-    the grid points and a partial aggregate sums them per point. A single row or
-    equal values have no bandwidth: no curve (no rows).
+    Values fall into bins a quarter of a bandwidth h wide. A bin keeps the sums of
+    ((x - middle)/h)^k for k < 13, from which its part of the curve is a Taylor
+    (Hermite) series, added to the grid points within 8.5 h of it. Per value the
+    series errs by at most 1.1 * 0.125^13 / sqrt(13!) < 1e-16 of the kernel's peak
+    and the cut by less than 3e-15 (8.5 less half a bin), far below 1e-9 of the curve's
+    scale. Rows made: bins that hold values, times the points in reach; the
+    values themselves are only summed on the map side. A single row or equal
+    values have no bandwidth: no curve (no rows).
     """
     x = F.col(col).cast("double")
-    vc = df.where(F.col(col).isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("cnt"))
     stats = df.select(
         F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(x).alias("n"))
     ).scalar()
     lo, hi, sd, n = (stats[c] for c in ("lo", "hi", "sd", "n"))
-    h = sd * F.pow(n.cast("double"), F.lit(-0.2))
+    h = F.nullif(sd * F.pow(n.cast("double"), F.lit(-0.2)), F.lit(0.0))
     step = (hi - lo) / F.lit(float(gridsize - 1))
-    pts = vc.select("x", "cnt", F.posexplode(F.array_repeat(F.lit(0), gridsize)).alias("i", "_z"))
-    gx = lo + F.col("i") * step
-    contrib = F.col("cnt") * F.exp(-0.5 * F.pow(F.try_divide(gx - F.col("x"), h), 2))
-    dens = pts.groupBy("i").agg(F.sum(contrib).alias("s"))
-    norm = n.cast("double") * h * F.lit((2 * 3.141592653589793) ** 0.5)
-    return dens.select(
+    v = df.where(F.col(col).isNotNull()).select(x.alias("x"), h.alias("h"), lo.alias("lo"), step.alias("step")).where(F.col("h").isNotNull())
+    v = v.withColumn("b", F.floor((F.col("x") - F.col("lo")) / (F.col("h") * BIN)))
+    v = v.withColumn("t", (F.col("x") - F.col("lo")) / F.col("h") - (F.col("b") + 0.5) * BIN)
+    power, powers = F.lit(1.0), []
+    for k in range(TERMS):
+        powers.append(F.sum(power).alias(f"m{k}"))
+        power = F.pow(F.col("t"), F.lit(float(k + 1)))
+    bins = v.groupBy("b", "h", "lo", "step").agg(*powers)
+    series = [_hermite(k) for k in range(TERMS)]
+    weight = [sum((F.col(f"m{k}") * (series[k][p] / math.factorial(k)) for k in range(p, TERMS) if series[k][p]), F.lit(0.0)).alias(f"c{p}") for p in range(TERMS)]
+    middle = (F.col("b") + 0.5) * BIN  # in bandwidths from lo
+    reach = [(middle + r) * F.col("h") / F.col("step") for r in (-REACH, REACH)]
+    first, last = F.greatest(F.ceil(reach[0]), F.lit(0)), F.least(F.floor(reach[1]), F.lit(gridsize - 1))
+    pts = bins.where(first <= last).select(*weight, "h", "lo", "step", middle.alias("mid"), F.explode(F.sequence(first, last)).alias("i"))
+    u = pts.withColumn("u", F.col("i") * F.col("step") / F.col("h") - F.col("mid"))
+    value = F.col(f"c{TERMS - 1}")
+    for p in reversed(range(TERMS - 1)):
+        value = value * F.col("u") + F.col(f"c{p}")
+    near = u.groupBy("i").agg(F.sum(value * F.exp(-0.5 * F.col("u") * F.col("u"))).alias("s"))
+    grid = df.sparkSession.range(gridsize).select(F.col("id").alias("i"))
+    norm = n.cast("double") * h * F.lit((2 * math.pi) ** 0.5)
+    return grid.join(F.broadcast(near), "i", "left").select(
         F.col("i").cast("bigint").alias("point"),
         F.round(lo + F.col("i") * step, 9).alias("x"),
-        F.round(F.try_divide(F.col("s"), norm), decimals).alias("density"),
+        F.round(F.try_divide(F.coalesce(F.col("s"), F.lit(0.0)), norm), decimals).alias("density"),
     ).where(F.col("density").isNotNull())
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,6 +108,46 @@ def repetition_columns(df: DataFrame, text: str, n: int = 3, window: int = 200,
     return r.select(*df.columns, "_rep.n_words", "_rep.rep_share", "_rep.rep_share_windowed")
 
 
+def _least_distinct(words: list[str], n: int, window: int, step: int) -> float:
+    """Largest duplicate share of the n-grams in windows of ``window`` words, one every ``step`` words.
+
+    N-grams are numbered exactly, pair by pair. One that stands at i and last stood at
+    p is the first of its kind in every window that starts after p and reaches i, so the
+    distinct n-grams of all windows are one running sum: time does not depend on ``step``."""
+    if len(words) < n:
+        return 0.0
+    ids = pd.factorize(np.array(words, dtype=object))[0].astype(np.int64)
+    m, grams, kinds = len(words) - n + 1, ids, int(ids.max()) + 1
+    for k in range(1, n):
+        grams = pd.factorize(grams[:-1] * kinds + ids[k:])[0].astype(np.int64)
+    size = min(window - n + 1, m)
+    order = np.argsort(grams, kind="stable")
+    again = grams[order[1:]] == grams[order[:-1]]
+    before = np.full(m, -1)
+    before[order[1:][again]] = order[:-1][again]
+    at = np.arange(m)
+    first, last = np.maximum(before + 1, at - size + 1), np.minimum(at, m - size)
+    ok = first <= last
+    change = np.bincount(first[ok], minlength=m + 1) - np.bincount(last[ok] + 1, minlength=m + 1)
+    return 1 - int(np.cumsum(change)[: m - size + 1 : step].min()) / size
+
+
+def sliding_repetition(df: DataFrame, text: str, n: int = 3, window: int = 200, step: int = 1) -> DataFrame:
+    """FLT8 with a window at any step, one word too: adds ``rep_share_sliding``.
+
+    Linear in the text for every step (``repetition_struct`` does window / step
+    times that, without Python). Texts of fewer than n words, and null, have
+    share 0; texts shorter than a window are one window."""
+    if not n <= window or step < 1:
+        raise ValueError("window must hold an n-gram, step be positive")
+
+    @F.pandas_udf("double")
+    def share(texts: pd.Series) -> pd.Series:
+        return pd.Series([_least_distinct(t.split(), n, window, step) if t else 0.0 for t in texts], dtype="float64")
+
+    return df.withColumn("rep_share_sliding", share(F.col(text)))
+
+
 def repetition_filter(df: DataFrame, text: str, threshold: float = 0.30, windowed: bool = False, **kw) -> DataFrame:
     """FLT8: drop rows whose duplicate n-gram share exceeds ``threshold``."""
     if windowed:

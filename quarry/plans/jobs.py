@@ -18,6 +18,7 @@ from quarry.operators import grade as G
 from quarry.operators import langid as L
 from quarry.operators import profile as P
 from quarry.operators import sampling as SM
+from quarry.operators import tokenizer as TK
 from quarry.operators import validate as VA
 from quarry.session import materialize
 from quarry.sources import csv as CSV
@@ -124,15 +125,18 @@ def filter_traces(traces: DataFrame, batches: DataFrame | None = None, min_words
     return t
 
 
-def profile_dataset(df: DataFrame, prompt: str = "prompt", answer: str = "answer", bins: int = 50, max_short: int = 10) -> dict[str, DataFrame]:
+def profile_dataset(df: DataFrame, prompt: str = "prompt", answer: str = "answer", bins: int = 50, max_short: int = 10, vocab_sizes: Sequence[int] = ()) -> dict[str, DataFrame]:
     """JOB4: lengths, words and token estimates described, the histogram and density
     of the total length and of the token estimate, the most frequent words, and the
-    degenerate rows, all from one written copy of the narrow measures."""
+    degenerate rows, all from one written copy of the narrow measures. With
+    ``vocab_sizes`` also AGG10: vocabularies of these sizes fitted on both texts, and
+    the tokens that the prompts take in each."""
     cols = P.token_columns(P.word_columns(P.length_columns(df, prompt, answer), prompt, answer), prompt, answer)
     lengths, words = ["len_prompt", "len_answer", "total_len"], ["words_prompt", "words_answer", "total_words"]
     keep = [c for c in df.columns if c not in (prompt, answer)]
     m = materialize(cols.select(*keep, *lengths, *words, "token_estimate"))
-    return {
+    sweep = {"vocabulary": TK.vocabulary_sweep(df, tuple(vocab_sizes), (prompt, answer), prompt)} if vocab_sizes else {}
+    return sweep | {
         "lengths": P.describe(m, lengths),
         "words": P.describe(m, words),
         "tokens": P.describe(m, ["token_estimate"]),

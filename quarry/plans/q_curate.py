@@ -64,6 +64,25 @@ def ngram_repetition_windowed(spark, d):
     return m.select("doc_id", "n_words", "rep_share_windowed", (F.col("rep_share_windowed") <= 0.3).alias("keep"))
 
 
+_SLIDING = f"""WITH w AS (SELECT doc_id, {S.words('text')} AS w FROM documents),
+g AS (SELECT doc_id, len(w) AS nw, unnest(range(1, len(w) - 1)) AS i, w FROM w WHERE len(w) >= 3),
+o AS (SELECT doc_id, nw, i, [w[i], w[i + 1], w[i + 2]] AS gram FROM g),
+p AS (SELECT doc_id, nw, i, coalesce(lag(i) OVER (PARTITION BY doc_id, gram ORDER BY i), 0) AS before, least(198, nw - 2) AS size FROM o),
+s AS (SELECT doc_id, size, greatest(before + 1, i - size + 1) AS a, least(i, nw - 1 - size) AS b FROM p),
+e AS (SELECT doc_id, size, a AS pos, 1 AS d FROM s WHERE a <= b UNION ALL SELECT doc_id, size, b + 1, -1 FROM s WHERE a <= b),
+c AS (SELECT doc_id, size, pos, sum(d) AS d FROM e GROUP BY doc_id, size, pos),
+r AS (SELECT doc_id, size, pos, sum(d) OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM c),
+m AS (SELECT doc_id, 1 - min(n) FILTER (WHERE n > 0) / any_value(size) AS share FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(m.share, 0.0) AS rep_share_sliding, coalesce(m.share, 0.0) <= 0.3 AS keep FROM documents d LEFT JOIN m USING (doc_id)"""
+
+
+@query("ngram_repetition_sliding", f"SELECT * FROM ({_SLIDING})")
+def ngram_repetition_sliding(spark, d):
+    """FLT8 (a window at every word): largest share over 200-word windows."""
+    m = C.sliding_repetition(table(spark, d, "documents").select("doc_id", "text"), "text")
+    return m.select("doc_id", "rep_share_sliding", (F.col("rep_share_sliding") <= 0.3).alias("keep"))
+
+
 @query(
     "trace_filter",
     V.with_views(

@@ -116,6 +116,43 @@ def dataset_profile(spark, d):
     return whole.select(*[F.col(c).cast(t) for c, t in p["tokens"].dtypes]).unionByName(p["tokens"])
 
 
+def _parts_sql() -> str:
+    total = f"{S.char_length('prompt')} + {S.char_length('answer')}"
+    hist = {"length_histogram": total, "token_histogram": f"({total}) / 4.0"}
+    parts = [f"SELECT '{k}' AS part, CAST(bin AS VARCHAR) AS item, lo_edge AS x, CAST(count AS DOUBLE) AS value FROM ({QP._HIST_SQL.format(x=e, src='examples', bins=50)})" for k, e in hist.items()]
+    dens = {k.replace("histogram", "density"): e for k, e in hist.items()}
+    parts += [f"SELECT '{k}', CAST(point AS VARCHAR), x, density FROM ({QP._KDE_SQL.format(x=e, src='examples', grid=200)})" for k, e in dens.items()]
+    words = S.words("lower(concat_ws(' ', prompt, answer))")
+    parts.append(f"SELECT 'top_words', word, NULL, CAST(freq AS DOUBLE) FROM (SELECT word, count(*) AS freq FROM (SELECT unnest({words}) AS word FROM examples) GROUP BY word ORDER BY freq DESC, word LIMIT 10)")
+    parts.append(f"SELECT 'short_rows', id, NULL, CAST({total} AS DOUBLE) FROM examples WHERE {total} <= 400")
+    return V.with_views("SELECT * FROM (" + " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts) + ")", "examples")
+
+
+@query("dataset_profile_parts", _parts_sql())
+def dataset_profile_parts(spark, d):
+    """JOB4, its other results: histograms and densities of length and token estimate,
+    top words, and the short rows (400 characters at most here), one row per item."""
+    p = J.profile_dataset(V.examples(spark, d), max_short=400)
+
+    def part(name, item, x, value):
+        return p[name].select(F.lit(name).alias("part"), F.col(item).cast("string").alias("item"), x.cast("double").alias("x"), F.col(value).cast("double").alias("value"))
+
+    none = F.lit(None)
+    out = part("top_words", "word", none, "freq").unionByName(part("short_rows", "id", none, "total_len"))
+    for kind in ("length", "token"):
+        out = out.unionByName(part(f"{kind}_histogram", "bin", F.col("lo_edge"), "count")).unionByName(part(f"{kind}_density", "point", F.col("x"), "density"))
+    return out
+
+
+@query("metrics_file", ORACLES["exact_match_accuracy"])
+def metrics_file(spark, d):
+    """SNK3: the metrics that the grading job writes as JSON, read back."""
+    path = scratch_path(spark, "metrics")
+    J.grade_generations(V.generations(spark, d), path)
+    m = spark.read.json(f"{path}/eval_metrics")
+    return m.select("num_rows", "raw_exact_accuracy", "normalized_exact_accuracy")
+
+
 _RULES = ["v1_bits", "v2_text", "v3_numeric", "v4_numeral", "v5_symbol", "v7_answer", "v8_consistent"]
 
 

@@ -27,8 +27,8 @@ def _plan(df):
 def test_plans_have_no_cartesian_product_and_python_only_where_expected(spark, sf):
     qs = load_all()[0]
     python_ok = {"canonical_answer", "normalize_answer", "prediction_table", "exact_match_accuracy", "reward_table", "error_classes", "prediction_csv"}
-    # steps without a built-in form: packed language scores, piece lattices, exact rationals, the search of bit rules
-    python_ok |= {"language_id", "language_filter", "truncate_to_pieces", "exact_answer_value", "majority_vote_by_value", "self_consistency_by_value", "verify_consistency"}
+    # steps without a built-in form: packed language scores, piece lattices, exact rationals, the search of bit rules, windows at every word
+    python_ok |= {"ngram_repetition_sliding", "language_id", "language_filter", "truncate_to_pieces", "exact_answer_value", "majority_vote_by_value", "self_consistency_by_value", "verify_consistency"}
     skip = {"token_count_by_vocab", "csv_roundtrip", "corpus_lines", "prediction_csv"}
     for name, fn in qs.items():
         if name in skip:

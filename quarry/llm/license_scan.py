@@ -13,7 +13,10 @@ list begins another's at the same sentence, the longest that matches is reported
 
 Only texts that hold a word every known sentence shares are cut at all; this
 test is part of the sentence table (``TRIGGER``) and is checked by a test.
-Null and empty texts have no sentence; repeated rows get equal results.
+A ``*`` in a known sentence stands for a name. SPDX lines count where they give
+one name alone, not an expression. Null and empty texts have no sentence, an
+empty table no rows; texts are read whole; repeated rows get equal results.
+Columns named ``sentence_ids`` and ``licences`` are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -55,7 +58,7 @@ SENTENCES = {
     "bsd_redistribution": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd_source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd_binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
-    "bsd_endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd_endorse": "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "mpl2_form": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "mpl2_copy": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
     "isc_grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
@@ -68,7 +71,32 @@ SENTENCES = {
     "cc_by_nc_work": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     "cc0_work": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
     "all_rights": "all rights reserved",
+    "gpl2_only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl2_only_of": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 2 of the license",
+    "lesser_hope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lesser_details": "see the gnu lesser general public license for more details",
+    "affero_details": "see the gnu affero general public license for more details",
+    "boost_title": "boost software license version 1 0 august 17th 2003",
+    "boost_distributed": "distributed under the boost software license version 1 0",
+    "boost_grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    "zlib_as_is": "this software is provided as is without any express or implied warranty",
+    "zlib_grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
 }
+# The grant of the "or later" notices, for each thing that is free, family and version.
+GRANT = "this {0} is free software you can redistribute it and or modify it under the terms of the gnu {1} general public license as published by the free software foundation either version {2} of the license or at your option any later version"
+GRANTS = {
+    f"{ident}_{thing}": (licence, GRANT.format(thing, family, version))
+    for ident, licence, family, version in (("lgpl2", "LGPL-2.0-or-later", "library", "2"), ("lgpl21", "LGPL-2.1-or-later", "lesser", "2 1"), ("lgpl3", "LGPL-3.0-or-later", "lesser", "3"), ("agpl3", "AGPL-3.0-or-later", "affero", "3"))
+    for thing in ("program", "library")
+}
+SENTENCES |= {ident: sentence for ident, (_, sentence) in GRANTS.items()}
+# Licence names that an SPDX line may give alone.
+SPDX = [
+    "MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Zlib", "BSL-1.0", "MPL-2.0", "EPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+    *[f"{family}-{how}" for family in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for how in ("only", "or-later")],
+]
+SPDX_IDS = {"spdx_" + name.lower(): name for name in SPDX}
+SENTENCES |= {ident: "spdx license identifier " + name.lower().replace("-", " ").replace(".", " ") for ident, name in SPDX_IDS.items()}
 
 # Ordered rules: licence, then the identifiers that must follow one another. Longer rules come first.
 RULES = [
@@ -100,6 +128,13 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc_by_sa_work"]),
     ("CC-BY-NC-4.0", ["cc_by_nc_work"]),
     ("CC0-1.0", ["cc0_work"]),
+    ("GPL-2.0-only", ["gpl2_only"]),
+    ("GPL-2.0-only", ["gpl2_only_of"]),
+    ("Zlib", ["zlib_as_is", "zlib_grant"]),
+    ("BSL-1.0", ["boost_distributed"]),
+    ("BSL-1.0", ["boost_grant"]),
+    *[(licence, [ident]) for ident, (licence, _) in GRANTS.items()],
+    *[(name, [ident]) for ident, name in SPDX_IDS.items()],
 ]
 TRIGGER = r"licen[sc]e|copyright|permission|warrant|redistribut|public[^a-z]+(?:(?:dnl|rem)[^a-z]+)?domain|rights[^a-z]+(?:(?:dnl|rem)[^a-z]+)?reserved|mozilla"
 # End marks inside a known sentence: the words of the published notice that they follow.
@@ -108,10 +143,14 @@ STOPS = {
     "gpl2_free": ("program is free software", "free software foundation"),
     "gpl_hope": ("without any warranty",),
     "mpl2_form": ("public license v",),
-}
+    "gpl2_only": ("program is free software",),
+    "gpl2_only_of": ("program is free software", "free software foundation"),
+    "lesser_hope": ("without any warranty",),
+} | {ident: ("is free software", "free software foundation") for ident in GRANTS} | {ident: ("license identifier",) for ident in SPDX_IDS}
 # Marks are capitals, which lower-cased text does not hold: H empty line, S end mark, L line break.
 WORD = r"a-z0-9\x{80}-\x{10ffff}"
 COMMENT_WORD = rf"(?i)(^|[\n\r])[^{WORD}\n\r]*(?:dnl|rem)(?=\s)"
+SPDX_LINE = r"(?i)(SPDX-License-Identifier:[^\n\r]*+)"  # ends its sentence, whatever the next line is
 COMMENT_SIGN = rf"(^|[\n\r])[^{WORD}\n\r]+"
 LIST_MARK = rf"((?:^|[\n\r])[^{WORD}\n\r]*(?:[0-9]{{1,2}}|[a-z]|[ivx]{{1,4}}))\)(?=\s)"
 LINE_END = r"(?:\r\n?+|\n)"
@@ -128,20 +167,24 @@ MARKS = [
 
 def marked(text: Column) -> Column:
     """The words of a text in lower case, with one mark or blank between each two."""
-    lines = F.regexp_replace(text, COMMENT_WORD, "$1#")
+    lines = F.regexp_replace(F.regexp_replace(text, SPDX_LINE, "$1\n\n"), COMMENT_WORD, "$1#")
     out = ascii_lower(F.regexp_replace(lines, r"\n(?=[a-z])", " "))
     for pattern, mark in MARKS:
         out = F.regexp_replace(out, pattern, mark)
     return F.trim(out)
 
 
+SLOT = 12  # words at most that a name in a sentence (``*``) may have, end marks between them allowed
+
+
 def known_pattern() -> str:
     """Any known sentence in marked text, the longest first."""
 
     def one(ident, sentence):
         for stop in STOPS.get(ident, ()):
             sentence = sentence.replace(f"{stop} ", f"{stop}_")
-        return sentence.replace(" ", "[ L]").replace("_", "[ LS]")
+        sentence = sentence.replace(" * ", " # ").replace(" ", "[ L]").replace("_", "[ LS]")
+        return sentence.replace("#[ L]", rf"(?:[{WORD}]++[ LS]){{1,{SLOT}}}?")
 
     ordered = sorted(SENTENCES.items(), key=lambda kv: -len(kv[1]))
     return "(?<![^HSL])(?:" + "|".join(one(k, s) for k, s in ordered) + ")(?![^HSL])"
@@ -152,7 +195,14 @@ def sentence_ids(text: Column) -> Column:
     known = F.array(*[F.lit(s) for s in SENTENCES.values()])
     ident = F.array(*[F.lit(k) for k in SENTENCES])
     found = F.regexp_extract_all(marked(text), F.lit(known_pattern()), F.lit(0))
-    ids = F.transform(found, lambda s: F.element_at(ident, F.array_position(known, F.translate(s, "LS", "  ")).cast("int")))
+    slots = [x.split("*") for x in SENTENCES.values() if "*" in x]
+
+    def plain(s):
+        for head, tail in slots:  # whatever name was found, the sentence of the table
+            s = F.when(s.startswith(head) & s.endswith(tail), F.lit(f"{head}*{tail}")).otherwise(s)
+        return s
+
+    ids = F.transform(found, lambda s: F.element_at(ident, F.array_position(known, plain(F.translate(s, "LS", "  "))).cast("int")))
     return F.when(ascii_lower(text).rlike(TRIGGER), ids).otherwise(F.array().cast("array<string>"))
 
 

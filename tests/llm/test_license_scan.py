@@ -188,11 +188,48 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
 purpose with or without fee is hereby granted, provided that the above
 copyright notice and this permission notice appear in all copies.""",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "GPL-2.0-only": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.""",
+    "LGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU Affero General Public License for more details.""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0.
+(See accompanying file LICENSE_1_0.txt or copy at
+https://www.boost.org/LICENSE_1_0.txt)""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
 }
 WHOLE = {
     "MIT": ["mit_grant", "mit_notice", "mit_warranty", "mit_liability"], "BSD-3-Clause": ["bsd_redistribution", "bsd_source", "bsd_binary", "bsd_endorse"],
     "Apache-2.0": ["apache_the_license", "apache_comply", "apache_obtain", "apache_as_is", "apache_see"], "GPL-3.0-or-later": ["gpl3_free", "gpl_hope", "gpl_details", "gpl_received"],
     "GPL-2.0-or-later": ["gpl2_free", "gpl_hope", "gpl_details"], "MPL-2.0": ["mpl2_form", "mpl2_copy"], "ISC": ["isc_grant"], "Unlicense": ["unlicense_domain"],
+    "GPL-2.0-only": ["gpl2_only"], "LGPL-2.1-or-later": ["lgpl21_library", "lesser_hope", "lesser_details"], "LGPL-3.0-or-later": ["lgpl3_program"], "AGPL-3.0-or-later": ["agpl3_program", "gpl_hope", "affero_details"],
+    "BSL-1.0": ["boost_distributed"], "Zlib": ["zlib_as_is", "zlib_grant"],
 }
 
 
@@ -206,7 +243,7 @@ def test_published_notices(spark):
     lines = lambda before, text, end="\n": end.join((before + line).rstrip(" ") for line in text.split("\n"))
     ways = [
         lambda x: x, lambda x: lines("    ", x), lambda x: lines("# ", x), lambda x: "/*\n" + lines(" * ", x) + "\n */", lambda x: lines("// ", x), lambda x: lines(";; ", x), lambda x: lines("dnl ", x),
-        lambda x: lines("REM ", x), lambda x: lines("", x, "\r\n"), lambda x: lines("# ", x, "\r\n"), lambda x: x.replace("1.", "*").replace("\n2. ", "\n* ").replace("\n3. ", "\n* "),
+        lambda x: lines("REM ", x), lambda x: lines("", x, "\r\n"), lambda x: lines("# ", x, "\r\n"), lambda x: re.sub(r"(?m)^1\.", "*", x).replace("\n2. ", "\n* ").replace("\n3. ", "\n* "),
         lambda x: x.replace("\n1. ", "\n(a) ").replace("\n2. ", "\nb) ").replace("\n3. ", "\n3) "), *[lambda x, w=w: rewrapped(x, w) for w in (20, 33, 40, 50, 60, 67, 90, 10_000)], lambda x: lines(" * ", rewrapped(x, 30)),
     ]
     rows = [(name, n, f"def f():\n    pass\n\n{way(text)}\n\nThe end") for name, text in PUBLISHED.items() for n, way in enumerate(ways)]
@@ -238,3 +275,14 @@ def test_trigger_reads_over_line_ends(spark):
     texts = ["All rights\nreserved", "All rights\r\n * reserved.", "This is free and unencumbered software released into the public\n# domain.", "ALL RIGHTS\nREM RESERVED"]
     got = [r["sentence_ids"] for r in rows_of(L.scan_licences(spark.createDataFrame([(t,) for t in texts], "text string")))]
     assert got == [["all_rights"], ["all_rights"], ["unlicense_domain"], ["all_rights"]]
+
+
+def test_named_holders_and_spdx_lines(spark):
+    bsd = PUBLISHED["BSD-3-Clause"]
+    texts = [(bsd.replace("the copyright holder", who), ["BSD-3-Clause"]) for who in ("Example, Inc.", "the University of Nowhere", "the <ORGANIZATION>", "A. B. Writer (and friends)")]
+    texts += [(bsd.replace("the copyright holder", "x " * L.SLOT), ["BSD-3-Clause"]), (bsd.replace("the copyright holder", "x " * (L.SLOT + 1)), ["BSD-2-Clause"])]
+    for name in L.SPDX:
+        texts += [(way.format(name), [name]) for way in ("SPDX-License-Identifier: {}", "// SPDX-License-Identifier: {}\n#include <x>", "// spdx-license-identifier: {}\nint x;", "/* SPDX-License-Identifier: {} */\nint x;", "#!/bin/sh\n# spdx-license-identifier: {}\n\necho")]
+    texts += [("SPDX-License-Identifier: MIT OR Apache-2.0", []), ("SPDX-License-Identifier: Unknown-1.0", []), ("Boost Software License - Version 1.0 - August 17th, 2003", [])]
+    df = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(texts)], "n int, text string")
+    assert {r["n"]: r["licences"] for r in rows_of(L.scan_licences(df))} == {n: want for n, (_, want) in enumerate(texts)}

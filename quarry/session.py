@@ -27,7 +27,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
-    b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quarry-ckpt-"))
+    if master.startswith("local") and not master.startswith("local-cluster"):  # a cluster names its own shared folder
+        b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quarry-ckpt-"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -39,15 +39,22 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
     return np.array(t), np.unique(np.array(two + three, np.uint8), axis=0)
 
 
-def consistent(pairs: list[tuple[int, int]]) -> bool:
-    """True if one rule maps every left side to its right side."""
-    one, more = tables()
+def single_copy(pairs: list[tuple[int, int]]) -> bool:
+    """True if a rule of one copy maps every left side to its right side."""
+    one, _ = tables()
     lhs, rhs = (np.array(x, np.uint8) for x in zip(*pairs))
     off = one[:, lhs] ^ rhs  # 1 where a position would have to be inverted
     kept, inverted = np.bitwise_and.reduce(~off, axis=1), np.bitwise_and.reduce(off, axis=1)
     constant = np.bitwise_and.reduce(rhs) | np.bitwise_and.reduce(~rhs)
-    if ((kept | inverted | constant) == 255).any():
+    return bool(((kept | inverted | constant) == 255).any())
+
+
+def consistent(pairs: list[tuple[int, int]]) -> bool:
+    """True if one rule maps every left side to its right side."""
+    if single_copy(pairs):
         return True
+    _, more = tables()
+    lhs, rhs = (np.array(x, np.uint8) for x in zip(*pairs))
     mask = more[:, lhs[0]] ^ rhs[0]
     alive = np.arange(len(more))
     for x, y in zip(lhs[1:], rhs[1:]):
@@ -55,11 +62,18 @@ def consistent(pairs: list[tuple[int, int]]) -> bool:
     return bool(len(alive))
 
 
+def answer_follows(pairs: list[tuple[int, int]]) -> bool:
+    """True if one rule maps every pair, the last of which is the answer. Where a
+    rule of one copy fits the examples, the answer must follow from such a rule
+    too: among the rules of two and three copies one fits many a wrong answer."""
+    return single_copy(pairs) or (not single_copy(pairs[:-1]) and consistent(pairs)) if len(pairs) > 1 else True
+
+
 def pairs_consistent(pairs) -> bool | None:
-    """``consistent`` for (lhs, rhs) bit texts; False where one is not eight bits, null for null."""
+    """``answer_follows`` for (lhs, rhs) bit texts; False where one is not eight bits, null for null."""
     if pairs is None:
         return None
     texts = [(p["lhs"], p["rhs"]) for p in pairs]
     if not texts or any(x is None or len(x) != 8 or x.strip("01") for p in texts for x in p):
         return False
-    return consistent([(int(a, 2), int(b, 2)) for a, b in texts])
+    return answer_follows([(int(a, 2), int(b, 2)) for a, b in texts])

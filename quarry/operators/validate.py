@@ -103,7 +103,7 @@ def _tolerance(xq: Column, sx: Column, sxx: Column) -> Column:
 
 
 def _bits_consistent(pairs: Column) -> Column:
-    """One rule of ``functions.bitrules`` for all pairs (null in, null out)."""
+    """One rule of ``functions.bitrules`` for all pairs, the answer last (null in, null out)."""
 
     @F.pandas_udf("boolean")
     def search(p: pd.Series) -> pd.Series:

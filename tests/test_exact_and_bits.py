@@ -116,6 +116,19 @@ def test_against_a_plain_search():
             assert B.consistent(pairs) == search(pairs), pairs
 
 
+@pytest.mark.parametrize("family", FAMILIES)
+def test_answer_follows_the_simplest_rules(family):
+    r = random.Random(family)
+    for _ in range(20):
+        good = [(x, FAMILIES[family](x)) for x in r.sample(range(256), 9)]
+        assert B.answer_follows(good)
+        for i in range(8):
+            bad = [*good[:-1], (good[-1][0], good[-1][1] ^ (1 << i))]
+            assert B.answer_follows(bad) <= B.consistent(bad)
+            if B.single_copy(good[:-1]):
+                assert B.answer_follows(bad) == B.single_copy(bad)
+
+
 def test_rule_column(spark):
     def prompt(f):
         return "x\n" + "\n".join(f"{x:08b} -> {f(x):08b}" for x in (1, 77, 130, 200, 254, 99, 36)) + "\nNow, determine the output for: 01010101"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,7 +70,8 @@ def running_total(df: DataFrame, part: list[str], order: list, value: Column, ou
     ``df`` must carry an int column ``_bucket`` (hundreds to thousands of values),
     a function of the row: rows are ordered by bucket, then by ``order`` inside the bucket.
     Each (part, bucket) is one window group; the bucket totals
-    (parts x buckets rows at most) give the offsets. ``part`` columns must not be null."""
+    (parts x buckets rows at most) give the offsets. The rows already lie by those keys,
+    so only the offsets move to meet them. ``part`` columns must not be null."""
     v = df.withColumn("_v", value.cast("bigint"))
     keys = [*part, "_bucket"]
     totals = v.groupBy(*keys).agg(F.sum("_v").alias("_t"))
@@ -76,14 +79,30 @@ def running_total(df: DataFrame, part: list[str], order: list, value: Column, ou
     offsets = totals.select(*keys, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = v.withColumn("_in", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
-    return ranked.join(F.broadcast(offsets), keys).withColumn(out, F.col("_off") + F.col("_in")).drop("_v", "_in", "_off")
+    return ranked.join(offsets, keys).withColumn(out, F.col("_off") + F.col("_in")).drop("_v", "_in", "_off")
+
+
+def salts_for(rows: int, least: int = 16) -> int:
+    """Salts for a key that may hold any share of ``rows``: about as many as rows stay in each."""
+    return max(least, isqrt(rows))
+
+
+def with_least(rows: DataFrame, key: str, value: str, out: str, salt: str, salts: int) -> DataFrame:
+    """``rows`` with the smallest ``value`` of their ``key`` as ``out``.
+
+    Minima are taken per (key, salt), then per key, and return the same way: of a
+    hot key at most ``salts`` rows meet in a task. ``key`` must not be null."""
+    dealt = rows.withColumn("_s", salt_of(salt, buckets=salts))
+    parts = dealt.groupBy(key, "_s").agg(F.min(value).alias(out))
+    back = parts.select(key, "_s").join(parts.groupBy(key).agg(F.min(out).alias(out)), key)
+    return dealt.join(back, [key, "_s"]).drop("_s")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) with root the smallest node reachable, for undirected edges (a, b).
 
-    Alternating large-star / small-star steps (Kiveris et al. 2014): every round
-    is one minimum per node, combined before the shuffle, and one join back, so
+    Alternating large-star / small-star steps (Kiveris et al. 2014): every step
+    is one minimum per node, handed back to its edges by salted keys, so
     a hot centre is never gathered. Each round is written to the shared folder;
     the rounds end when the edges no longer change."""
     cur = stored(edges.where(F.col("a") != F.col("b")).distinct(), "cc")
@@ -94,11 +113,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         last = tuple(state)
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(cur.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b")
+        salts = salts_for(2 * state[0])
+        large = with_least(both, "u", "v", "m", "v", salts).where("v > u").select(F.col("v").alias("a"), F.least("m", "u").alias("b")).where("a != b")
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-        m = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(m.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        starred = with_least(down, "u", "v", "m", "v", salts)
+        # an edge to the minimum itself stands for the node: (v, m) is empty there
+        small = starred.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("a"), F.col("m").alias("b"))
         cur = stored(small.where("a != b").distinct(), "cc")
     leaves = cur.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return leaves.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -9,8 +9,9 @@ Spark deals the fingerprints, those blocks moved to the front, by that prefix
 and sorts them inside the partition; a sorted run is a binary trie whose nodes
 are index ranges. Node pairs start as (run, run) with no error spent; every
 step splits both nodes by the next bit, adds one error to the mixed pairs and
-prunes those beyond ``k``. A stack of bounded pieces keeps memory flat whatever
-the run. Inside a task a union-find drops links between nodes already joined
+prunes those beyond ``k``. A stack of bounded pieces keeps memory flat, and a prefix
+that more than ``LONGEST`` fingerprints share is dealt on by two blocks of its other
+bits. Inside a task a union-find drops links between nodes already joined
 and node pairs that lie wholly in one joined set, so a task returns a spanning
 forest, at most one link per fingerprint, not all pairs. The links meet in
 connected components on Spark.
@@ -22,7 +23,9 @@ no other id is reachable. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import lru_cache, partial
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -30,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import connected_components, fields_of, quoted, read, salt_of, stored, whole_rows
+from quarry.llm.common import connected_components, fields_of, quoted, read, salt_of, salts_for, stored, whole_rows, with_least
 from quarry.llm.registry import query
 
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
-SALTS = 64
+SALTS = 64  # at least; the number grows with the rows
+LONGEST = 1 << 20  # fingerprints of one prefix in a task
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -73,20 +77,26 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
 
 
-def _block_bits(k: int) -> list[tuple[int, int]]:
-    n = k + 2
-    edges = [64 * i // n for i in range(n + 1)]
-    return list(zip(edges[:-1], edges[1:]))
+def _cut(bits: list[int], n: int) -> list[list[int]]:
+    return [bits[len(bits) * i // n : len(bits) * (i + 1) // n] for i in range(n)]
 
 
-def _layouts(k: int) -> list[tuple[list[int], int]]:
-    """For each choice of two blocks: the order of the 64 bits with those first, and how many they are."""
-    blocks = _block_bits(k)
-    out = []
-    for pick in combinations(range(len(blocks)), 2):
-        front = [b for i in pick for b in range(*blocks[i])]
-        out.append((front + [b for b in range(64) if b not in front], len(front)))
-    return out
+@lru_cache(1 << 16)
+def _layout(k: int, level: int, at: int) -> tuple[list[int], int]:
+    """Choice ``at`` of two of ``k + 2`` blocks: the order of the 64 bits with those first, and how many they are.
+
+    On a further level ``at // picks`` is the choice before, whose other bits are cut again."""
+    pairs = list(combinations(range(k + 2), 2))
+    order, done = _layout(k, level - 1, at // len(pairs)) if level > 1 else (list(range(64)), 0)
+    blocks = _cut(order[done:], k + 2)
+    front = order[:done] + [b for i in pairs[at % len(pairs)] for b in blocks[i]]
+    return front + [b for b in order[done:] if b not in front], len(front)
+
+
+def _shortest(k: int, level: int) -> int:
+    """Bits that any two fingerprints of one run share on this level, at least."""
+    done = _shortest(k, level - 1) if level > 1 else 0
+    return done + sum(sorted(len(b) for b in _cut(list(range(64 - done)), k + 2))[:2])
 
 
 class _Forest:
@@ -193,60 +203,92 @@ def _permuted(v: np.ndarray, order: list[int]) -> np.ndarray:
     return out
 
 
-def links(fps: DataFrame, k: int = MAX_BITS, rows_at_once: int = 1 << 18) -> DataFrame:
-    """(a, b) links among distinct fingerprints ``fp``: spanning forests of each task's near pairs."""
-    layouts = _layouts(k)
-
-    def deal(batches):
-        for b in batches:
-            v = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for t, (order, front) in enumerate(layouts):
-                key = (_permuted(v, order) >> np.uint64(64 - front)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(key), pa.array(v.view(np.int64))], ["t", "key", "fp"])
+def links(fps: DataFrame, k: int = MAX_BITS, rows_at_once: int = 1 << 18, longest: int = LONGEST) -> DataFrame:
+    """(a, b) links among distinct fingerprints ``fp``: spanning forests of each task's near pairs.
 
+    Fingerprints that may lie in a run of over ``longest`` are dealt on by two blocks
+    of the run's other bits, again and again, until no run is longer or its bits end."""
+    level, picks = 1, comb(k + 2, 2)
+    rows, count = fps.select(F.lit(0).alias("t"), "fp"), fps.count()
+    found = None
+    while True:
+        shortest = _shortest(k, level)
+        dealt = rows.mapInArrow(partial(_deal, k=k, level=level), "t int, key bigint, fp bigint")
+        hot = None
+        if count > longest and 1 << (64 - shortest) > longest and 64 - shortest >= 2 * (k + 2):
+            # counts by the first bits of the keys, about 16 buckets for each run that could be too long
+            shift = max(0, shortest - (16 * count * picks // longest).bit_length())
+            dealt = dealt.withColumn("bucket", F.shiftright("key", shift))
+            counts = stored(dealt.groupBy("t", "bucket").agg(F.count("*").alias("n")).where(F.col("n") > longest), "fpruns")
+            runs, count = counts.agg(F.count("*"), F.sum("n")).first()
+            hot = counts.select("t", "bucket") if runs else None
+            if runs and runs <= 100_000:
+                hot = F.broadcast(hot)
+        cool = dealt if hot is None else dealt.join(hot, ["t", "bucket"], "left_anti")
+        runs_of = cool.select("t", "key", "fp").repartition("t", "key").sortWithinPartitions("t", "key")
+        step = runs_of.mapInArrow(partial(_walk, k=k, level=level, rows_at_once=rows_at_once), "a bigint, b bigint")
+        found = step if found is None else found.unionByName(step)
+        if hot is None:
+            return found
+        rows, level = stored(dealt.join(hot, ["t", "bucket"], "left_semi").select("t", "fp"), "fpcrowd"), level + 1
+
+
+def _deal(batches, k: int, level: int):
+    """Each (t, fp) once for every choice of two further blocks."""
+    picks = comb(k + 2, 2)
+    for b in batches:
+        t, v = b.column("t").to_numpy(zero_copy_only=False), b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+        for before in np.unique(t).tolist():
+            own = v[t == before]
+            for at in range(before * picks, (before + 1) * picks):
+                order, front = _layout(k, level, at)
+                key = (_permuted(own, order) >> np.uint64(64 - front)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), at, np.int32)), pa.array(key), pa.array(own.view(np.int64))], ["t", "key", "fp"])
+
+
+def _walk(batches, k: int, level: int, rows_at_once: int):
+    """Whole runs of (t, key) at a time; a run goes over as many batches as it needs."""
     def joined(t, fp):
         a, b = [], []
         for each in np.unique(t):
             own = fp[t == each]
-            keys = _permuted(own.view(np.uint64), layouts[each][0])
+            order, front = _layout(k, level, int(each))
+            keys = _permuted(own.view(np.uint64), order)
             up = np.argsort(keys)
             keys, own = keys[up], own[up]
-            for x, y in trie_links(keys, layouts[each][1], k):
+            for x, y in trie_links(keys, front, k):
                 a.append(int(own[x]))
                 b.append(int(own[y]))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    def walk(batches):
-        """Whole runs of (t, key) at a time; a run goes over as many batches as it needs."""
-        held, rows, wait = [], 0, rows_at_once
-        for batch in batches:
-            held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
-            rows += batch.num_rows
-            if rows < wait:
-                continue
-            t, key, fp = (np.concatenate(c) for c in zip(*held))
-            end = int(np.count_nonzero((t != t[-1]) | (key != key[-1])))  # sorted: the last run is the tail
-            if end:
-                yield joined(t[:end], fp[:end])
-            held, rows = [[t[end:], key[end:], fp[end:]]], len(t) - end
-            wait = max(rows_at_once, 2 * rows)
-        if rows:
-            t, _, fp = (np.concatenate(c) for c in zip(*held))
-            yield joined(t, fp)
-
-    dealt = fps.select("fp").mapInArrow(deal, "t int, key bigint, fp bigint")
-    return dealt.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(walk, "a bigint, b bigint")
+    held, rows, wait = [], 0, rows_at_once
+    for batch in batches:
+        held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+        rows += batch.num_rows
+        if rows < wait:
+            continue
+        t, key, fp = (np.concatenate(c) for c in zip(*held))
+        end = int(np.count_nonzero((t != t[-1]) | (key != key[-1])))  # sorted: the last run is the tail
+        if end:
+            yield joined(t[:end], fp[:end])
+        held, rows = [[t[end:], key[end:], fp[end:]]], len(t) - end
+        wait = max(rows_at_once, 2 * rows)
+    if rows:
+        t, _, fp = (np.concatenate(c) for c in zip(*held))
+        yield joined(t, fp)
 
 
 def _rooted(docs: DataFrame, shingle: int, k: int) -> DataFrame:
     """(doc_id, fp, component_id, root): one row per document row; root is a fingerprint and tells components without any id apart."""
-    each = stored(fingerprints(docs, shingle), "fp").withColumn("_salt", salt_of("doc_id", buckets=SALTS))
+    each = stored(fingerprints(docs, shingle), "fp")
+    salts = salts_for(each.count(), SALTS)
+    each = each.withColumn("_salt", salt_of("doc_id", buckets=salts))
     parts = stored(each.groupBy("fp", "_salt").agg(F.min("doc_id").alias("first_id")), "fpparts")
     nodes = stored(parts.groupBy("fp").agg(F.min("first_id").alias("first_id")), "fpnodes")
     roots = connected_components(links(nodes, k))
-    ids = nodes.join(roots, nodes["fp"] == roots["node"]).groupBy("root").agg(F.min("first_id").alias("component_id"))
     # only fingerprints with a near partner need the join to their component
-    linked = roots.join(ids, "root").select(F.col("node").alias("fp"), "component_id", "root")
+    members = roots.select(F.col("node").alias("fp"), "root").join(nodes, "fp")
+    linked = with_least(members, "root", "first_id", "component_id", "fp", salts).select("fp", "component_id", "root")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("root"))
     # names reach the rows per (fingerprint, salt): a text that a third of all rows share is many join keys
     return each.join(parts.select("fp", "_salt").join(named, "fp"), ["fp", "_salt"]).select("doc_id", "fp", "component_id", "root")

@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from quarry.llm import simhash as H
-from quarry.llm.common import connected_components, read
+from quarry.llm.common import connected_components, read, salts_for, with_least
 
 from .edge import documents, rows_of
 
@@ -99,6 +99,51 @@ def test_links_reach_every_pair(spark):
             assert (comp[i] == comp[j]) == (roots.get(f, f) == roots.get(signed[j], signed[j]))
 
 
+@pytest.mark.parametrize("longest", [60])
+def test_long_runs_are_dealt_on(spark, longest):
+    """Fingerprints crowded around a few centres: prefixes shared by more than a task takes, level after level."""
+    r = random.Random(4)
+    fps = {r.getrandbits(64) for _ in range(40)}
+    for centre in (r.getrandbits(64), r.getrandbits(64), 0):
+        for _ in range(130):
+            x = centre
+            for bit in r.sample(range(64), r.randint(0, 7)):
+                x ^= 1 << bit
+            fps.add(x)
+    signed = [f - 2**64 if f >> 63 else f for f in sorted(fps)]
+    df = spark.createDataFrame([(f,) for f in signed], "fp bigint")
+    comp = brute_components([f & (2**64 - 1) for f in signed])
+    found = H.links(df, longest=longest).distinct().collect()
+    assert all(((x["a"] ^ x["b"]) & (2**64 - 1)).bit_count() <= 4 for x in found)
+    root = {f: f for f in signed}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in found:
+        a, b = find(x["a"]), find(x["b"])
+        root[max(a, b)] = min(a, b)
+    assert len({(find(f), c) for f, c in zip(signed, comp)}) == len({find(f) for f in signed}) == len(set(comp))
+
+
+def test_layouts_of_further_levels():
+    for level in (1, 2, 3):
+        layouts = [H._layout(4, level, at) for at in range(0, 15**level, 7)]
+        assert all(sorted(order) == list(range(64)) for order, _ in layouts)
+        assert min(front for _, front in layouts) >= H._shortest(4, level)
+    (a, n), (b, m) = H._layout(4, 1, 3), H._layout(4, 2, 3 * 15 + 8)
+    assert a[:n] == b[:n] and m > n
+
+
+def test_least_of_a_hot_key(spark):
+    rows = [(1, i, 1000 - i) for i in range(900)] + [(k, k, k) for k in range(2, 40)] + [(50, 1, None), (50, 2, None)]
+    df = spark.createDataFrame(rows, "g int, v int, x int")
+    got = sorted((x["g"], x["v"], x["x"] or 0, x["low"]) for x in with_least(df, "g", "x", "low", "v", salts_for(len(rows))).collect())
+    assert got == sorted((g, v, x or 0, {1: 101, 50: None}.get(g, g)) for g, v, x in rows)
+
+
 def test_components_of_whole_table(spark, sf):
     rows = read(spark, sf, "documents").select("doc_id", "text").collect()
     fps = [brute_fingerprint(r["text"]) for r in rows]

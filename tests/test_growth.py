@@ -1,4 +1,5 @@
-"""Steps that grow with the input: seeds are dealt on any session, draws are ranked by the built-in order."""
+"""Steps that grow with the input: seeds are dealt on any session, draws are ranked by the
+built-in order, fits are made once a row, sinks and globs look at no more than they need."""
 
 import hashlib
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import synth as Y
+from quarry.operators import validate as VA
 from quarry.plans import q_synth as QS
 from quarry.sources import tables
 
@@ -47,3 +49,10 @@ def test_numerals_are_the_first_of_the_ranking(spark):
         lines = r["prompt"].split("\n")
         nums = [int(x.split(" -> ")[0]) for x in lines[1:-1]] + [int(lines[-1].split("number ")[1].split(" ")[0])]
         assert nums == want[: len(nums)]
+
+
+def test_a_row_is_fitted_once(spark):
+    rows = spark.createDataFrame([("a", "p", "1.0", "physics")], "id string, prompt string, answer string, category string")
+    for df in (VA.validation_columns(rows).select("v7_answer", "v8_consistent"), VA.numeric_check(rows)):
+        # the sums of products, squares and values, for either kind; c divides two of them
+        assert _plan(df).count("aggregate(transform(") <= 8

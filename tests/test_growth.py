@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarry.operators import synth as Y
 from quarry.operators import validate as VA
 from quarry.plans import q_synth as QS
+from quarry.sources import csv as CSV
 from quarry.sources import tables
 
 
@@ -56,3 +57,22 @@ def test_a_row_is_fitted_once(spark):
     for df in (VA.validation_columns(rows).select("v7_answer", "v8_consistent"), VA.numeric_check(rows)):
         # the sums of products, squares and values, for either kind; c divides two of them
         assert _plan(df).count("aggregate(transform(") <= 8
+
+
+def test_looking_for_an_answer_stops_at_the_first(spark):
+    late = F.when(F.col("id") < 8, F.lit("a")).otherwise(F.raise_error(F.lit("read")).cast("string"))
+    assert CSV._has_any_answer(spark.range(0, 10, 1, 5).select("id", late.alias("answer")))
+    assert not CSV._has_any_answer(spark.range(3).select(F.lit(None).cast("string").alias("answer")))
+
+
+def test_headers_are_read_without_sorting_the_lines(spark, tmp_path):
+    for name, text in {"a": "id,prompt\nx,p\n", "b": "﻿id,prompt\ny,q\n", "c": "id,prompt,answer\nz,r,1\n", "d": ""}.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    first = CSV._first_lines(spark, str(tmp_path / "*.csv"))
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+    by = {f.rsplit("/", 1)[1]: h for f, h in CSV._headers(spark, str(tmp_path / "*.csv")).items()}
+    assert by["a.csv"] == by["b.csv"] != by["c.csv"]
+    (tmp_path / "more").mkdir()
+    for name, text in {"a": "prompt,id,note\np,x,n\n", "b": "id,prompt,answer,kind\ny,q,1,k\n"}.items():
+        (tmp_path / "more" / f"{name}.csv").write_text(text)
+    assert CSV.read_puzzle_glob(spark, str(tmp_path / "more" / "*.csv")).columns == ["id", "prompt", "answer", "kind", "note"]

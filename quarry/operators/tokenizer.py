@@ -30,7 +30,9 @@ the text cannot support a size, the size reached is reported.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pandas as pd
@@ -52,6 +54,7 @@ UNKNOWN = -1e6  # log weight of a character without a piece: one token each
 LEAST = 1e-12  # expected uses below this count as this much
 LETTERS = 1 << 18  # letters of words settled together
 CACHED_WORDS = 200_000
+WORDS_PER_TASK = 20_000  # distinct words of one task of an E-step
 WORD = re.compile(r"\S+")  # the words of functions.text, as spans
 
 
@@ -194,11 +197,19 @@ def prune(spark: SparkSession, model: Model, keep: int) -> Model:
     return model.only(np.concatenate((chars, best)).astype(int))
 
 
+def in_parts(words: DataFrame) -> DataFrame:
+    """Stored words in as many parts as their number asks for, a part for every core at
+    least. They lie in as many as the shuffle that counted them had, which follows the texts'
+    size and not theirs; each round gives each part a Python task and the whole model."""
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    return words.coalesce(max(cores, -(-words.count() // WORDS_PER_TASK)))
+
+
 def fit_sweep(words: DataFrame, sizes: Sequence[int], seed_factor: int = SEED_FACTOR) -> dict[int, Model]:
     """Fit the largest size first and continue pruning to the smaller ones: {size: model}."""
     spark = words.sparkSession
     sizes = sorted(set(sizes), reverse=True)
-    words = materialize(words)
+    words = in_parts(materialize(words))
     model = em_step(words, seed_model(seed_pieces(words, seed_factor * sizes[0])))
     out: dict[int, Model] = {}
     for target in sizes:
@@ -256,23 +267,37 @@ class Cutter:
             lattice = Lattice([SPACE + fresh[i] for i in at], self.trie)
             # ends in the word itself: the mark is a letter of no width
             for i, ends in zip(at.tolist(), lattice.ends(lattice.best(self.logp)[2])):
-                self.seen[fresh[i]] = np.array(ends, np.int32) - 1
+                self.seen[fresh[i]] = [e - 1 for e in ends]
 
     def cut(self, text: str | None, budget: int) -> tuple[int, int]:
         """(pieces in the whole text, code points that hold the first ``budget`` of them)."""
-        if not text:
-            return 0, 0
-        spans = [(m.start(), m[0]) for m in WORD.finditer(text)]
-        self._learn([w for _, w in spans])
-        total, end = 0, len(text)
-        for start, w in spans:
-            ends = self.seen[w]
-            if total < budget <= total + len(ends):
-                end = start + int(ends[budget - total - 1])
-            total += len(ends)
-        if total <= budget:
-            return total, len(text)
-        return total, end if budget > 0 else 0
+        return next(self.cut_all([text], budget))
+
+    def cut_all(self, texts: Iterable[str | None], budget: int) -> Iterator[tuple[int, int]]:
+        """``cut`` of each text; the new words of so many letters of text are segmented together."""
+        held, letters = [], 0
+        for text in texts:
+            held.append(text or "")
+            letters += len(held[-1])
+            if letters > LETTERS:
+                yield from self._cut_held(held, budget)
+                held, letters = [], 0
+        yield from self._cut_held(held, budget)
+
+    def _cut_held(self, texts: list[str], budget: int) -> Iterator[tuple[int, int]]:
+        split = [text.split() for text in texts]  # the words of WORD
+        self._learn(list(chain.from_iterable(split)))
+        for text, words in zip(texts, split):
+            pieces = list(accumulate(map(len, map(self.seen.__getitem__, words))))
+            total = pieces[-1] if pieces else 0
+            if total <= budget:
+                yield total, len(text)
+            elif budget <= 0:
+                yield total, 0
+            else:
+                at = bisect_left(pieces, budget)  # the word that holds the last piece
+                start = next(islice(WORD.finditer(text), at, None)).start()
+                yield total, start + self.seen[words[at]][budget - (pieces[at - 1] if at else 0) - 1]
 
 
 def truncate_to_pieces(df: DataFrame, model: Model, budget: int, text: str = "text", out: str = "text_cut", pieces: str = "n_pieces") -> DataFrame:
@@ -284,7 +309,7 @@ def truncate_to_pieces(df: DataFrame, model: Model, budget: int, text: str = "te
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cutter = Cutter(*bc.value)
         for s in parts:
-            yield pd.DataFrame([cutter.cut(t, budget) for t in s], columns=["n", "cut"])
+            yield pd.DataFrame(list(cutter.cut_all(s, budget)), columns=["n", "cut"])
 
     cut = df.withColumn("_cut", run(F.col(text)))
     return cut.withColumn(out, F.substring(F.col(text), F.lit(1), F.col("_cut.cut").cast("int"))).withColumn(pieces, F.col("_cut.n")).drop("_cut")

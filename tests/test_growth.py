@@ -3,10 +3,13 @@ built-in order, fits are made once a row, sinks and globs look at no more than t
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.functions.lattice import Lattice, Trie
 from quarry.operators import synth as Y
+from quarry.operators import tokenizer as TK
 from quarry.operators import validate as VA
 from quarry.plans import q_synth as QS
 from quarry.sources import csv as CSV
@@ -76,3 +79,23 @@ def test_headers_are_read_without_sorting_the_lines(spark, tmp_path):
     for name, text in {"a": "prompt,id,note\np,x,n\n", "b": "id,prompt,answer,kind\ny,q,1,k\n"}.items():
         (tmp_path / "more" / f"{name}.csv").write_text(text)
     assert CSV.read_puzzle_glob(spark, str(tmp_path / "more" / "*.csv")).columns == ["id", "prompt", "answer", "kind", "note"]
+
+
+def test_words_lie_in_as_many_parts_as_they_need(spark):
+    words = spark.range(1000).select(F.col("id").cast("string").alias("word"), F.lit(1).alias("freq")).repartition(200)
+    assert words.rdd.getNumPartitions() == 200
+    few = TK.in_parts(words)
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and few.exceptAll(words).isEmpty() and few.count() == 1000
+
+
+def test_new_words_of_many_texts_are_segmented_together(monkeypatch):
+    texts = [f"ab{i}  a b　ba{i % 7}\n" * (i % 5) for i in range(60)] + [None, "", " \t"]
+    trie = Trie(["", "a", "b", "ab", "▁", "▁a", "1"])
+    logp = np.array([-1e6, -2.0, -2.0, -2.5, -1.0, -2.0, -3.0])
+    made = []
+    monkeypatch.setattr(TK, "Lattice", lambda words, trie: made.append(len(words)) or Lattice(words, trie))
+    for budget in (0, 1, 5, 17, 10**6):
+        made.clear()
+        whole = list(TK.Cutter(trie, logp).cut_all(texts, budget))
+        assert len(made) == 1
+        assert whole == [TK.Cutter(trie, logp).cut(t, budget) for t in texts]

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.functions import text as T
 from quarry.functions.lattice import Lattice, Trie
 from quarry.operators import synth as Y
 from quarry.operators import tokenizer as TK
@@ -99,3 +100,10 @@ def test_new_words_of_many_texts_are_segmented_together(monkeypatch):
         whole = list(TK.Cutter(trie, logp).cut_all(texts, budget))
         assert len(made) == 1
         assert whole == [TK.Cutter(trie, logp).cut(t, budget) for t in texts]
+
+
+def test_two_answers_are_read_by_one_python_step(spark):
+    rows = spark.createDataFrame([("1/2", "0.5"), ("x", "y"), (None, "3")], "a string, b string")
+    df = rows.select(T.answers_equivalent("a", "b").alias("same"))
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 2  # NFKC, then values
+    assert [r["same"] for r in df.collect()] == [True, False, False]
